@@ -27,6 +27,16 @@ ALIASES = {
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")
 
 
+def distinct_names(names) -> list:
+    """Column names for JSON fields: Spark ignores case in column names, JSON does not."""
+    out, seen = [], {}
+    for n in names:
+        k = n.lower()
+        seen[k] = seen.get(k, 0) + 1
+        out.append(n if seen[k] == 1 else f"{n}__{seen[k]}")
+    return out
+
+
 def message_schema(aliases: bool = True) -> T.StructType:
     """Payload schema: every value is a string; with `aliases`, the superset of all spellings."""
     names = ["patient_id", "reading_id"]

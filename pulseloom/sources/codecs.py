@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulseloom.schema import ALIASES, MEASURES, TIME_FORMATS, message_schema
+from pulseloom.schema import ALIASES, MEASURES, TIME_FORMATS, distinct_names, message_schema
 from pulseloom.sources.readers import nan_to_null
 
 CORRUPT = "_corrupt_record"
@@ -14,11 +14,13 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "
     """Split messages into (good, bad): parsed payload columns, and payloads that are no JSON object."""
     schema = schema or message_schema()
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    names = distinct_names(wide.fieldNames())
+    columns = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, wide.fields)])
     text = F.col(value_col).cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select("*", text.alias("_text"), F.from_json(text, wide, options).alias("_data"))
+    parsed = df.select("*", text.alias("_text"), F.from_json(text, wide, options).cast(columns).alias("_data"))
     broken = F.col("_data").isNull() | F.col(f"_data.{CORRUPT}").isNotNull()
-    others = [c for c in df.columns if c not in schema.fieldNames() and c != value_col]
+    others = [c for c in df.columns if c not in names and c != value_col]
     good = parsed.filter(~broken).select(*others, "_data.*").drop(CORRUPT)
     bad = parsed.filter(broken).select(*others, F.col("_text").alias("payload"))
     return good, bad
@@ -26,15 +28,12 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "
 
 def normalize_aliases(df: DataFrame) -> DataFrame:
     """One column per quantity, whichever spelling a message used."""
-    spellings = {a: name for name, group in ALIASES.items() for a in group}
-    out, done = [], set()
+    names = {a: name for name, group in ALIASES.items() for a in group}
+    groups = {}
     for c in df.columns:
-        name = spellings.get(c, c)
-        if name not in done:
-            done.add(name)
-            present = [a for a in ALIASES.get(name, (name,)) if a in df.columns]
-            out.append(F.coalesce(*[F.col(a) for a in present]).alias(name))
-    return df.select(*out)
+        spelling = c.split("__")[0]
+        groups.setdefault(names.get(spelling, spelling), []).append(F.col(c))
+    return df.select(*[F.coalesce(*cols).alias(name) for name, cols in groups.items()])
 
 
 def parse_time(c) -> Column:
