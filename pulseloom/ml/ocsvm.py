@@ -28,14 +28,7 @@ class OneClassModel:
 
     def decision(self) -> Column:
         """Positive inside, negative outside."""
-        total = F.lit(-self.rho)
-        scale = math.sqrt(2 / len(self.phases))
-        for direction, phase, weight in zip(self.directions, self.phases, self.weights):
-            angle = F.lit(phase)
-            for c, d in zip(self.cols, direction):
-                angle = angle + F.col(c) * F.lit(d)
-            total = total + F.cos(angle) * F.lit(weight * scale)
-        return total
+        return decisions([self])[0]
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add `score` (high = anomalous) and `prediction` (-1 outside, 1 inside). Batch or stream."""
@@ -43,53 +36,82 @@ class OneClassModel:
         return scored.withColumn("prediction", F.when(F.col("score") > 0, -1).otherwise(1))
 
 
-def one_class_svm(df: DataFrame, cols=("SBP", "DBP"), nu=0.1, gamma=None, width=64, steps=20, seed=42) -> OneClassModel:
-    """Fit. `gamma` defaults to 1 / number of columns.
+def decisions(models: list) -> Column:
+    """Array with the decision of each of several models that were fitted together."""
+    first = models[0]
+    directions, phases = np.array(first.directions), np.array(first.phases)
+    weights, rho = np.array([m.weights for m in models]).T, np.array([m.rho for m in models])
+    scale = math.sqrt(2 / len(phases))
 
-    Equal feature values are merged into weighted rows. A step is one pass: every task adds up
-    the features of its rows below rho and counts its margins in bins of 0.001, from which the
-    next rho, the nu-quantile, is read.
+    @F.pandas_udf("array<double>")
+    def decide(*columns: pd.Series) -> pd.Series:
+        x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+        return pd.Series(list(np.cos(x @ directions.T + phases) * scale @ weights - rho))
+
+    return decide(*first.cols)
+
+
+def one_class_svm(df: DataFrame, cols=("SBP", "DBP"), nu=0.1, **params) -> OneClassModel:
+    """Fit one model, see one_class_svms."""
+    return one_class_svms(df, [nu], cols, **params)[0]
+
+
+def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=64, steps=20, seed=42) -> list:
+    """Fit a model for each nu, all in the same passes. `gamma` defaults to 1 / number of columns.
+
+    Equal feature values are merged into weighted rows. In a pass every task adds up the
+    features of its rows below rho and counts its margins in bins of 0.001, from which the next
+    rho, the nu-quantile, is read.
     """
-    cols = list(cols)
+    cols, nus = list(cols), np.array(nus, dtype=float)
     gamma = gamma or 1 / len(cols)
     rng = np.random.default_rng(seed)
     directions = rng.normal(size=(width, len(cols))) * math.sqrt(2 * gamma)
     phases = rng.uniform(0, 2 * math.pi, width)
+    models = len(nus)
     merged = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
     with kept(merged) as data:
 
         def one_pass(w, rho):
-            """(summed weight, weighted feature sums) of the rows below rho, and the margins' histogram."""
+            """Per model the weighted feature sums of the rows below rho (first their weight), and the margins' bins."""
 
             def local(batches):
-                sums, bins = np.zeros(1 + width), {}
+                sums, bins = np.zeros((models, 1 + width)), pd.DataFrame({"model": [], "k": [], "v": []})
                 for pdf in batches:
                     z = np.cos(pdf[cols].to_numpy(dtype=float) @ directions.T + phases) * math.sqrt(2 / width)
-                    n, margin = pdf["n"].to_numpy(), z @ w
-                    low = np.where(margin < rho, n, 0.0)
-                    sums += np.concatenate([[low.sum()], low @ z])
-                    for b, c in pd.Series(n).groupby(np.rint(margin * 1000).astype(int)).sum().items():
-                        bins[b] = bins.get(b, 0.0) + c
-                yield pd.DataFrame({"kind": 0, "k": np.arange(1 + width), "v": sums})
-                if bins:
-                    yield pd.DataFrame({"kind": 1, "k": list(bins), "v": list(bins.values())})
-
-            rows = data.mapInPandas(local, "kind int, k long, v double").groupBy("kind", "k").agg(F.sum("v").alias("v")).toPandas()
-            sums = rows[rows["kind"] == 0].sort_values("k")["v"].to_numpy()
-            return sums, rows[rows["kind"] == 1].sort_values("k")
-
-        def quantile(histogram):
-            upto = histogram["v"].cumsum().to_numpy()
-            return histogram["k"].to_numpy()[np.searchsorted(upto, nu * upto[-1])] / 1000
-
-        sums, _ = one_pass(np.zeros(width), math.inf)
-        total, w = sums[0], sums[1:] / sums[0]  # the mean, which is the answer for nu = 1
-        rho = quantile(one_pass(w, -math.inf)[1])
+                    n, margin = pdf["n"].to_numpy(), z @ w.T
+                    low = np.where(margin < rho, n[:, None], 0.0)
+                    sums += np.column_stack([low.sum(axis=0), low.T @ z])
+                    seen = pd.DataFrame({
+                        "model": np.tile(np.arange(models), len(n)), "k": np.rint(margin * 1000).ravel(), "v": np.repeat(n, models)
+                    })
+                    bins = pd.concat([bins, seen]).groupby(["model", "k"], as_index=False)["v"].sum()
+                model, k = np.indices(sums.shape)
+                yield pd.DataFrame({"kind": 0, "model": model.ravel(), "k": k.ravel(), "v": sums.ravel()})
+                if len(bins):
+                    yield bins.assign(kind=1)[["kind", "model", "k", "v"]].astype({"model": int, "k": int})
+
+            rows = data.mapInPandas(local, "kind int, model int, k long, v double")
+            rows = rows.groupBy("kind", "model", "k").agg(F.sum("v").alias("v")).toPandas()  # at most a few thousand per model
+            sums = rows[rows["kind"] == 0].sort_values(["model", "k"])["v"].to_numpy().reshape(models, 1 + width)
+            return sums, rows[rows["kind"] == 1].sort_values(["model", "k"])
+
+        def quantiles(bins):
+            out = []
+            for i, nu in enumerate(nus):
+                mine = bins[bins["model"] == i]
+                upto = mine["v"].cumsum().to_numpy()
+                out.append(mine["k"].to_numpy()[np.searchsorted(upto, nu * upto[-1])] / 1000)
+            return np.array(out)
+
+        sums, _ = one_pass(np.zeros((models, width)), np.full(models, math.inf))
+        total, w = sums[0, 0], sums[:, 1:] / sums[0, 0]  # the mean, which is the answer for nu = 1
+        rho = quantiles(one_pass(w, np.full(models, -math.inf))[1])
         for step in range(steps):
-            sums, histogram = one_pass(w, rho)
-            rho = quantile(histogram)
+            sums, bins = one_pass(w, rho)
+            rho = quantiles(bins)
             rate = 1 / (step + 2)
-            w = (1 - rate) * w + rate * sums[1:] / (nu * total)
-        rho = quantile(one_pass(w, rho)[1])
-    return OneClassModel(tuple(cols), directions.tolist(), phases.tolist(), w.tolist(), float(rho))
+            w = (1 - rate) * w + rate * sums[:, 1:] / (nus[:, None] * total)
+        rho = quantiles(one_pass(w, rho)[1])
+    return [OneClassModel(tuple(cols), directions.tolist(), phases.tolist(), a.tolist(), float(r)) for a, r in zip(w, rho)]

@@ -48,44 +48,45 @@ def class_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, label: str, score: str) -> DataFrame:
+def _ranked(df: DataFrame, label: str, score: str, by) -> DataFrame:
     """Positives and negatives per distinct score, with running counts from the highest score down."""
     rows = df.filter(F.col(score).isNotNull())
     yes = (F.col(label) == 1).cast("long")
-    counts = rows.groupBy((-F.col(score)).alias("_rank")).agg(F.sum(yes).alias("pos"), F.sum(1 - yes).alias("neg"))
-    cumulated = running(counts, [], ["_rank"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
-    return cumulated.select(*[F.col(c).cast("double").alias(c) for c in ("pos", "neg", "tp", "fp")])
+    counts = rows.groupBy(*by, (-F.col(score)).alias("_rank")).agg(F.sum(yes).alias("pos"), F.sum(1 - yes).alias("neg"))
+    cumulated = running(counts, by, ["_rank"], {"tp": ("sum", F.col("pos")), "fp": ("sum", F.col("neg"))})
+    return cumulated.select(*by, *[F.col(c).cast("double").alias(c) for c in ("pos", "neg", "tp", "fp")])
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """Area under the ROC curve; equal scores form one step, so ties are exact."""
-    r = _ranked(df, label, score)
+    r = _ranked(df, label, score, by)
     area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2)
-    return r.agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    return r.groupBy(*by).agg(F.try_divide(area, F.sum("pos") * F.sum("neg")).alias("roc_auc"))
 
 
-def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+def pr_curve(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """Per distinct score: precision with this score included and before it, and the positives gained."""
-    r = _ranked(df, label, score)
+    r = _ranked(df, label, score, by)
     before_tp, before = F.col("tp") - F.col("pos"), F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg")
     return r.select(
+        *by,
         "pos",
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.when(before == 0, 1.0).otherwise(before_tp / F.nullif(before, F.lit(0.0))).alias("precision_before"),
     )
 
 
-def pr_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+def pr_auc(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """Trapezoid area under the precision-recall curve, which starts at recall 0, precision 1."""
-    r = pr_curve(df, label, score)
+    r = pr_curve(df, label, score, by)
     area = F.sum(F.col("pos") * (F.col("precision") + F.col("precision_before")) / 2)
-    return r.agg(F.try_divide(area, F.sum("pos")).alias("pr_auc"))
+    return r.groupBy(*by).agg(F.try_divide(area, F.sum("pos")).alias("pr_auc"))
 
 
-def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     """Step-wise sum of precision over the recall gained."""
-    r = pr_curve(df, label, score)
-    return r.agg(F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.sum("pos")).alias("average_precision"))
+    r = pr_curve(df, label, score, by)
+    return r.groupBy(*by).agg(F.try_divide(F.sum(F.col("pos") * F.col("precision")), F.sum("pos")).alias("average_precision"))
 
 
 def errors(df: DataFrame, actual: str, pred: str, by=()) -> DataFrame:

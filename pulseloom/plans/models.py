@@ -113,12 +113,12 @@ def ocsvm_score(spark, sf):
 @query("best_param")
 def best_param(spark, sf):
     train, test = _parts(labelled(spark, sf).select("reading_id", "SBP", "DBP", "label"))
-    results = None
-    for nu in (0.1, 0.2, 0.3, 0.4, 0.5):
-        scored = ocsvm.one_class_svm(train, nu=nu, steps=4).transform(test)
-        row = metrics.roc_auc(scored, "label", "score").select(F.lit(nu).alias("nu"), "roc_auc")
-        results = row if results is None else results.unionByName(row)
-    return metrics.best_param(results, "nu", "roc_auc")
+    nus = (0.1, 0.2, 0.3, 0.4, 0.5)
+    models = ocsvm.one_class_svms(train, nus, steps=8)
+    scored = test.select("label", ocsvm.decisions(models).alias("d"))
+    scored = scored.select("label", F.posexplode("d").alias("i", "d"))
+    scored = scored.select("label", F.array(*map(F.lit, nus))[F.col("i")].alias("nu"), (-F.col("d")).alias("score"))
+    return metrics.best_param(metrics.roc_auc(scored, "label", "score", ["nu"]), "nu", "roc_auc")
 
 
 @query("gbt_predict")
