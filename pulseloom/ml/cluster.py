@@ -16,8 +16,8 @@ KMEANS = {"k": 2, "maxIter": 100, "initMode": "k-means||", "initSteps": 15, "tol
 def kmeans_fit(df: DataFrame, cols=("SBP", "DBP"), **params) -> KMeansModel:
     """Equal feature values are merged into one weighted row before the iterations."""
     points = df.dropna(subset=list(cols)).groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    with kept(assemble(points, cols).select("features", "weight")) as data:
-        return KMeans(weightCol="weight", **{**KMEANS, **params}).fit(data)
+    with kept(points) as rows:
+        return KMeans(weightCol="weight", **{**KMEANS, **params}).fit(assemble(rows, cols))
 
 
 def kmeans_predict(model: KMeansModel, df: DataFrame, cols=("SBP", "DBP")) -> DataFrame:

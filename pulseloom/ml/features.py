@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Normalizer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +20,11 @@ def kept(df: DataFrame):
         df.unpersist()
 
 
-def assemble(df: DataFrame, cols, out="features") -> DataFrame:
-    """Vector column of `cols`; rows with a missing value are skipped."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, cols, out="features", l1=False) -> DataFrame:
+    """Vector column of `cols`, divided by its absolute sum with `l1`; rows with a missing value are skipped."""
+    raw = "_raw_features" if l1 else out
+    vectors = VectorAssembler(inputCols=list(cols), outputCol=raw, handleInvalid="skip").transform(df)
+    return Normalizer(inputCol=raw, outputCol=out, p=1.0).transform(vectors).drop(raw) if l1 else vectors
 
 
 @dataclass
@@ -53,4 +55,5 @@ def minmax_fit(df: DataFrame, cols) -> MinMaxModel:
 def l1_normalize(df: DataFrame, cols) -> DataFrame:
     """Divide the columns by the sum of their absolute values; an all-zero row stays."""
     norm = reduce(lambda a, b: a + b, [F.abs(c) for c in cols])
-    return df.select("*", *[F.when(norm == 0, F.col(c)).otherwise(F.col(c) / F.nullif(norm, F.lit(0.0))).alias(f"{c}_l1") for c in cols])
+    scaled = [F.when(F.col("_norm") == 0, F.col(c)).otherwise(F.col(c) / F.nullif("_norm", F.lit(0.0))).alias(f"{c}_l1") for c in cols]
+    return df.withColumn("_norm", norm).select(*df.columns, *scaled)

@@ -28,12 +28,12 @@ def grid_search(df: DataFrame, estimator, values: dict, cols, label="label", key
     if label not in df.columns:
         raise ValueError("a search needs labels")
     maps = grid(estimator, values, limit, seed)
-    data = assemble(df, cols).select("features", F.col(label).cast("double").alias("label"), hash_bucket(key, seed, folds).cast("int").alias("fold"))
+    data = df.select(*cols, F.col(label).cast("double").alias("label"), hash_bucket(key, seed, folds).cast("int").alias("fold"))
     with kept(data) as rows:
         cv = CrossValidator(
             estimator=estimator, estimatorParamMaps=maps, evaluator=MulticlassClassificationEvaluator(metricName=metric),
             numFolds=folds, foldCol="fold", parallelism=parallelism,
         )
-        fitted = cv.fit(rows)
+        fitted = cv.fit(assemble(rows, cols))
     table = [(",".join(f"{p.name}={v}" for p, v in m.items()), float(x)) for m, x in zip(maps, fitted.avgMetrics)]
     return fitted.bestModel, df.sparkSession.createDataFrame(table, f"params string, {metric} double")

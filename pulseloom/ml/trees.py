@@ -19,21 +19,27 @@ class Classifier:
 
     model: object
     cols: tuple
-    probability: str = "probability"
+    l1: bool = False
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(assemble(df, self.cols))
+        out = self.model.transform(assemble(df, self.cols, l1=self.l1))
         keep = [*df.columns, F.col("prediction").cast("int").alias("prediction")]
-        return out.select(*keep, vector_to_array(self.probability).alias("probability"))
+        return out.select(*keep, vector_to_array("probability").alias("probability"))
 
 
-def _fit(estimator, df, cols, label):
-    with kept(assemble(df, cols).select("features", F.col(label).cast("double").alias("label"))) as data:
-        return Classifier(estimator.fit(data), tuple(cols))
+def training_rows(df, cols, label):
+    """The columns a fit reads. They are kept as plain numbers, smaller than vectors."""
+    return df.select(*cols, F.col(label).cast("double").alias("label"))
 
 
-def random_forest(df, cols, label="label", seed=42, **params) -> Classifier:
-    return _fit(RandomForestClassifier(seed=seed, **params), df, cols, label)
+def _fit(estimator, df, cols, label, l1=False):
+    with kept(training_rows(df, cols, label)) as rows:
+        return Classifier(estimator.fit(assemble(rows, cols, l1=l1)), tuple(cols), l1)
+
+
+def random_forest(df, cols, label="label", seed=42, l1=False, **params) -> Classifier:
+    """With `l1`, each row is first divided by its absolute sum."""
+    return _fit(RandomForestClassifier(seed=seed, **params), df, cols, label, l1)
 
 
 def feature_importance(fitted: Classifier) -> DataFrame:
@@ -74,7 +80,8 @@ def _margins(svc, df):
 
 def support_vector(df, cols, label="label", reg=0.01, max_iter=20) -> SupportVectorModel:
     """Linear SVC on standardised features; a logistic curve over the margin gives probabilities."""
-    with kept(assemble(df, cols).select("features", F.col(label).cast("double").alias("label"))) as data:
+    with kept(training_rows(df, cols, label)) as rows:
+        data = assemble(rows, cols)
         scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True).fit(data)
         scaled = scaler.transform(data)
         svc = LinearSVC(featuresCol="_scaled", rawPredictionCol="_raw", predictionCol="_svc", regParam=reg, maxIter=max_iter).fit(scaled)

@@ -91,10 +91,22 @@ def value_counts(df: DataFrame, col: str, where=None) -> DataFrame:
 
 
 def corr_long(df: DataFrame, cols=MEASURES) -> DataFrame:
-    """Pearson correlation of every pair of columns, computed in one pass."""
+    """Pearson correlation of every pair of columns.
+
+    Without missing values a second pass adds up products of deviations from the means, a few
+    plain sums; with missing values each pair is correlated over its own complete rows.
+    """
     cols = list(cols)
     pairs = list(combinations(cols, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    first = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.count(c).alias(f"n_{c}") for c in cols]).first()
+    if all(first[f"n_{c}"] == first["n"] for c in cols):
+        shifted = df.select(*[(F.col(c) - F.lit(first[f"m_{c}"])).alias(c) for c in cols])
+        products = [F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs + [(c, c) for c in cols]]
+        sums = shifted.agg(*products)
+        spread = lambda c: F.sqrt(F.col(f"`{c}|{c}`"))
+        wide = sums.select(*[F.try_divide(F.col(f"`{a}|{b}`"), spread(a) * spread(b)).alias(f"{a}|{b}") for a, b in pairs])
+    else:
+        wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     entries = [(a, b, F.col(f"`{a}|{b}`")) for a, b in pairs]
     entries += [(b, a, c) for a, b, c in entries] + [(c, c, F.lit(1.0)) for c in cols]
     rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), c.alias("corr")) for a, b, c in entries]

@@ -80,9 +80,8 @@ def cluster_labels(spark, sf):
 
 def _forest(spark, sf):
     v = vitals(spark, sf).withColumn("label", rules.sbp_band(F.col("SBP") - 60))
-    names = [f"{c}_l1" for c in _IMPORTANCE_COLS]
-    train, test = _parts(features.l1_normalize(v, _IMPORTANCE_COLS))
-    return trees.random_forest(train, names), test
+    train, test = _parts(v)
+    return trees.random_forest(train, _IMPORTANCE_COLS, l1=True), test
 
 
 @query("rf_predict")

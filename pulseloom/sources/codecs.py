@@ -16,12 +16,14 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     names = distinct_names(wide.fieldNames())
     columns = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, wide.fields)])
-    text = F.col(value_col).cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select("*", text.alias("_text"), F.from_json(text, wide, options).cast(columns).alias("_data"))
-    broken = F.col("_data").isNull() | F.col(f"_data.{CORRUPT}").isNotNull()
     others = [c for c in df.columns if c not in names and c != value_col]
-    good = parsed.filter(~broken).select(*others, "_data.*").drop(CORRUPT)
+    text = df.select(*others, F.col(value_col).cast("string").alias("_text"))
+    # inline keeps the parser in a step of its own: a projection would parse once per field used
+    data = F.from_json("_text", wide, options).cast(columns)
+    parsed = text.select("*", F.inline(F.array(F.struct(data.alias("_data"), F.isnull("_text").alias("_none")))))
+    broken = F.col("_none") | F.col(f"_data.{CORRUPT}").isNotNull()
+    good = parsed.filter(~broken).select(*others, *[F.col(f"_data.{n}") for n in names if n != CORRUPT])
     bad = parsed.filter(broken).select(*others, F.col("_text").alias("payload"))
     return good, bad
 
@@ -60,17 +62,21 @@ def parse_line_protocol(df: DataFrame, col: str = "line") -> DataFrame:
 
     Backslash escapes protect commas, spaces and equal signs; in quoted text these need none.
     """
-    name = r"(?:[^,=\s\\]|\\.)+"
-    text = r'"(?:[^"\\]|\\.)*"'
-    line = rf"^((?:[^,\s\\]|\\.)+)((?:,{name}={name})*)\s+((?:{name}=(?:{text}|[^,\s]+),?)+)(?:\s+(-?\d+))?\s*$"
-    field = rf"({name})=({text}|[^,\s]+)"
+    name = r"(?:[^,=\s\\]|\\.)++"
+    text = r'"(?:[^"\\]|\\.)*+"'
+    value = rf"(?:{text}|[^,\s\"][^,\s]*+)"
+    head = r"(?:[^,\s\\]|\\.)++"
+    line = rf"^({head})((?:,{name}={name})*+)\s+({name}={value}(?:,{name}={value})*+)(?:\s+(-?\d+))?\s*$"
+    mark = "\u0001"
 
     def plain(c):
         return F.regexp_replace(c, r"\\(.)", "$1")
 
-    part = {n: F.regexp_extract(col, line, i) for i, n in enumerate(("m", "tags", "fields", "ns"), 1)}
-    lines = df.filter(F.col(col).rlike(line)).select(*[c.alias(n) for n, c in part.items()])
-    pair = rf"({name})=({name})"
+    # one match per line: the four parts, joined by a mark, come out of a single replacement
+    parts = F.split(F.regexp_replace(F.regexp_replace(col, mark, " "), line, mark.join(("$1", "$2", "$3", "$4"))), mark)
+    split = df.select(parts.alias("p")).filter(F.size("p") == 4)
+    lines = split.select(*[F.col("p")[i].alias(n) for i, n in enumerate(("m", "tags", "fields", "ns"))])
+    pair, field = rf"({name})=({name})", rf"({name})=({value})"
 
     def entries(c, regex):
         keys, values = F.regexp_extract_all(c, F.lit(regex), F.lit(1)), F.regexp_extract_all(c, F.lit(regex), F.lit(2))
