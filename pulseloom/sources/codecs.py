@@ -62,10 +62,10 @@ def parse_line_protocol(df: DataFrame, col: str = "line") -> DataFrame:
 
     Backslash escapes protect commas, spaces and equal signs; in quoted text these need none.
     """
-    name = r"(?:[^,=\s\\]|\\.)++"
-    text = r'"(?:[^"\\]|\\.)*+"'
+    name = r"(?=[^,=\s])[^,=\s\\]*+(?:\\.[^,=\s\\]*+)*+"
+    text = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
     value = rf"(?:{text}|[^,\s\"][^,\s]*+)"
-    head = r"(?:[^,\s\\]|\\.)++"
+    head = r"(?=[^,\s])[^,\s\\]*+(?:\\.[^,\s\\]*+)*+"
     line = rf"^({head})((?:,{name}={name})*+)\s+({name}={value}(?:,{name}={value})*+)(?:\s+(-?\d+))?\s*$"
     mark = "\u0001"
 
@@ -74,30 +74,28 @@ def parse_line_protocol(df: DataFrame, col: str = "line") -> DataFrame:
 
     # one match per line: the four parts, joined by a mark, come out of a single replacement
     parts = F.split(F.regexp_replace(F.regexp_replace(col, mark, " "), line, mark.join(("$1", "$2", "$3", "$4"))), mark)
-    split = df.select(parts.alias("p")).filter(F.size("p") == 4)
+    split = df.select(F.inline(F.array(F.struct(parts.alias("p"))))).filter(F.size("p") == 4)
     lines = split.select(*[F.col("p")[i].alias(n) for i, n in enumerate(("m", "tags", "fields", "ns"))])
-    pair, field = rf"({name})=({name})", rf"({name})=({value})"
-
-    def entries(c, regex):
-        keys, values = F.regexp_extract_all(c, F.lit(regex), F.lit(1)), F.regexp_extract_all(c, F.lit(regex), F.lit(2))
-        return keys, values
-
-    tag_keys, tag_values = entries(F.col("tags"), pair)
-    field_keys, field_values = entries(F.col("fields"), field)
+    tag = rf"({name})=({name})"
+    tags = [F.transform(F.regexp_extract_all("tags", F.lit(tag), F.lit(i)), plain) for i in (1, 2)]
+    pairs = F.regexp_extract_all("fields", F.lit(rf"{name}={value}"), F.lit(0))
+    # tags are read once per line, before its fields are spread over rows
     rows = lines.select(
         plain("m").alias("measurement"),
-        F.map_from_arrays(F.transform(tag_keys, plain), F.transform(tag_values, plain)).alias("tags"),
+        F.map_from_arrays(*tags).alias("tags"),
         F.timestamp_micros(F.floor(F.nullif(F.col("ns"), F.lit("")).cast("decimal(20,0)") / 1000).cast("long")).alias("time"),
-        F.explode(F.arrays_zip(field_keys.alias("k"), field_values.alias("v"))).alias("f"),
+        pairs.alias("pairs"),
     )
-    raw = F.col("f.v")
+    rows = rows.withColumn("f", F.explode("pairs")).drop("pairs")
+    rows = rows.withColumn("k", F.regexp_extract("f", rf"^{name}", 0)).withColumn("v", F.expr("substring(f, length(k) + 2)"))
+    raw = F.col("v")
     quoted = raw.startswith('"')
     flag = F.when(raw.isin("t", "T", "true", "True", "TRUE"), 1.0).when(raw.isin("f", "F", "false", "False", "FALSE"), 0.0)
     number = F.regexp_replace(raw, "[iu]$", "").try_cast("double")
     return rows.select(
         "measurement",
         "tags",
-        plain("f.k").alias("field"),
+        plain("k").alias("field"),
         F.when(~quoted, F.coalesce(flag, number)).alias("value"),
         F.when(quoted, F.regexp_replace(F.regexp_extract(raw, '^"(.*)"$', 1), r'\\(["\\])', "$1")).alias("value_str"),
         "time",
