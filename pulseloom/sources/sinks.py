@@ -38,11 +38,19 @@ def batch_writer(sinks: dict):
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        if len(sinks) == 1:
+            out(batch, batch_id)
+            return
+        # the extra column makes Spark forget the row order of the streaming plan, which refers
+        # to attributes a cached table does not have
+        kept = batch.withColumn("_batch", F.lit(batch_id)).persist()
         try:
-            for make, path in sinks.values():
-                make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            out(kept.drop("_batch"), batch_id)
         finally:
-            batch.unpersist()
+            kept.unpersist()
+
+    def out(batch: DataFrame, batch_id: int) -> None:
+        for make, path in sinks.values():
+            make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write

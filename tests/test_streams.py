@@ -41,7 +41,8 @@ def run(spark, df, root, name="out"):
 
 
 def final(spark, df, root, keys):
-    q = flows.fan_out(df, {"s": (lambda b: b, f"{root}/state")}, f"{root}/state-checkpoint", "update")
+    sinks = {"s": (lambda b: b, f"{root}/state"), "copy": (lambda b: b.select(*keys), f"{root}/copy")}
+    q = flows.fan_out(df, sinks, f"{root}/state-checkpoint", "update")
     q.awaitTermination()
     assert q.lastProgress["batchId"] >= 4  # several micro-batches took part
     return flows.latest(spark, f"{root}/state", df.schema, keys)
@@ -100,7 +101,7 @@ def test_scoring_with_a_fitted_model(spark, files, tmp_path):
     assert spark_rows(run(spark, make(source(spark, files)), tmp_path)) == spark_rows(make(spark.read.parquet(files)))
 
 
-def test_forecast_state_goes_on_across_batches_and_restarts(spark, sf, files, tmp_path):
+def test_forecast_state_goes_on_across_batches_and_restarts(spark, sf, tmp_path):
     weights = np.zeros((7, 60))
     weights[1:4, :30] = weights[4:, 30:] = 1 / 3
     model = DirectModel(("SBP", "DBP"), 3, 30, weights)
@@ -108,7 +109,9 @@ def test_forecast_state_goes_on_across_batches_and_restarts(spark, sf, files, tm
     stateful.use_rocksdb(spark)
     try:
         v = vitals(spark, sf)
-        v.repartitionByRange(3, "DateTime").sortWithinPartitions("DateTime").write.parquet(str(tmp_path / "ordered"))
+        placed = v.withColumn("part", F.ntile(3).over(Window.orderBy("DateTime"))).cache()
+        for i in (1, 2, 3):  # one after the other: files are read in the order they appear
+            placed.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(str(tmp_path / "ordered"))
         src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "ordered"), "maxFilesPerTrigger": "1"}, v.schema)
         out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
         late = v.orderBy("DateTime").limit(40).withColumn("SBP", F.lit(500.0))
