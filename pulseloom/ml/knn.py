@@ -12,6 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseloom.operators.joins import join_skewed
 from pulseloom.session import materialize
 
 CELL_ROWS = 64  # locations a finest cell may hold
@@ -117,4 +118,4 @@ def knn_classify(queries: DataFrame, reference: DataFrame, cols=("SBP", "DBP"),
     answers = answers.select(
         F.col("qx").alias(cols[0]), F.col("qy").alias(cols[1]), F.col("b.label").alias("prediction"), (-F.col("b.v") / F.col("all")).alias("share")
     )
-    return queries.join(answers, list(cols), "left")
+    return join_skewed(queries, answers, cols)

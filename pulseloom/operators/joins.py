@@ -1,8 +1,7 @@
 """Joins of readings with labels, forecasts and other column sets.
 
-Equi-joins are left to Catalyst: a small side is broadcast by its measured size, and adaptive
-execution splits skewed partitions. The nearest-time join works on one ordered union, so it
-never forms pairs.
+Catalyst chooses the equi-join; rows of a key too frequent for one task are joined apart from
+the rest. The nearest-time join works on one ordered union, so it never forms pairs.
 """
 
 from functools import reduce
@@ -10,9 +9,48 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseloom.operators.slices import known_neighbours
+from pulseloom.operators.slices import MIN_ROWS, fair_share, known_neighbours
 from pulseloom.schema import KEY
 
+MAX_BROADCAST = 100_000  # rows
+
+
+def frequent_keys(df: DataFrame, on, limit: int):
+    """Keys with about `limit` rows or more, found in a row sample; None if there are none.
+
+    Missing one costs time, not correctness.
+    """
+    seen = 64  # sampled rows expected of a key at the limit
+    rate = min(1.0, 2 * seen / limit)
+    counts = df.select(*on).sample(rate, seed=7).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    keys = counts.filter(F.col("_n") >= seen).drop("_n").collect()  # at most 2 * total / limit keys
+    return df.sparkSession.createDataFrame(keys, df.select(*on).schema) if keys else None
+
+
+def join_skewed(left: DataFrame, right: DataFrame, on, how="left", limit: int | None = None) -> DataFrame:
+    """Equi-join with a `right` that has one row per key, where some keys may fill much of `left`.
+
+    Rows of the frequent keys stay where they are and meet a broadcast of the few rows of
+    `right` they need; the others are shuffled. A null key matches nothing and is not shuffled.
+    """
+    on = list(on)
+    if left.isStreaming:
+        return left.join(right, on, how)
+    if limit is None:
+        total = left.count()
+        if total <= MIN_ROWS:
+            return left.join(right, on, how)
+        limit = fair_share(left, total)
+    hot = frequent_keys(left, on, limit)
+    if hot is None:
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    few = right.join(hot, on, "left_semi")
+    if few.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:  # holds unless `right` repeats its keys
+        few = F.broadcast(few)
+    apart = left.join(hot, on, "left_semi").join(few, on, how)
+    rest = left.join(hot, on, "left_anti").join(right, on, how)
+    return apart.unionByName(rest)
 
 def assemble(frames, key="reading_id") -> DataFrame:
     """Put separately computed columns of the same rows side by side."""
@@ -20,8 +58,8 @@ def assemble(frames, key="reading_id") -> DataFrame:
 
 
 def join_labels(df: DataFrame, labels: DataFrame, on=("patient_id", "DateTime")) -> DataFrame:
-    """Truth labels by key and time; readings without a label are kept."""
-    return df.join(labels, list(on), "left")
+    """Truth labels by key and time, one per key; readings without a label are kept."""
+    return join_skewed(df, labels, on, "left")
 
 
 def join_forecast(forecast, actual, value, tolerance=None, by=KEY, target="target_time", time="DateTime",

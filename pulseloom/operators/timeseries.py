@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pulseloom.operators.joins import join_skewed
 from pulseloom.operators.slices import row_frame, running
 from pulseloom.schema import KEY, MEASURES, ORDER
 
@@ -34,7 +35,8 @@ def rolling_mean(df, cols=MEASURES, seconds=300, by=KEY, time="DateTime", bucket
 
     Work is split by series and time bucket; a bucket also gets the rows its windows reach
     back to. Where readings are so dense that a window would hold thousands of rows, they
-    are first summed per second, which bounds a bucket by its length whatever the data.
+    are first summed per second, which bounds a bucket by its length whatever the data, and
+    a window is the difference of two running sums within the bucket.
     """
     width = bucket_seconds or max(12 * seconds, 3600)
     if width < seconds:
@@ -42,9 +44,9 @@ def rolling_mean(df, cols=MEASURES, seconds=300, by=KEY, time="DateTime", bucket
     by = list(by)
     rows = df.withColumn("_sec", F.unix_seconds(time))
     fullest = rows.groupBy(*by, F.floor(F.col("_sec") / width).alias("_b")).count().agg(F.max("count")).first()[0]
-    w = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(-seconds, 0)
 
     if (fullest or 0) <= dense:
+        w = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(-seconds, 0)
         spread = _with_halo(rows, seconds, width)
         means = spread.select("*", *[F.avg(c).over(w).alias(f"{c}_RollingAvg") for c in cols])
         return means.filter("_home").drop("_home", "_bucket", "_sec")
@@ -53,10 +55,16 @@ def rolling_mean(df, cols=MEASURES, seconds=300, by=KEY, time="DateTime", bucket
         *[F.sum(c).alias(f"_s_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols]
     )
     spread = _with_halo(per_second, seconds, width)
+    upto = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(Window.unboundedPreceding, 0)
+    gone = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(Window.unboundedPreceding, -seconds - 1)
+
+    def inside(c):
+        return F.coalesce(F.sum(c).over(upto), F.lit(0)) - F.coalesce(F.sum(c).over(gone), F.lit(0))
+
     # try_divide: a window without any value has no mean
-    mean = [F.try_divide(F.sum(f"_s_{c}").over(w), F.sum(f"_n_{c}").over(w)).alias(f"{c}_RollingAvg") for c in cols]
+    mean = [F.try_divide(inside(f"_s_{c}"), inside(f"_n_{c}")).alias(f"{c}_RollingAvg") for c in cols]
     means = spread.select("_home", *by, "_sec", *mean).filter("_home").drop("_home")
-    return rows.join(means, [*by, "_sec"], "left").select(*df.columns, *[f"{c}_RollingAvg" for c in cols])
+    return join_skewed(rows, means, [*by, "_sec"]).select(*df.columns, *[f"{c}_RollingAvg" for c in cols])
 
 
 def resample(df, cols, every="hour", by=KEY, time="DateTime", fill=False) -> DataFrame:

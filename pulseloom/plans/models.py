@@ -87,7 +87,8 @@ def _forest(spark, sf):
 @query("rf_predict")
 def rf_predict(spark, sf):
     model, test = _forest(spark, sf)
-    return model.transform(test).select("reading_id", "label", "prediction", "probability")
+    shares = [F.col("probability")[i].alias(f"p{i}") for i in (1, 2, 3)]
+    return model.transform(test).select("reading_id", "label", "prediction", *shares)
 
 
 @query("feature_importance")

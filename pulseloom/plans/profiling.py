@@ -31,7 +31,8 @@ def describe_vitals(spark, sf):
     return d.select("column", "count", *[r6(c, c) for c in ("mean", "stddev", "min", "max", "p25", "p50", "p75")])
 
 
-@query("schema_table")
+@query("schema_table", "SELECT * FROM (VALUES ('patient_id','bigint'),('reading_id','bigint'),('DateTime','timestamp'),"
+       + ",".join(f"('{c}','double')" for c in MEASURES) + ") t(\"column\", type)")
 def schema_table(spark, sf):
     return profile.schema_table(vitals(spark, sf))
 

@@ -160,3 +160,16 @@ def test_direct_forecast_of_a_straight_line(spark):
     line = series(spark, range(60)).withColumn("DBP", 100 - F.col("SBP") / 2)
     out = forecast.direct_fit(line, 10, 30, ridge=1e-9).transform(supervised_windows(line)).orderBy("reading_id").first()
     assert out["SBP_30"] == pytest.approx(39, abs=0.05)
+
+
+def test_small_models_survive_saving(spark, blobs, tmp_path):
+    from pulseloom.ml import store
+
+    line = series(spark, range(60)).withColumn("DBP", 100 - F.col("SBP") / 2)
+    direct = forecast.direct_fit(line)
+    store.save(spark, direct, str(tmp_path / "d"))
+    assert store.load(spark, str(tmp_path / "d")).weights.tolist() == direct.weights.tolist()
+    for name, m in (("nb", bayes.gaussian_nb(blobs, ("SBP", "DBP"))), ("oc", ocsvm.one_class_svm(blobs, steps=1)), ("mm", features.minmax_fit(blobs, ["SBP"]))):
+        store.save(spark, m, str(tmp_path / name))
+        again = store.load(spark, str(tmp_path / name))
+        assert spark_rows(again.transform(blobs)) == spark_rows(m.transform(blobs))

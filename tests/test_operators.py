@@ -249,3 +249,14 @@ def test_broker_options(spark):
         write_stream(None, "kafka", {}, "c")
     with pytest.raises(ValueError):
         write_stream(None, "parquet", {}, "")
+
+
+def test_frequent_keys_are_joined_apart(spark):
+    left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 0, if(id % 5 = 0, null, id % 40)) k")
+    right = spark.range(30).selectExpr("id k", "id * 10 v")
+    assert [r["k"] for r in joins.frequent_keys(left, ["k"], 900).collect()] == [0]
+    for how in ("left", "inner"):
+        plain, apart = left.join(right, "k", how), joins.join_skewed(left, right, ["k"], how, limit=900)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, apart.collect()))
+    plan = joins.join_skewed(left, right, ["k"], limit=900)._jdf.queryExecution().toString()
+    assert "Union" in plan and "LeftAnti" in plan
