@@ -14,6 +14,7 @@ puts every row into the same slice again.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,13 @@ def _sortable(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name)).alias(name) if isinstance(kind, T.TimestampType) else F.col(name)
 
 
+def match(df: DataFrame, few: DataFrame, cols, how: str) -> DataFrame:
+    """Join with a broadcast of a few rows; a missing key equals a missing key."""
+    renamed = few.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
+    return df.join(F.broadcast(renamed), same, how).drop(*[f"_r_{c}" for c in cols])
+
+
 @dataclass
 class Slicing:
     """Cut points of the long series of a table."""
@@ -74,7 +82,7 @@ class Slicing:
         """Rows of the cut series."""
         if not self.by:
             return df
-        return df.join(F.broadcast(self.hot), list(self.by), "left_semi")
+        return match(df, self.hot, self.by, "left_semi")
 
     def window(self):
         return Window.partitionBy(*self.keys).orderBy(*self.order)
@@ -89,7 +97,7 @@ class Slicing:
         summary = self.only_hot(sliced).groupBy(*self.keys).agg(*[c.alias(n) for n, c in per_slice.items()])
         w = Window.partitionBy(*self.by).orderBy(SLICE)
         brought = summary.select(*self.keys, *[make(w).alias(n) for n, make in across.items()])
-        return sliced.join(F.broadcast(brought), self.keys, "left")
+        return match(sliced, brought, self.keys, "left")
 
 
 def slicing(df: DataFrame, by, order, max_rows: int | None = None) -> Slicing:
@@ -104,7 +112,7 @@ def slicing(df: DataFrame, by, order, max_rows: int | None = None) -> Slicing:
     hot = sizes.filter(F.col("_n") > limit).drop("_n")  # at most total/limit keys
     rows = df.select(*[_sortable(df, n) for n in (*by, *order)])
     if by:
-        rows = rows.join(F.broadcast(hot), list(by), "left_semi")
+        rows = match(rows, hot, by, "left_semi")
         hot = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
     step = max(1, limit // SAMPLES)
     # about SAMPLES rows per slice, picked by a hash of the position; copies count once
@@ -201,7 +209,8 @@ def row_frame(df: DataFrame, by, order, before: int, after: int, max_rows: int |
         return Frame(df, by, order, False)
     size = max(s.limit, before + after + 1)
     pos = F.col("_pos") - 1
-    placed = with_position(df, by, order, "_pos", plan=s)
+    # only the cut series are numbered; the others go to the window as they are
+    placed = with_position(s.only_hot(df), by, order, "_pos", plan=s)
     own, offset = F.floor(pos / size), pos % size
     homes = F.array_compact(
         F.array(
@@ -216,6 +225,9 @@ def row_frame(df: DataFrame, by, order, before: int, after: int, max_rows: int |
         .withColumn(HOME, F.col(BUCKET) == F.col("_own"))
         .drop("_own", "_pos")
     )
+    if by:
+        rest = match(df, s.hot, by, "left_anti")
+        spread = spread.unionByName(rest.withColumn(BUCKET, F.lit(0).cast("long")).withColumn(HOME, F.lit(True)))
     return Frame(spread, by, order, True)
 
 

@@ -10,7 +10,7 @@ from pulseloom.operators.slices import slicing, with_position
 from pulseloom.plans.vitals import judged, vitals
 from tests.compare import spark_rows
 
-CUT = 25
+CUT = 60
 
 
 @pytest.fixture(scope="module")
@@ -101,3 +101,10 @@ def test_rolling_paths_agree(skewed, bucket, dense):
     ours = timeseries.rolling_mean(skewed, cols, 600, bucket_seconds=bucket, dense=dense)
     ours = ours.selectExpr("reading_id", *[f"round({c}_RollingAvg, 6) {c}" for c in cols])
     assert spark_rows(plain) == spark_rows(ours)
+
+
+@pytest.mark.parametrize("name", ["lag_lead", "interpolate", "running_min", "split"])
+def test_a_long_series_without_patient(skewed, name):
+    df = skewed.withColumn("patient_id", F.when(F.col("patient_id") > 1, F.col("patient_id")))
+    rows = spark_rows(OPERATORS[name](df, None))
+    assert rows and rows == spark_rows(OPERATORS[name](df, CUT))
