@@ -1,7 +1,9 @@
 """Session helpers: the settings the operators rely on and the shared working folder."""
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -11,9 +13,26 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that Python workers can import it anywhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_pulseloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pulseloom-code-"), "pulseloom.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("pulseloom", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    sc._pulseloom_shipped = True
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared folder (`spark.checkpoint.dir`).
 
