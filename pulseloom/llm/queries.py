@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseloom.llm import prefix_counts, token_blocks, tree_bpe
+from pulseloom.llm import prefix_counts, quality_rules, simhash, spaced_seeds, token_blocks, tree_bpe
 from pulseloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,16 +21,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality_rules", quality_rules.oracle_sql())
+def op1(spark, sf_dir):
+    return quality_rules.verdicts(read(spark, sf_dir, "documents"))
+
+
 @query("op3_token_blocks")
 def op3(spark, sf_dir):
     return token_blocks.tokens_on_disk(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=2)
 
 
+@query("op5_spaced_seeds")
+def op5(spark, sf_dir):
+    """One row for each document and benchmark item whose passage it holds."""
+    return spaced_seeds.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op6_tree_bpe")
 def op6(spark, sf_dir):
     return tree_bpe.encode(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", tree_bpe.digest, tree_bpe.DIGEST)
 
 
+@query("op7_simhash")
+def op7(spark, sf_dir):
+    return simhash.verdicts(read(spark, sf_dir, "documents"))
+
+
 @query("op9_prefix_counts")
 def op9(spark, sf_dir):
     return prefix_counts.count(read(spark, sf_dir, "documents"), limit=1024)
