@@ -66,22 +66,22 @@ def fold(id_col="doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary")) % 5
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> list[tuple[str, int]]:
-    """At most `per_class` labelled texts of each class, in the order of a hash of the id, none held out.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: tuple[int, int], max_chars: int) -> list[tuple[str, int]]:
+    """At most `per_class` labelled texts of class 0 and 1, in the order of a hash of the id, none held out.
 
-    Bounds: 2 * per_class rows of at most `max_chars` characters come to the driver.
+    Bounds: sum(per_class) rows of at most `max_chars` characters come to the driver.
     """
     train = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("y")).filter(fold() != 0)
     ids: list[tuple[int, int]] = []
     for y in (0, 1):
-        first = train.filter(F.col("y") == y).select("doc_id", "y").distinct().orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id").limit(per_class)
+        first = train.filter(F.col("y") == y).select("doc_id", "y").distinct().orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id").limit(per_class[y])
         ids += [(r.doc_id, r.y) for r in first.collect()]
     if not ids:
         return []
     wanted = docs.sparkSession.createDataFrame(ids, "doc_id long, y int")
     rows = docs.select("doc_id", "text").filter(F.length("text").between(1, max_chars)).join(F.broadcast(wanted), "doc_id")
     rows = rows.withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "y", "h"])
-    return sorted((r.text, r.y) for r in rows.orderBy("h", "doc_id", "y").limit(2 * per_class).select("text", "y").collect())
+    return sorted((r.text, r.y) for r in rows.orderBy("h", "doc_id", "y").limit(sum(per_class)).select("text", "y").collect())
 
 
 def remote(uri: str):

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseloom.llm import prefix_counts, quality_rules, simhash, spaced_seeds, token_blocks, tree_bpe
+from pulseloom.llm import prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe
 from pulseloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def op1(spark, sf_dir):
     return quality_rules.verdicts(read(spark, sf_dir, "documents"))
 
 
+@query("op2_subwords")
+def op2(spark, sf_dir):
+    return subwords.learned_score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op3_token_blocks")
 def op3(spark, sf_dir):
     return token_blocks.tokens_on_disk(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=2)
@@ -50,3 +55,8 @@ def op7(spark, sf_dir):
 @query("op9_prefix_counts")
 def op9(spark, sf_dir):
     return prefix_counts.count(read(spark, sf_dir, "documents"), limit=1024)
+
+
+@query("op10_toxicity")
+def op10(spark, sf_dir):
+    return toxicity.learned_score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
