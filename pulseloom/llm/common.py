@@ -18,8 +18,8 @@ SPACE = " \t\n\x0b\x0c\r"
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the corpus operators: small Arrow batches, so that long texts fit a worker."""
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 

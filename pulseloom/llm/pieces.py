@@ -20,7 +20,9 @@ from tokenizers import Tokenizer, pre_tokenizers  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words a worker remembers; the cache is emptied when it is full.
-CACHE = 400_000
+CACHE = 250_000
+#: Words in one call of the model, which needs about a kilobyte for each.
+AT_ONCE = 8_192
 _AFTER_SPACE = re.compile(r"\s ")
 #: Any character that Unicode or Python takes as white space, then a space.
 _ODD = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
@@ -80,13 +82,15 @@ class Bpe:
             missing = [w for w in words if w]
         if not missing:
             return self.words
-        made = self.by_line.encode_batch_fast([self.letters_of("\n".join(missing))], add_special_tokens=False)[0]
-        ids = np.array(made.ids, "<u4")
-        data = ids.tobytes()
-        start = 0
-        for w, end in zip(missing, [*(4 * np.flatnonzero(ids == self.line)).tolist(), len(data)]):
-            self.words[w] = data[start:end]
-            start = end + 4
+        for i in range(0, len(missing), AT_ONCE):
+            some = missing[i : i + AT_ONCE]
+            made = self.by_line.encode_batch_fast([self.letters_of("\n".join(some))], add_special_tokens=False)[0]
+            ids = np.array(made.ids, "<u4")
+            data = ids.tobytes()
+            start = 0
+            for w, end in zip(some, [*(4 * np.flatnonzero(ids == self.line)).tolist(), len(data)]):
+                self.words[w] = data[start:end]
+                start = end + 4
         return self.words
 
     def has_special(self, text: str) -> bool:

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseloom.llm import prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe
+from pulseloom.llm import html_runs, pii, prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe
 from pulseloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,11 @@ def op3(spark, sf_dir):
     return token_blocks.tokens_on_disk(read(spark, sf_dir, "documents"), "byte_bpe_50k.json", end_id=2)
 
 
+@query("op4_html_runs")
+def op4(spark, sf_dir):
+    return html_runs.extract(read(spark, sf_dir, "pages"))
+
+
 @query("op5_spaced_seeds")
 def op5(spark, sf_dir):
     """One row for each document and benchmark item whose passage it holds."""
@@ -52,6 +57,11 @@ def op7(spark, sf_dir):
     return simhash.verdicts(read(spark, sf_dir, "documents"))
 
 
+@query("op8_pii")
+def op8(spark, sf_dir):
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 @query("op9_prefix_counts")
 def op9(spark, sf_dir):
     return prefix_counts.count(read(spark, sf_dir, "documents"), limit=1024)

@@ -19,13 +19,10 @@ import re
 from array import array
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from pulseloom.llm import pieces
 from pulseloom.llm.common import map_text, materialize, text_key
@@ -223,25 +220,24 @@ def encode(docs: DataFrame, vocabulary: str = pieces.VOCABULARY, output=tokens,
     if depth is None:
         return short
 
-    def two(pdf):
+    def joined(pdf):
         pdf = pdf.sort_values("node")
         nodes = [Encoded(t, array("I", i)) for t, i in zip(pdf["text"], pdf["ids"])]
-        one = nodes[0] if len(nodes) == 1 else join(pieces.load(path), *nodes)
-        return pd.DataFrame({"a": pdf["a"][:1], "b": pdf["b"][:1], "depth": pdf["depth"][:1], "node": [pdf["node"].iloc[0] >> 1], "text": [one.text], "ids": [one.ids.tobytes()]})
+        return nodes[0] if len(nodes) == 1 else join(pieces.load(path), *nodes)
 
-    level = parts
-    for _ in range(depth):
-        level = level.groupBy("a", "b", F.shiftright("node", 1).alias("up")).applyInPandas(two, parts.schema)
+    def inner(pdf):
+        one = joined(pdf)
+        return pdf[["a", "b", "depth"]][:1].assign(node=[int(pdf["node"].iloc[0]) >> 1], text=[one.text], ids=[one.ids.tobytes()])
 
-    def finish(batches):
+    def root(pdf):
         bpe = pieces.load(path)
-        for batch in batches:
-            made = [output(bpe, np.frombuffer(e, "<u4")) for e in batch.column(2).to_pylist()]
-            columns = {"a": batch.column(0), "b": batch.column(1)} | {n: pa.array([m[i] for m in made], t) for i, (n, t) in enumerate(types)}
-            yield pa.RecordBatch.from_pydict(columns)
+        made = output(bpe, np.array(joined(pdf).ids, np.uint32))
+        return pdf[["a", "b"]][:1].assign(**{n: [m] for n, m in zip(names, made)})
 
-    types = [(f.name, to_arrow_type(f.dataType)) for f in T.StructType.fromDDL(fields)]
-    done = level.select("a", "b", "ids").mapInArrow(finish, "a long, b long, " + fields)
+    level = parts
+    for _ in range(depth - 1):
+        level = level.groupBy("a", "b", F.shiftright("node", 1).alias("up")).applyInPandas(inner, parts.schema)
+    done = level.groupBy("a", "b").applyInPandas(root, "a long, b long, " + fields)
     return short.unionByName(keyed.select("doc_id", "a", "b").join(done, ["a", "b"]).select("doc_id", *names))
 
 
