@@ -24,74 +24,71 @@ def _outside(c: Column, low: float) -> Column:
     return (c == 0) | (c > low)
 
 
+# The ladders of the four classifications, first match wins. Bounds are clinical limits in mmHg.
+# (name, SBP from, SBP below, DBP from, DBP below, "and" / "or"); None leaves a side open.
+BP_LEVELS = (
+    ("Normal", None, 120, None, 80, "and"),
+    ("Elevated", 120, 130, None, 80, "and"),
+    ("Stage 1 Hypertension", 130, 140, 80, 90, "or"),
+    ("Stage 2 Hypertension", 140, None, 90, None, "or"),
+)
+BP_LEVEL_REST = "Hypertensive Crisis"
+# (name, SBP reaches, DBP reaches), worst first; a crisis needs more than its bounds.
+BP_CRISIS = ("Hypertensive Crisis", 180, 120)
+BP_STAGES = (("Hypertension Stage 2", 140, 90), ("Hypertension Stage 1", 130, 80))
+# (SBP from, SBP to with the bound itself, DBP below) of "Elevated": with and without a zero class.
+BP_ELEVATED = (120, 130, 80)
+BP_ELEVATED_ZERO = (120, 129, 80)
+BP_NORMAL = ("Normal", 120, 80)
+# (name, SBP below, DBP below)
+BP_UPPER = (("Normal", 120, 80), ("Elevated", 129, 89), ("Hypertension Stage 1", 139, 89))
+BP_UPPER_REST = "Hypertension Stage 2 or higher"
+
+
+def _range(c: Column, low, high) -> Column:
+    """low <= c < high; an open side is not tested."""
+    tests = [t for t in (None if low is None else c >= low, None if high is None else c < high) if t is not None]
+    return tests[0] if len(tests) == 1 else tests[0] & tests[1]
+
+
 def bp_level(s, d) -> Column:
     """Five pressure levels; the last one is what remains, in practice missing values."""
     s, d = _col(s), _col(d)
-    low_d = d < 80
-    return first_match(
-        [
-            ((s < 120) & low_d, "Normal"),
-            (s.between(120, 130) & (s != 130) & low_d, "Elevated"),
-            ((s.between(130, 140) & (s != 140)) | (d.between(80, 90) & (d != 90)), "Stage 1 Hypertension"),
-            ((s >= 140) | (d >= 90), "Stage 2 Hypertension"),
-        ],
-        "Hypertensive Crisis",
-    )
-
-
-# Severity ladder of bp_class and bp_class_zero, worst first (SBP bound, DBP bound).
-_STAGE_2 = ("Hypertension Stage 2", 140, 90)
-_STAGE_1 = ("Hypertension Stage 1", 130, 80)
-
-
-def _reaches(s, d, step):
-    name, s_min, d_min = step
-    return ((s >= s_min) | (d >= d_min), name)
+    cases = []
+    for name, s_low, s_high, d_low, d_high, both in BP_LEVELS:
+        in_s, in_d = _range(s, s_low, s_high), _range(d, d_low, d_high)
+        cases.append((in_s & in_d if both == "and" else in_s | in_d, name))
+    return first_match(cases, BP_LEVEL_REST)
+
+
+def _ladder(s, d, elevated, zero: bool) -> Column:
+    name, s_max, d_max = BP_CRISIS
+    cases = [((s > s_max) | (d > d_max), name)]
+    for name, s_min, d_min in BP_STAGES:
+        cases.append(((s >= s_min) | (d >= d_min), name))
+        if zero and name == BP_STAGES[0][0]:
+            cases.append(((s == 0) | (d == 0), "Dead"))
+    low, high, below = elevated
+    cases.append(((s >= low) & (s <= high) & (d < below), "Elevated"))
+    name, s_below, d_below = BP_NORMAL
+    return first_match([*cases, ((s < s_below) & (d < d_below), name)], "Uncategorized")
 
 
 def bp_class(s, d) -> Column:
     """Clinical order, worst first."""
-    s, d = _col(s), _col(d)
-    return first_match(
-        [
-            ((s > 180) | (d > 120), "Hypertensive Crisis"),
-            _reaches(s, d, _STAGE_2),
-            _reaches(s, d, _STAGE_1),
-            (s.between(120, 130) & (d < 80), "Elevated"),
-            ((s < 120) & (d < 80), "Normal"),
-        ],
-        "Uncategorized",
-    )
+    return _ladder(_col(s), _col(d), BP_ELEVATED, zero=False)
 
 
 def bp_class_zero(s, d) -> Column:
     """As bp_class with a zero class after stage 2; 129 < SBP < 130 has no class."""
-    s, d = _col(s), _col(d)
-    return first_match(
-        [
-            ((s > 180) | (d > 120), "Hypertensive Crisis"),
-            _reaches(s, d, _STAGE_2),
-            ((s == 0) | (d == 0), "Dead"),
-            _reaches(s, d, _STAGE_1),
-            (s.between(120, 129) & (d < 80), "Elevated"),
-            ((s < 120) & (d < 80), "Normal"),
-        ],
-        "Uncategorized",
-    )
-
-
-# Exclusive upper bounds (SBP, DBP) of each class.
-_UPPER = (("Normal", 120, 80), ("Elevated", 129, 89), ("Hypertension Stage 1", 139, 89))
+    return _ladder(_col(s), _col(d), BP_ELEVATED_ZERO, zero=True)
 
 
 def bp_class_validity(s, d, hr, spo2) -> Column:
     """Upper-bound classes, preceded by a check for a lost pressure signal."""
     s, d, hr, spo2 = map(_col, (s, d, hr, spo2))
     lost = (s == 0) & (d == 0) & _outside(hr, 80) & _outside(spo2, 80)
-    return first_match(
-        [(lost, "Invalid Measurement")] + [((s < a) & (d < b), name) for name, a, b in _UPPER],
-        "Hypertension Stage 2 or higher",
-    )
+    return first_match([(lost, "Invalid Measurement")] + [((s < a) & (d < b), name) for name, a, b in BP_UPPER], BP_UPPER_REST)
 
 
 def label_threshold(s, d, hr) -> Column:

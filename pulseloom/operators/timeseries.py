@@ -7,7 +7,8 @@ from pulseloom.operators.joins import join_skewed
 from pulseloom.operators.slices import row_frame, running
 from pulseloom.schema import KEY, MEASURES, ORDER
 
-DENSE = 20_000  # readings in one bucket above which rolling means work on whole seconds
+# Documented parameter: readings in one bucket above which rolling means work on sums per second. Rows are the same.
+DENSE = 20_000
 
 # Weekday names, Monday first.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -22,47 +23,45 @@ def lag_lead(df, cols, n=1, by=KEY, order=ORDER, max_rows=None) -> DataFrame:
 
 
 def _with_halo(df, seconds, width):
-    """Copy rows of the last `seconds` of a time bucket into the next bucket as well."""
-    own = F.floor(F.col("_sec") / width)
-    late = F.col("_sec") >= (own + 1) * width - seconds
+    """Copy rows of the last `seconds` of a time bucket into the next bucket as well.
+
+    Rows without a time have no window; they are spread over 64 buckets of their own (negative ones).
+    """
+    own = F.coalesce(F.floor(F.col("_sec") / width), -1 - F.pmod(F.xxhash64(*df.columns), F.lit(64)) - F.lit(1 << 40))
+    late = F.col("_sec") >= (F.col("_own") + 1) * width - seconds
     spread = df.withColumn("_own", own)
     spread = spread.withColumn("_bucket", F.explode(F.array_compact(F.array("_own", F.when(late, F.col("_own") + 1)))))
     return spread.withColumn("_home", F.col("_own") == F.col("_bucket")).drop("_own")
 
 
 def rolling_mean(df, cols=MEASURES, seconds=300, by=KEY, time="DateTime", bucket_seconds=None, dense=DENSE) -> DataFrame:
-    """Mean over the last `seconds` (both ends inclusive, whole seconds) as <col>_RollingAvg.
+    """Mean over the last `seconds` (both ends inclusive, whole seconds) as <col>_RollingAvg; without a time it is null.
 
     Work is split by series and time bucket; a bucket also gets the rows its windows reach
     back to. Where readings are so dense that a window would hold thousands of rows, they
-    are first summed per second, which bounds a bucket by its length whatever the data, and
-    a window is the difference of two running sums within the bucket.
+    are first summed per second, which bounds a bucket by its length whatever the data. Either way
+    a mean is the sum of the window divided by its count, and every row is kept.
     """
     width = bucket_seconds or max(12 * seconds, 3600)
     if width < seconds:
         raise ValueError("bucket_seconds must cover the window")
     by = list(by)
     rows = df.withColumn("_sec", F.unix_seconds(time))
-    fullest = rows.groupBy(*by, F.floor(F.col("_sec") / width).alias("_b")).count().agg(F.max("count")).first()[0]
+    fullest = rows.groupBy(*by, F.floor(F.col("_sec") / width).alias("_b")).count().filter("_b is not null").agg(F.max("count")).first()[0]
+    w = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(-seconds, 0)
 
     if (fullest or 0) <= dense:
-        w = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(-seconds, 0)
         spread = _with_halo(rows, seconds, width)
-        means = spread.select("*", *[F.avg(c).over(w).alias(f"{c}_RollingAvg") for c in cols])
-        return means.filter("_home").drop("_home", "_bucket", "_sec")
+        timed = F.col("_sec").isNotNull()
+        # try_divide: a window without any value has no mean
+        mean = [F.when(timed, F.try_divide(F.sum(c).over(w), F.count(c).over(w))).alias(f"{c}_RollingAvg") for c in cols]
+        return spread.select("*", *mean).filter("_home").drop("_home", "_bucket", "_sec")
 
-    per_second = rows.groupBy(*by, "_sec").agg(
+    per_second = rows.filter("_sec is not null").groupBy(*by, "_sec").agg(
         *[F.sum(c).alias(f"_s_{c}") for c in cols], *[F.count(c).alias(f"_n_{c}") for c in cols]
     )
     spread = _with_halo(per_second, seconds, width)
-    upto = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(Window.unboundedPreceding, 0)
-    gone = Window.partitionBy(*by, "_bucket").orderBy("_sec").rangeBetween(Window.unboundedPreceding, -seconds - 1)
-
-    def inside(c):
-        return F.coalesce(F.sum(c).over(upto), F.lit(0)) - F.coalesce(F.sum(c).over(gone), F.lit(0))
-
-    # try_divide: a window without any value has no mean
-    mean = [F.try_divide(inside(f"_s_{c}"), inside(f"_n_{c}")).alias(f"{c}_RollingAvg") for c in cols]
+    mean = [F.try_divide(F.sum(f"_s_{c}").over(w), F.sum(f"_n_{c}").over(w)).alias(f"{c}_RollingAvg") for c in cols]
     means = spread.select("_home", *by, "_sec", *mean).filter("_home").drop("_home")
     return join_skewed(rows, means, [*by, "_sec"]).select(*df.columns, *[f"{c}_RollingAvg" for c in cols])
 

@@ -7,7 +7,7 @@ from pulseloom.operators.clean import valid_bp
 from pulseloom.plans.base import query
 from pulseloom.plans.vitals import BAD_SBP, DECODED, cte, level_sql, messages, points, points_cte, ts_us, vitals
 from pulseloom.schema import MEASURES
-from pulseloom.sources.codecs import cast_vitals, decode, encode_kv, normalize_aliases, parse_line_protocol
+from pulseloom.sources.codecs import cast_vitals, dead_letters, decode, encode_kv, normalize_aliases, parse_line_protocol
 from pulseloom.sources.points import from_points, points_range, to_points
 
 _ALL = ", ".join(MEASURES)
@@ -51,10 +51,13 @@ def cast_dropna(spark, sf):
 
 @query(
     "dead_letter",
-    cte() + "SELECT concat('not json ', CAST(reading_id AS VARCHAR)) AS payload FROM vitals WHERE reading_id%101=0",
+    cte() + "SELECT reading_id, CASE WHEN reading_id%101=0 THEN 'not JSON' ELSE 'unreadable SBP' END AS reason FROM vitals "
+    f"WHERE reading_id%101=0 OR {BAD_SBP}",
 )
 def dead_letter(spark, sf):
-    return decode(messages(vitals(spark, sf)))[1].select("payload")
+    lost = dead_letters(messages(vitals(spark, sf)))
+    at = F.coalesce(F.get_json_object("payload", "$.reading_id"), F.regexp_extract("payload", "([0-9]+)$", 1))
+    return lost.select(at.cast("long").alias("reading_id"), "reason")
 
 
 @query(

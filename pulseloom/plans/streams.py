@@ -50,7 +50,8 @@ _SENT = (
 
 @query(
     "stream_classify",
-    cte(DECODED, _SENT) + f"SELECT reading_id, strftime(DateTime, '%Y-%m-%d %H:%M:%S') AS t, SBP, {level_sql()} AS BP_level FROM sent",
+    cte(DECODED, f"read AS (SELECT * REPLACE (CASE WHEN {BAD_SBP} THEN NULL ELSE SBP END AS SBP) FROM decoded)")
+    + f"SELECT reading_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, SBP, {level_sql()} AS BP_level FROM read",
 )
 def stream_classify(spark, sf):
     s = stream(spark, sf)

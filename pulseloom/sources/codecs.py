@@ -52,6 +52,21 @@ def cast_vitals(df: DataFrame, required=("SBP", "DBP"), time="DateTime") -> Data
     return nan_to_null(typed).dropna(subset=list(required))
 
 
+def dead_letters(df: DataFrame, value_col: str = "value", time: str = "DateTime") -> DataFrame:
+    """(payload, reason) of messages that are no JSON object or have a value that cannot be read.
+
+    The latter are decoded as well, with that value missing; here they are on record.
+    """
+    good, bad = decode(df.withColumn("_payload", F.col(value_col).cast("string")), value_col=value_col)
+    text = normalize_aliases(good)
+    numbers = [c for c in (*MEASURES, "patient_id", "reading_id") if c in text.columns]
+    faults = [F.when(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(), F.lit(c)) for c in numbers]
+    faults.append(F.when(F.col(time).isNotNull() & parse_time(F.col(time)).isNull(), F.lit(time)))
+    found = F.array_compact(F.array(*faults))
+    lost = text.filter(F.size(found) > 0).select(F.col("_payload").alias("payload"), F.concat(F.lit("unreadable "), F.array_join(found, ", ")).alias("reason"))
+    return bad.select("payload", F.lit("not JSON").alias("reason")).unionByName(lost)
+
+
 def encode_kv(df: DataFrame, key_cols, value_cols) -> DataFrame:
     """Key and value as JSON text; empty fields are left out."""
     return df.select(F.to_json(F.struct(*key_cols)).alias("key"), F.to_json(F.struct(*value_cols)).alias("value"))

@@ -11,13 +11,13 @@ from pulseloom.sources.codecs import cast_vitals, decode, encode_kv, normalize_a
 from pulseloom.sources.sinks import batch_writer
 
 
-def readings(messages: DataFrame, required=("SBP", "DBP")) -> DataFrame:
-    """Messages to typed readings; unreadable messages are left to `decode`'s second result."""
+def readings(messages: DataFrame, required=()) -> DataFrame:
+    """Messages to typed readings, unreadable values missing; what was lost is in `codecs.dead_letters`."""
     return cast_vitals(normalize_aliases(decode(messages)[0]), required)
 
 
 def classify(messages: DataFrame, delay: str = "2 hours") -> DataFrame:
-    """Decode, drop repeated readings, add the pressure level, encode.
+    """Decode, drop repeated readings, add the pressure level, encode. Every decoded message is classified.
 
     Copies are recognised while they arrive within `delay` of each other.
     """
@@ -28,8 +28,8 @@ def classify(messages: DataFrame, delay: str = "2 hours") -> DataFrame:
 
 
 def score(messages: DataFrame, transform, value_cols=("patient_id", "reading_id", "DateTime", "SBP", "DBP", "prediction")) -> DataFrame:
-    """Apply a fitted model (a function of a DataFrame) to a stream of messages and encode the result."""
-    scored = transform(readings(messages))
+    """Apply a fitted model (a function of a DataFrame) to the messages with both pressures and encode the result."""
+    scored = transform(readings(messages, ("SBP", "DBP")))
     text = scored.withColumn("DateTime", F.date_format("DateTime", "yyyy-MM-dd HH:mm:ss"))
     return encode_kv(text, ["DateTime"], list(value_cols))
 

@@ -9,14 +9,18 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pulseloom.ml.forecast import DirectModel
 
 WINDOW = T.StructType([
-    T.StructField("last_us", T.LongType()),
+    T.StructField("ts_us", T.ArrayType(T.LongType())),
+    T.StructField("reading_id", T.ArrayType(T.LongType())),
     T.StructField("SBP", T.ArrayType(T.DoubleType())),
     T.StructField("DBP", T.ArrayType(T.DoubleType())),
 ])
 
 
 class WindowForecast(StatefulProcessor):
-    """Keeps the last `n_in` valid readings. Rows older than the newest kept one are dropped as late.
+    """Keeps the last `n_in` valid readings; every new reading is forecast from the readings up to it.
+
+    A late reading takes its place among the kept ones. Only one that is older than all of a full window
+    is dropped: the readings its own window needs are gone.
 
     The rows of a patient in one micro-batch are put in order by time, so the source's rate
     limit (maxFilesPerTrigger, maxOffsetsPerTrigger) bounds what a task holds.
@@ -29,28 +33,29 @@ class WindowForecast(StatefulProcessor):
         self.state = handle.getValueState("window", WINDOW)
 
     def handleInputRows(self, key, rows, timerValues):
-        parts = [p for p in rows if len(p)]
-        pdf = pd.concat(parts) if len(parts) > 1 else parts[0]
-        pdf = pdf.sort_values(["ts_us", "reading_id"], kind="stable")
-        last, sbp, dbp = self.state.get() if self.state.exists() else (None, [], [])
-        if last is not None:
-            pdf = pdf[pdf["ts_us"] >= last]
-        if len(pdf):
-            n, old = self.model.n_in, len(sbp)
-            signals = np.column_stack([np.concatenate([sbp, pdf["SBP"]]), np.concatenate([dbp, pdf["DBP"]])])
-            out = []
-            for i in range(old, len(signals)):
-                if i + 1 >= n:
-                    ahead = self.model.predict(signals[i + 1 - n : i + 1])
-                    out.append((i - old, *[float(ahead[h - 1, s]) for s in (0, 1) for h in self.horizons]))
-            kept = signals[-n:]
-            self.state.update((int(pdf["ts_us"].iloc[-1]), kept[:, 0].tolist(), kept[:, 1].tolist()))
-            if out:
-                at = [o[0] for o in out]
-                answer = {"patient_id": int(key[0]), "reading_id": pdf["reading_id"].to_numpy()[at], "ts_us": pdf["ts_us"].to_numpy()[at]}
-                names = [f"{c}_{h}" for c in ("SBP", "DBP") for h in self.horizons]
-                answer |= {m: [o[1 + j] for o in out] for j, m in enumerate(names)}
-                yield pd.DataFrame(answer)
+        n = self.model.n_in
+        names = [f.name for f in WINDOW]
+        new = pd.concat([p[names] for p in rows]).assign(new=True)
+        old = pd.DataFrame(dict(zip(names, self.state.get() if self.state.exists() else [[] for _ in names]))).assign(new=False)
+        if len(old) == n:
+            new = new[new["ts_us"] >= old["ts_us"].iloc[0]]
+        if not len(new):
+            return
+        pdf = pd.concat([old.astype(new.dtypes.to_dict()), new]).sort_values(["ts_us", "reading_id"], kind="stable", ignore_index=True)
+        last = pdf.iloc[-n:]
+        self.state.update(tuple(last[c].tolist() for c in names))
+        if len(pdf) < n:
+            return
+        signals = pdf[["SBP", "DBP"]].to_numpy(dtype=float)
+        windows = np.lib.stride_tricks.sliding_window_view(signals, n, axis=0)  # (ends, signals, lags)
+        wanted = pdf["new"].to_numpy()[n - 1 :]
+        flat = windows[wanted].reshape(int(wanted.sum()), -1)
+        ahead = (np.column_stack([np.ones(len(flat)), flat]) @ self.model.weights).reshape(len(flat), 2, self.model.n_out)
+        ends = pdf.iloc[n - 1 :][wanted]
+        answer = {"patient_id": int(key[0]), "reading_id": ends["reading_id"].to_numpy(), "ts_us": ends["ts_us"].to_numpy()}
+        answer |= {f"{c}_{h}": ahead[:, s, h - 1] for s, c in enumerate(("SBP", "DBP")) for h in self.horizons}
+        if len(flat):
+            yield pd.DataFrame(answer)
 
     def close(self) -> None:
         pass
