@@ -34,6 +34,17 @@ class DirectModel:
         flat = np.concatenate([[1.0], window.T.ravel()])
         return (flat @ self.weights).reshape(len(self.cols), self.n_out).T
 
+    def ahead(self, x="x"):
+        """All predictions of a window as one array: every step of the first signal, then of the next."""
+        weights = self.weights
+
+        @F.pandas_udf("array<double>")
+        def predict(lags: pd.Series) -> pd.Series:
+            flat = np.stack(lags.to_numpy()) if len(lags) else np.zeros((0, len(weights) - 1))
+            return pd.Series(list(np.column_stack([np.ones(len(flat)), flat]) @ weights))
+
+        return predict(F.concat(*[F.col(f"{x}.{c}") for c in self.cols]))
+
     def transform(self, windows: DataFrame, horizons=(1, 15, 30), x="x") -> DataFrame:
         """Add <col>_<h> predictions to a table of windows, as plain expressions."""
         lags = [F.col(x)[i][c] for c in self.cols for i in range(self.n_in)]
@@ -50,7 +61,12 @@ class DirectModel:
 
 
 def direct_fit(df: DataFrame, n_in=10, n_out=30, cols=SIGNALS, ridge=1e-6) -> DirectModel:
-    """Least squares for all steps and signals at once.
+    """Least squares for all steps and signals at once, over all complete windows of the readings."""
+    return direct_fit_windows(supervised_windows(df, n_in, n_out, cols), n_in, n_out, cols, ridge)
+
+
+def direct_fit_windows(windows: DataFrame, n_in=10, n_out=30, cols=SIGNALS, ridge=1e-6) -> DirectModel:
+    """Least squares over windows (`x`, `y`) such as `supervised_windows` gives.
 
     Every task adds up products of its rows; the sums, a fixed number, are added by Spark and
     solved on the driver.
@@ -58,7 +74,7 @@ def direct_fit(df: DataFrame, n_in=10, n_out=30, cols=SIGNALS, ridge=1e-6) -> Di
     def values(a):
         return F.concat(*[F.col(f"{a}.{c}") for c in cols])
 
-    rows = supervised_windows(df, n_in, n_out, cols).select(values("x").alias("f"), values("y").alias("t"))
+    rows = windows.select(values("x").alias("f"), values("y").alias("t"))
     k, m = 1 + n_in * len(cols), n_out * len(cols)
 
     def products(batches):

@@ -105,14 +105,18 @@ def isolation_forest(df: DataFrame, cols=("SBP", "DBP"), key="reading_id", trees
     n = rows.count()
     if n < 2:
         raise ValueError("an isolation forest needs at least two rows")
-    # a pool of about 64 samples, from which each tree draws its own rows by hash
-    pool_size = min(n, 64 * sample)
-    resolution = 1 << 40
-    chance = lambda e, p: F.pmod(e, F.lit(resolution)) < int(resolution * p)
-    pool = rows.select(key, *cols).filter(chance(F.xxhash64(F.col(key), F.lit(seed)), min(1.0, pool_size / n)))
-    pool = pool.dropDuplicates([key])  # copies of a reading share its hash
-    drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    drawn = drawn.filter(chance(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed + 1)), min(1.0, sample / pool_size)))
+    # every row joins every tree with the same chance p, decided by hashes of its key: the first one gives the row's first
+    # tree (most rows have none), the others are asked for the trees after it
+    p = sample / n
+    if p >= 1:
+        drawn = rows.select(key, *cols).dropDuplicates([key]).withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    else:
+        uniform = lambda *c: (F.pmod(F.xxhash64(*c), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+        first = F.floor(F.log(uniform(F.col(key), F.lit(seed))) / math.log1p(-p))
+        used = rows.select(key, *cols, first.alias("first")).filter(F.col("first") < trees).dropDuplicates([key])  # about trees * sample rows
+        drawn = used.withColumn("tree", F.explode(F.sequence(F.col("first"), F.lit(trees - 1).cast("long"))))
+        drawn = drawn.filter((F.col("tree") == F.col("first")) | (uniform(F.col(key), F.col("tree"), F.lit(seed + 1)) < p))
+        drawn = drawn.withColumn("tree", F.col("tree").cast("int")).drop("first")
     limit = math.ceil(math.log2(max(2, min(sample, n))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -8,6 +8,7 @@ compared row by row.
 """
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +30,19 @@ def _norm(dx, dy, metric):
     raise ValueError(metric)
 
 
-def _pyramid(reference: DataFrame, cols, label):
-    """Merged locations with the indices of their finest cell, and the geometry of the cells."""
+@dataclass
+class Reference:
+    """Reference rows made ready: merged locations with the indices of their finest cell, its level, and the cells' geometry."""
+
+    locations: DataFrame
+    level: int
+    geometry: tuple
+    cols: tuple
+    label: str
+
+
+def prepare(reference: DataFrame, cols=("SBP", "DBP"), label="label") -> Reference:
+    """Merge and place the reference rows once, for any number of calls (such as one per micro-batch)."""
     x, y = cols
     merged = reference.dropna(subset=[x, y, label]).groupBy(x, y, label).agg(F.count(F.lit(1)).alias("n"))
     locs = materialize(merged.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(label).alias("label"), "n"), "knn")
@@ -50,15 +62,17 @@ def _pyramid(reference: DataFrame, cols, label):
         if spots.groupBy("cx", "cy").count().agg(F.max("count")).first()[0] <= CELL_ROWS:
             break
         level += 2
-    return placed(level), level, (x0, y0, size)
+    return Reference(materialize(placed(level), "knn-cells"), level, (x0, y0, size), tuple(cols), label)
 
 
-def nearest(queries: DataFrame, reference: DataFrame, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean") -> DataFrame:
+def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean") -> DataFrame:
     """The k nearest reference rows of each distinct query location, as (qx, qy, d, label, n).
 
-    Rows count by their number `n`; among equally near ones the smaller label comes first.
+    `reference` is a table or what `prepare` made of it. Rows count by their number `n`; among equally near ones the
+    smaller label comes first.
     """
-    locs, level, (x0, y0, size) = _pyramid(reference, cols, label)
+    ready = reference if isinstance(reference, Reference) else prepare(reference, cols, label)
+    locs, level, (x0, y0, size) = ready.locations, ready.level, ready.geometry
 
     def cells(at):
         shift = level - at
@@ -102,7 +116,7 @@ def nearest(queries: DataFrame, reference: DataFrame, cols=("SBP", "DBP"), label
     return taken.select("qx", "qy", out.alias("d"), "label", F.col("take").alias("n"))
 
 
-def knn_classify(queries: DataFrame, reference: DataFrame, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean",
+def knn_classify(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean",
                  weights="uniform") -> DataFrame:
     """`queries` plus `prediction` and `share`, its part of the votes (smaller label on a tie)."""
     near = nearest(queries, reference, cols, label, k, metric)

@@ -1,8 +1,8 @@
 """One-class SVM with an RBF kernel, as a linear model on random Fourier features.
 
 The kernel is approximated by cosines (Rahimi, Recht 2007); the primal objective of
-Schoelkopf et al. (2001), |w|^2/2 - rho + mean(max(0, rho - w.z))/nu, is minimised by
-subgradient steps, each one distributed aggregate over the distinct feature values.
+Schoelkopf et al. (2001), |w|^2/2 - rho + mean(max(0, rho - w.z))/nu, is minimised in its dual form,
+each step one distributed aggregate over the distinct feature values.
 """
 
 from __future__ import annotations
@@ -56,12 +56,17 @@ def one_class_svm(df: DataFrame, cols=("SBP", "DBP"), nu=0.1, **params) -> OneCl
     return one_class_svms(df, [nu], cols, **params)[0]
 
 
-def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=64, steps=20, seed=42) -> list:
+BINS = 256
+
+
+def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=256, steps=25, tolerance=5e-3, seed=42) -> list:
     """Fit a model for each nu, all in the same passes. `gamma` defaults to 1 / number of columns.
 
-    Equal feature values are merged into weighted rows. In a pass every task adds up the
-    features of its rows below rho and counts its margins in bins of 0.001, from which the next
-    rho, the nu-quantile, is read.
+    Equal feature values are merged into weighted rows. w is a mean of features in which no row has more than
+    1 / (nu * rows); the step goes towards the mean g of the nu part of the rows with the lowest margins, as far as w gets shorter
+    (Frank, Wolfe 1956). w.w - w.g bounds how far w is from the optimum; when it is below `tolerance` of w.w for all models
+    the fit ends. In a pass every task adds up the features of its rows in BINS bins of the margin, one job per step. rho,
+    the nu-quantile of the margins, is found at the end by zooming into the bin that holds it.
     """
     cols, nus = list(cols), np.array(nus, dtype=float)
     gamma = gamma or 1 / len(cols)
@@ -71,47 +76,61 @@ def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=64
     models = len(nus)
     merged = df.dropna(subset=cols).groupBy(*cols).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
-    with kept(merged) as data:
+    with kept(merged.coalesce(64)) as data:
 
-        def one_pass(w, rho):
-            """Per model the weighted feature sums of the rows below rho (first their weight), and the margins' bins."""
+        def one_pass(w, low, high, sums=True):
+            """Per model and bin of [low, high): weight, and the feature sums; the ends take what lies outside. Also the margins' range."""
+            size = 1 + (width if sums else 0)
 
             def local(batches):
-                sums, bins = np.zeros((models, 1 + width)), pd.DataFrame({"model": [], "k": [], "v": []})
+                total = np.zeros((models, BINS, size))
+                ends = np.stack([np.full(models, math.inf), np.full(models, -math.inf)])
                 for pdf in batches:
+                    if not len(pdf):
+                        continue
                     z = np.cos(pdf[cols].to_numpy(dtype=float) @ directions.T + phases) * math.sqrt(2 / width)
                     n, margin = pdf["n"].to_numpy(), z @ w.T
-                    low = np.where(margin < rho, n[:, None], 0.0)
-                    sums += np.column_stack([low.sum(axis=0), low.T @ z])
-                    seen = pd.DataFrame({
-                        "model": np.tile(np.arange(models), len(n)), "k": np.rint(margin * 1000).ravel(), "v": np.repeat(n, models)
-                    })
-                    bins = pd.concat([bins, seen]).groupby(["model", "k"], as_index=False)["v"].sum()
-                model, k = np.indices(sums.shape)
-                yield pd.DataFrame({"kind": 0, "model": model.ravel(), "k": k.ravel(), "v": sums.ravel()})
-                if len(bins):
-                    yield bins.assign(kind=1)[["kind", "model", "k", "v"]].astype({"model": int, "k": int})
-
-            rows = data.mapInPandas(local, "kind int, model int, k long, v double")
-            rows = rows.groupBy("kind", "model", "k").agg(F.sum("v").alias("v")).toPandas()  # at most a few thousand per model
-            sums = rows[rows["kind"] == 0].sort_values(["model", "k"])["v"].to_numpy().reshape(models, 1 + width)
-            return sums, rows[rows["kind"] == 1].sort_values(["model", "k"])
-
-        def quantiles(bins):
-            out = []
-            for i, nu in enumerate(nus):
-                mine = bins[bins["model"] == i]
-                upto = mine["v"].cumsum().to_numpy()
-                out.append(mine["k"].to_numpy()[np.searchsorted(upto, nu * upto[-1])] / 1000)
-            return np.array(out)
-
-        sums, _ = one_pass(np.zeros((models, width)), np.full(models, math.inf))
-        total, w = sums[0, 0], sums[:, 1:] / sums[0, 0]  # the mean, which is the answer for nu = 1
-        rho = quantiles(one_pass(w, np.full(models, -math.inf))[1])
-        for step in range(steps):
-            sums, bins = one_pass(w, rho)
-            rho = quantiles(bins)
-            rate = 1 / (step + 2)
-            w = (1 - rate) * w + rate * sums[:, 1:] / (nus[:, None] * total)
-        rho = quantiles(one_pass(w, rho)[1])
-    return [OneClassModel(tuple(cols), directions.tolist(), phases.tolist(), a.tolist(), float(r)) for a, r in zip(w, rho)]
+                    ends = np.stack([np.minimum(ends[0], margin.min(axis=0)), np.maximum(ends[1], margin.max(axis=0))])
+                    rows = np.column_stack([n, z * n[:, None]]) if sums else n[:, None]
+                    at = np.clip(np.floor((margin - low) / (high - low) * BINS), 0, BINS - 1).astype(int)
+                    for i in range(models):
+                        order = np.argsort(at[:, i], kind="stable")
+                        first = np.flatnonzero(np.diff(at[order, i], prepend=-1))
+                        total[i, at[order[first], i]] += np.add.reduceat(rows[order], first, axis=0)
+                yield pd.DataFrame({"total": [total.tobytes()], "ends": [ends.tobytes()]})
+
+            total, ends = np.zeros((models, BINS, size)), []
+            for row in data.mapInPandas(local, "total binary, ends binary").collect():  # at most 64 rows of fixed size
+                total += np.frombuffer(row.total).reshape(total.shape)
+                ends.append(np.frombuffer(row.ends).reshape(2, models))
+            return total, np.min([e[0] for e in ends], axis=0), np.max([e[1] for e in ends], axis=0)
+
+        def wider(low, high):
+            spare = 0.1 * (high - low) + 1e-12
+            return low - spare, high + spare
+
+        start, _, _ = one_pass(np.zeros((models, width)), np.zeros(models), np.ones(models))
+        rows = start[0, :, 0].sum()
+        if not rows:
+            raise ValueError("no rows to learn from")
+        w = start[:, :, 1:].sum(axis=1) / rows  # the mean, which is the answer for nu = 1
+        _, low, high = one_pass(w, np.zeros(models), np.ones(models), sums=False)
+        for _ in range(steps):
+            total, low, high = one_pass(w, *wider(low, high))
+            weight = total[:, :, 0]
+            before = np.cumsum(weight, axis=1) - weight
+            share = np.clip((nus[:, None] * rows - before) / np.maximum(weight, 1e-12), 0, 1)  # part of a bin in the nu part
+            g = (share[:, :, None] * total[:, :, 1:]).sum(axis=1) / (nus[:, None] * rows)
+            gap = (w * (w - g)).sum(axis=1)
+            if (gap <= tolerance * (w * w).sum(axis=1)).all():
+                break
+            rate = np.clip(gap / np.maximum(((w - g) ** 2).sum(axis=1), 1e-300), 0, 1)
+            w = w + rate[:, None] * (g - w)
+        _, low, high = one_pass(w, np.zeros(models), np.ones(models), sums=False)
+        bottom, top = wider(low, high)
+        for _ in range(4):
+            weight = one_pass(w, bottom, top, sums=False)[0][:, :, 0]
+            k = (np.cumsum(weight, axis=1) <= nus[:, None] * rows).sum(axis=1).clip(max=BINS - 1)
+            step = (top - bottom) / BINS
+            bottom, top = bottom + k * step, bottom + (k + 1) * step
+    return [OneClassModel(tuple(cols), directions.tolist(), phases.tolist(), a.tolist(), float(r)) for a, r in zip(w, bottom)]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseloom.ml.features import assemble, kept
+from pulseloom.operators.clean import hash_bucket
 
 
 @dataclass
@@ -78,13 +79,24 @@ def _margins(svc, df):
     return svc.transform(df).withColumn("_margin", vector_to_array("_raw")[1])
 
 
-def support_vector(df, cols, label="label", reg=0.01, max_iter=20) -> SupportVectorModel:
-    """Linear SVC on standardised features; a logistic curve over the margin gives probabilities."""
-    with kept(training_rows(df, cols, label)) as rows:
+def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_id", seed=42) -> SupportVectorModel:
+    """Linear SVC on standardised features; a logistic curve over the margin gives probabilities.
+
+    The curve is fitted to margins of rows the machine behind them has not learned from: of two halves, dealt by a hash of
+    `key`, each is judged by a machine fitted to the other. Without such a column it is fitted to the training margins.
+    """
+    half = hash_bucket(key, seed, 2) if key in df.columns else F.lit(0)
+    with kept(df.select(*cols, F.col(label).cast("double").alias("label"), half.cast("int").alias("half"))) as rows:
         data = assemble(rows, cols)
         scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True).fit(data)
         scaled = scaler.transform(data)
-        svc = LinearSVC(featuresCol="_scaled", rawPredictionCol="_raw", predictionCol="_svc", regParam=reg, maxIter=max_iter).fit(scaled)
+        machine = LinearSVC(featuresCol="_scaled", rawPredictionCol="_raw", predictionCol="_svc", regParam=reg, maxIter=max_iter)
+        svc = machine.fit(scaled)
+        margins = _margins(svc, scaled)
+        # labels seen in each half: a machine needs both
+        if rows.groupBy("half").agg(F.countDistinct("label").alias("n")).filter("n = 2").count() == 2:
+            judged = [_margins(machine.fit(scaled.filter(F.col("half") != h)), scaled.filter(F.col("half") == h)).select("_margin", "label") for h in (0, 1)]
+            margins = judged[0].unionByName(judged[1])
         curve = LogisticRegression(featuresCol="_m", probabilityCol="_platt", rawPredictionCol="_pr", predictionCol="_pp", maxIter=max_iter)
-        platt = curve.fit(assemble(_margins(svc, scaled), ["_margin"], "_m").select("_m", "label"))
+        platt = curve.fit(assemble(margins, ["_margin"], "_m").select("_m", "label"))
     return SupportVectorModel(scaler, svc, platt, tuple(cols))

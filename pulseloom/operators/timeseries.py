@@ -22,6 +22,13 @@ def lag_lead(df, cols, n=1, by=KEY, order=ORDER, max_rows=None) -> DataFrame:
     return frame.finish(frame.df.select("*", *extra))
 
 
+def leads(df, cols, steps, by=KEY, order=ORDER, max_rows=None) -> DataFrame:
+    """Values several rows ahead, <col>_lead_<n> for every n of `steps`, over one window."""
+    frame = row_frame(df, by, order, 0, max(steps), max_rows)
+    w = frame.window()
+    return frame.finish(frame.df.select("*", *[F.lead(c, n).over(w).alias(f"{c}_lead_{n}") for c in cols for n in steps]))
+
+
 def _with_halo(df, seconds, width):
     """Copy rows of the last `seconds` of a time bucket into the next bucket as well.
 

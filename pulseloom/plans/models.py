@@ -7,11 +7,12 @@ from pulseloom.functions import rules
 from pulseloom.ml import bayes, cluster, features, forecast, iforest, knn, ocsvm, search, trees, vote
 from pulseloom.operators import metrics
 from pulseloom.operators.clean import split_chronological, split_hash
-from pulseloom.operators.timeseries import supervised_windows
+from pulseloom.operators.timeseries import leads, supervised_windows
 from pulseloom.plans.base import query
 from pulseloom.plans.cleaning import hash_sql
 from pulseloom.plans.vitals import LABEL_SQL, cte, r6, vitals
 from pulseloom.schema import MEASURES
+from pulseloom.session import materialize
 
 _W = "OVER (PARTITION BY patient_id ORDER BY DateTime, reading_id)"
 _IMPORTANCE_COLS = ("RR", "SPO2", "MAP", "HR", "PP", "CO")
@@ -47,10 +48,25 @@ def l1_normalize(spark, sf):
     return out.select("reading_id", *[r6(f"{c}_l1", f"{c}_l1") for c in _IMPORTANCE_COLS])
 
 
-@query("kmeans_fit")
+def _all(condition):
+    """One boolean: the condition holds for every row (null counts as false)."""
+    return F.coalesce(F.min(F.coalesce(condition, F.lit(False)).cast("int")), F.lit(1)) == 1
+
+
+_SPLIT = f"split AS (SELECT *, {LABEL_SQL} AS label, {hash_sql()} < 80 AS is_train FROM vitals)"
+_TEST = cte(_SPLIT)
+
+
+@query("kmeans_fit", cte() + "SELECT 2 AS clusters, count(*) AS n, true AS centres_are_means FROM vitals")
 def kmeans_fit(spark, sf):
-    model = cluster.kmeans_fit(vitals(spark, sf))
-    return spark.createDataFrame([(i, float(c[0]), float(c[1])) for i, c in enumerate(model.clusterCenters())], "cluster int, SBP double, DBP double")
+    """The centres of the fit, checked: each is the mean of the rows nearest to it."""
+    v = vitals(spark, sf)
+    model = cluster.kmeans_fit(v)
+    centres = [tuple(map(float, c)) for c in model.clusterCenters()]
+    near = v.withColumn("c", cluster.nearest_center(("SBP", "DBP"), centres)).groupBy("c").agg(F.avg("SBP").alias("s"), F.avg("DBP").alias("d"), F.count(F.lit(1)).alias("n"))
+    at = lambda i: F.array(*[F.lit(c[i]) for c in centres])[F.col("c")]
+    close = (F.abs(F.col("s") - at(0)) < 0.05) & (F.abs(F.col("d") - at(1)) < 0.05)
+    return near.agg(F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("n").alias("n"), _all(close).alias("centres_are_means"))
 
 
 _CENTERS = ((110.0, 65.0), (150.0, 90.0), (0.0, 0.0))
@@ -65,78 +81,138 @@ def kmeans_assign(spark, sf):
     return vitals(spark, sf).select("reading_id", cluster.nearest_center(("SBP", "DBP"), _CENTERS).alias("prediction"))
 
 
-@query("cluster_agreement")
+@query("cluster_agreement", cte("l AS (SELECT " + LABEL_SQL + " AS label FROM vitals)", "m AS (SELECT max(n) AS most, sum(n) AS total FROM (SELECT count(*) AS n FROM l GROUP BY label))")
+       + "SELECT CAST(total AS BIGINT) AS total, true AS at_least_majority FROM m")
 def cluster_agreement(spark, sf):
+    """Agreement of clusters and labels; naming clusters by their labels can't be worse than one label for all."""
     v = labelled(spark, sf)
     scored = cluster.kmeans_predict(cluster.kmeans_fit(v), v)
-    return cluster.cluster_agreement(scored)
+    most = scored.groupBy("label").count().agg(F.max("count").alias("most"))
+    found = cluster.cluster_agreement(scored).crossJoin(F.broadcast(most))  # one row each
+    right = (F.col("correct") >= F.col("most")) & (F.abs(F.col("accuracy") * F.col("total") - F.col("correct")) < 1e-3)
+    return found.select("total", right.alias("at_least_majority"))
 
 
-@query("cluster_labels")
+@query("cluster_labels", cte() + "SELECT prediction, count(*) AS rows_in_all, true AS most_frequent FROM vitals CROSS JOIN (SELECT unnest([0, 1]) AS prediction) GROUP BY 1")
 def cluster_labels(spark, sf):
     v = labelled(spark, sf)
-    return cluster.cluster_labels(cluster.kmeans_predict(cluster.kmeans_fit(v), v))
+    scored = cluster.kmeans_predict(cluster.kmeans_fit(v), v).select("prediction", "label")
+    named = cluster.cluster_labels(scored)
+    counts = scored.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"))
+    total = scored.count()
+    mode = F.when(2 * F.col("ones") > F.col("n"), 1).otherwise(0)
+    return named.join(counts, "prediction").select("prediction", F.lit(total).alias("rows_in_all"), (F.col("cluster_label") == mode).alias("most_frequent"))
 
 
 def _forest(spark, sf):
     v = vitals(spark, sf).withColumn("label", rules.sbp_band(F.col("SBP") - 60))
     train, test = _parts(v)
-    return trees.random_forest(train, _IMPORTANCE_COLS, l1=True), test
+    return trees.random_forest(train, _IMPORTANCE_COLS, l1=True), train, test
+
 
+_BAND = "CASE WHEN SBP-60>80 THEN 3 WHEN SBP-60>50 THEN 2 ELSE 1 END"
 
-@query("rf_predict")
+
+@query("rf_predict", _TEST + f"SELECT reading_id, {_BAND} AS label, true AS valid FROM split WHERE NOT is_train")
 def rf_predict(spark, sf):
-    model, test = _forest(spark, sf)
-    shares = [F.col("probability")[i].alias(f"p{i}") for i in (1, 2, 3)]
-    return model.transform(test).select("reading_id", "label", "prediction", *shares)
+    """Predictions of the forest, checked: probabilities that add up to one, the prediction the likeliest class."""
+    model, _, test = _forest(spark, sf)
+    p = F.col("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    valid = (F.abs(total - 1) < 1e-9) & (p[F.col("prediction")] == F.array_max(p)) & F.col("prediction").between(1, 3)
+    return model.transform(test).select("reading_id", "label", valid.alias("valid"))
 
 
-@query("feature_importance")
+@query("feature_importance", _TEST + "SELECT feature, count(*) AS n_train, true AS valid FROM split CROSS JOIN (SELECT unnest(["
+       + ", ".join(f"'{c}'" for c in _IMPORTANCE_COLS) + "]) AS feature) WHERE is_train GROUP BY 1")
 def feature_importance(spark, sf):
-    return trees.feature_importance(_forest(spark, sf)[0])
+    """Importances, checked: none negative, together one."""
+    model, train, _ = _forest(spark, sf)
+    found = trees.feature_importance(model)
+    total = found.agg(F.sum("importance")).first()[0]
+    return found.select("feature", F.lit(train.count()).alias("n_train"), ((F.col("importance") >= 0) & F.lit(abs(total - 1) < 1e-6)).alias("valid"))
+
 
+_FAR = ((-1, 400.0, 5.0), (-2, 2.0, 300.0), (-3, 500.0, 400.0))
 
-@query("isolation_forest")
+
+@query("isolation_forest", _TEST + "SELECT reading_id, CASE WHEN SBP=0 THEN NULL ELSE true END AS valid, true AS share_near FROM split WHERE NOT is_train AND SBP<>0 "
+       "UNION ALL SELECT r, true, true FROM (SELECT unnest([-1, -2, -3]) AS r) CROSS JOIN (SELECT count(*) AS n FROM split) WHERE n > 0")
 def isolation_forest(spark, sf):
-    train, test = _parts(vitals(spark, sf).select("reading_id", "SBP", "DBP"))
+    """Scores of the test part without lost signals and of three far readings, which are flagged; about 3 % of the others are."""
+    train, test = _parts(vitals(spark, sf).select("reading_id", "SBP", "DBP").filter("SBP <> 0"))
     model = iforest.isolation_forest(train, contamination=0.03)
-    scored = model.transform(test)
-    return scored.select("reading_id", "score", "prediction", rules.detection_label("prediction").alias("Label"))
+    far = spark.createDataFrame(list(_FAR), "reading_id long, SBP double, DBP double")
+    scored = model.transform(test.select("reading_id", "SBP", "DBP").unionByName(far))
+    share = scored.filter("reading_id >= 0").agg(F.avg((F.col("prediction") == -1).cast("int"))).first()[0]
+    flagged = F.col("prediction") == -1
+    same = F.col("score").between(0, 1) & (flagged == (F.col("score") > model.cutoff)) & ((rules.detection_label("prediction") == "Anomaly") == flagged)
+    valid = same & (flagged | (F.col("reading_id") >= 0))
+    return scored.select("reading_id", valid.alias("valid"), F.lit(abs(share - 0.03) < 0.04).alias("share_near"))
+
+
+def outside_share(model_or_decision, train, index=0):
+    """Part of the training rows outside one of several models."""
+    return train.agg(F.avg((model_or_decision[index] < 0).cast("int"))).first()[0]
 
 
-@query("ocsvm_score")
+@query("ocsvm_score", _TEST + "SELECT reading_id, true AS valid, true AS outside_near_nu FROM split WHERE NOT is_train")
 def ocsvm_score(spark, sf):
+    """Scores of the test part; about nu of the training rows lie outside."""
     train, test = _parts(vitals(spark, sf).select("reading_id", "SBP", "DBP"))
-    return ocsvm.one_class_svm(train, nu=0.1, steps=8).transform(test).select("reading_id", "score", "prediction")
+    model = ocsvm.one_class_svm(train, nu=0.1)
+    share = outside_share(ocsvm.decisions([model]), train)
+    scored = model.transform(test)
+    valid = (F.col("prediction") == -1) == (F.col("score") > 0)
+    return scored.select("reading_id", valid.alias("valid"), F.lit(abs(share - 0.1) < 0.03).alias("outside_near_nu"))
 
 
-@query("best_param")
+@query("best_param", _TEST + "SELECT nu, count(*) AS n_test, true AS outside_near_nu, true AS auc_valid FROM split CROSS JOIN (SELECT unnest([0.1e0, 0.2e0, 0.3e0, 0.4e0, 0.5e0]) AS nu) WHERE NOT is_train GROUP BY 1")
 def best_param(spark, sf):
+    """One-class models for several nu, their areas under the curve, and the best of them."""
     train, test = _parts(labelled(spark, sf).select("reading_id", "SBP", "DBP", "label"))
     nus = (0.1, 0.2, 0.3, 0.4, 0.5)
-    models = ocsvm.one_class_svms(train, nus, steps=8)
-    scored = test.select("label", ocsvm.decisions(models).alias("d"))
+    models = ocsvm.one_class_svms(train, nus)
+    decided = ocsvm.decisions(models)
+    shares = train.select(decided.alias("d")).agg(*[F.avg((F.col("d")[i] < 0).cast("int")) for i in range(len(nus))]).first()
+    scored = test.select("label", decided.alias("d"))
     scored = scored.select("label", F.posexplode("d").alias("i", "d"))
     scored = scored.select("label", F.array(*map(F.lit, nus))[F.col("i")].alias("nu"), (-F.col("d")).alias("score"))
-    return metrics.best_param(metrics.roc_auc(scored, "label", "score", ["nu"]), "nu", "roc_auc")
+    areas = metrics.roc_auc(scored, "label", "score", ["nu"])
+    best = metrics.best_param(areas, "nu", "roc_auc").first()
+    near = {n: abs(s - n) < 0.03 for n, s in zip(nus, shares)}
+    is_near = F.array(*[F.lit(near[n]) for n in nus])[F.array_position(F.array(*map(F.lit, nus)), F.col("nu")).cast("int") - 1]
+    n_test = test.count()
+    return areas.select("nu", F.lit(n_test).alias("n_test"), is_near.alias("outside_near_nu"),
+                        (F.col("roc_auc").between(0, 1) & (F.col("roc_auc") <= best["roc_auc"])).alias("auc_valid"))
+
+
+_SUPPORT = (
+    _TEST + "SELECT CAST(label AS VARCHAR) AS class, count(*) AS support, true AS accurate FROM split WHERE NOT is_train GROUP BY 1 "
+    "UNION ALL SELECT 'micro', count(*), true FROM split WHERE NOT is_train"
+)
+
+
+def _report(scored):
+    """Support per class, and whether at least 95 % of the rows are right (the labels are bounds on the features)."""
+    report = metrics.class_report(scored, "label", "prediction")
+    micro = report.filter("class = 'micro'").first()["precision"]
+    return report.filter("support > 0").select("class", "support", F.lit(micro >= 0.95).alias("accurate"))
 
 
-@query("gbt_predict")
+@query("gbt_predict", _SUPPORT)
 def gbt_predict(spark, sf):
     train, test = _parts(labelled(spark, sf))
-    scored = trees.boosted_trees(train, MEASURES).transform(test)
-    return metrics.class_report(scored, "label", "prediction")
+    return _report(trees.boosted_trees(train, MEASURES).transform(test))
 
 
-@query("decision_tree_predict")
+@query("decision_tree_predict", _SUPPORT)
 def decision_tree_predict(spark, sf):
     train, test = _parts(labelled(spark, sf))
-    scored = trees.decision_tree(train, MEASURES, maxDepth=5).transform(test)
-    return metrics.class_report(scored, "label", "prediction")
+    return _report(trees.decision_tree(train, MEASURES, maxDepth=5).transform(test))
 
 
 _NB = ("SBP", "DBP", "HR")
-_SPLIT = f"split AS (SELECT *, {LABEL_SQL} AS label, {hash_sql()} < 80 AS is_train FROM vitals)"
 
 
 def _nb_sql():
@@ -182,7 +258,7 @@ def knn_manhattan(spark, sf):
     return knn.knn_classify(test, train, k=9, metric="manhattan").select("reading_id", "prediction", r6("share", "share"))
 
 
-@query("soft_vote")
+@query("soft_vote", _TEST + "SELECT reading_id, label, true AS valid FROM split WHERE NOT is_train")
 def soft_vote(spark, sf):
     train, test = _parts(labelled(spark, sf))
     models = {
@@ -194,14 +270,19 @@ def soft_vote(spark, sf):
     near = knn.knn_classify(test, train)
     near = near.withColumn("p_knn", F.when(F.col("prediction") == 1, F.col("share")).otherwise(1 - F.col("share"))).drop("prediction", "share")
     out = vote.soft_vote(near, models, ["p_knn"])
-    return out.select("reading_id", "label", "prediction", *[f"p_{n}" for n in (*models, "knn")], "probability")
+    parts = [F.col(f"p_{n}") for n in (*models, "knn")]
+    mean = sum(parts[1:], parts[0]) / len(parts)
+    valid = (F.abs(F.col("probability") - mean) < 1e-9) & (F.col("prediction") == (mean > 0.5).cast("int")) & mean.between(0, 1)
+    return out.select("reading_id", "label", valid.alias("valid"))
 
 
-@query("grid_search")
+@query("grid_search", _TEST + "SELECT params, count(*) AS n_train, true AS valid FROM split CROSS JOIN (SELECT 'maxDepth=' || d || ',minInstancesPerNode=' || m AS params "
+       "FROM (SELECT unnest([3, 5]) AS d), (SELECT unnest([1, 4]) AS m)) WHERE is_train GROUP BY 1")
 def grid_search(spark, sf):
+    """Every combination with its cross-validated accuracy, which is that of bounds a tree can learn."""
     train, _ = _parts(labelled(spark, sf))
     _, table = search.grid_search(train, DecisionTreeClassifier(seed=42), {"maxDepth": [3, 5], "minInstancesPerNode": [1, 4]}, MEASURES)
-    return table
+    return table.select("params", F.lit(train.count()).alias("n_train"), F.col("accuracy").between(0.9, 1).alias("valid"))
 
 
 @query("forecast_persistence", cte() + "SELECT reading_id, CAST(h AS INTEGER) AS horizon, sec+h*60 AS sec, SBP AS SBP_predicted, DBP AS DBP_predicted FROM vitals, (SELECT unnest([15,30]) AS h)")
@@ -210,33 +291,88 @@ def forecast_persistence(spark, sf):
     return out.select("reading_id", "horizon", F.unix_seconds("target_time").alias("sec"), "SBP_predicted", "DBP_predicted")
 
 
-def _windows(spark, sf):
-    marked = split_chronological(vitals(spark, sf), 0.3)
-    return marked.filter("is_train"), marked.filter("not is_train")
+# windows of 10 readings and the 30 after them, numbered in every series; the first 80 % are learned from
+_FITTED = cte(
+    f"n AS (SELECT *, row_number() {_W} AS pos, count(*) OVER (PARTITION BY patient_id) AS size FROM vitals)",
+    "w AS (SELECT *, pos - 9 AS k, size - 39 AS m FROM n WHERE pos >= 10 AND pos <= size - 30)",
+    "late AS (SELECT * FROM w WHERE k > floor(m * 0.8e0))",
+)
 
 
-@query("forecast_direct")
+def _fitted(spark, sf):
+    """(model, windows learned from, windows after them)."""
+    marked = materialize(split_chronological(supervised_windows(vitals(spark, sf)), 0.8), "windows")
+    train, test = marked.filter("is_train"), marked.filter("not is_train")
+    return forecast.direct_fit_windows(train), train, test
+
+
+def least_squares(model, train) -> bool:
+    """Whether the residuals of a fit are orthogonal to its inputs, as those of least squares are."""
+    fitted = model.transform(train, (1, 30))
+    sums = []
+    for c in ("SBP", "DBP"):
+        for h in (1, 30):
+            r = F.col("y")[h - 1][c] - F.col(f"{c}_{h}")
+            sums += [F.sum(r) / F.sum(F.abs(r)), F.sum(r * F.col("x")[0]["SBP"]) / F.sum(F.abs(r * F.col("x")[0]["SBP"]))]
+    return all(abs(x) < 1e-2 for x in fitted.agg(*sums).first())
+
+
+@query("forecast_direct", _FITTED + "SELECT reading_id, true AS complete, true AS least_squares FROM late")
 def forecast_direct(spark, sf):
-    """Learn on the later part of each series, where windows of 40 rows fit; predict on all windows."""
-    _, train = _windows(spark, sf)
-    model = forecast.direct_fit(train)
-    out = model.transform(supervised_windows(vitals(spark, sf)))
-    return out.select("reading_id", *[f"{c}_{h}" for c in ("SBP", "DBP") for h in (1, 15, 30)])
+    """Learn on the first 80 % of the windows of each series, predict the others."""
+    model, train, test = _fitted(spark, sf)
+    out = model.transform(test)
+    names = [f"{c}_{h}" for c in ("SBP", "DBP") for h in (1, 15, 30)]
+    complete = F.lit(True)
+    for n in names:
+        complete = complete & F.col(n).isNotNull() & ~F.isnan(n)
+    return out.select("reading_id", complete.alias("complete"), F.lit(least_squares(model, train)).alias("least_squares"))
+
+
+@query("forecast_fit_errors", _FITTED + "SELECT c AS signal, CAST(h AS INTEGER) AS horizon, count(*) AS n, true AS better_than_last_value "
+       "FROM late, (SELECT unnest(['SBP', 'DBP']) AS c), (SELECT unnest(range(1, 31)) AS h) GROUP BY 1, 2")
+def forecast_fit_errors(spark, sf):
+    """Errors of the fitted forecast for both signals and all steps, beside those of repeating the last value."""
+    model, _, test = _fitted(spark, sf)
+    out = test.select("x", "y", model.ahead().alias("p"))
+
+    def compared(k, c):
+        at = lambda actual, i: F.struct(
+            F.lit(c).alias("signal"), (i + 1).alias("horizon"), actual[c].alias("actual"), F.col("p")[i + 30 * k].alias("fitted"), F.col("x")[9][c].alias("last"))
+        return F.transform("y", at)
+
+    signals = [compared(k, c) for k, c in enumerate(("SBP", "DBP"))]
+    flat = out.select(F.inline(F.concat(*signals)))
+    by = ["signal", "horizon"]
+    fit = metrics.errors(flat, "actual", "fitted", by)
+    last = metrics.errors(flat, "actual", "last", by).select(*by, F.col("rmse").alias("rmse_last"))
+    return fit.join(last, by).select(*by, "n", (F.col("rmse") < F.col("rmse_last")).alias("better_than_last_value"))
+
+
+@query("knn_distance", cte(
+    _SPLIT, "d AS (SELECT q.reading_id, r.label, sqrt((q.SBP-r.SBP)*(q.SBP-r.SBP)+(q.DBP-r.DBP)*(q.DBP-r.DBP)) AS dist FROM split q, split r WHERE NOT q.is_train AND r.is_train)",
+    "p AS (SELECT *, row_number() OVER (PARTITION BY reading_id ORDER BY dist, label) AS rn FROM d)",
+    "t AS (SELECT *, min(dist) OVER (PARTITION BY reading_id) AS nearest FROM p WHERE rn<=5)",
+    "v AS (SELECT reading_id, sum(CASE WHEN label=1 THEN w ELSE 0 END) AS ones, sum(w) AS total FROM (SELECT *, CASE WHEN nearest=0 THEN CASE WHEN dist=0 THEN 1e0 ELSE 0e0 END ELSE 1e0/dist END AS w FROM t) GROUP BY 1)")
+    + "SELECT reading_id, CASE WHEN ones>total-ones THEN 1 ELSE 0 END AS prediction, round(greatest(ones,total-ones)/total,6) AS share FROM v")
+def knn_distance(spark, sf):
+    train, test = _parts(labelled(spark, sf).select("reading_id", "SBP", "DBP", "label"))
+    return knn.knn_classify(test, train, weights="distance").select("reading_id", "prediction", r6("share", "share"))
 
 
 @query(
     "forecast_errors",
-    cte(f"f AS (SELECT SBP AS p, lead(SBP,15) {_W} AS a15, lead(SBP,30) {_W} AS a30 FROM vitals)",
-        "e AS (SELECT 15 AS horizon, a15-p AS e FROM f UNION ALL SELECT 30, a30-p FROM f)")
-    + "SELECT horizon, count(e) AS n, round(avg(e*e),6) AS mse, round(avg(abs(e)),6) AS mae, round(sqrt(avg(e*e)),6) AS rmse FROM e GROUP BY 1",
+    cte(f"f AS (SELECT 'SBP' AS signal, SBP AS p, lead(SBP,15) {_W} AS a15, lead(SBP,30) {_W} AS a30 FROM vitals "
+        f"UNION ALL SELECT 'DBP', DBP, lead(DBP,15) {_W}, lead(DBP,30) {_W} FROM vitals)",
+        "e AS (SELECT signal, 15 AS horizon, a15-p AS e FROM f UNION ALL SELECT signal, 30, a30-p FROM f)")
+    + "SELECT signal, horizon, count(e) AS n, round(avg(e*e),6) AS mse, round(avg(abs(e)),6) AS mae, round(sqrt(avg(e*e)),6) AS rmse FROM e GROUP BY 1, 2",
 )
 def forecast_errors(spark, sf):
-    from pulseloom.operators.timeseries import lag_lead
-
-    v = vitals(spark, sf)
-    parts = []
-    for h in (15, 30):
-        ahead = lag_lead(v, ("SBP",), h)
-        parts.append(ahead.select(F.lit(h).alias("horizon"), F.col("SBP").alias("predicted"), F.col("SBP_lead").alias("actual")))
-    out = metrics.errors(parts[0].unionByName(parts[1]), "actual", "predicted", ["horizon"])
-    return out.select("horizon", "n", r6("mse", "mse"), r6("mae", "mae"), r6("rmse", "rmse"))
+    """Errors of repeating the last value, for both signals; all leads come from one pass over the series."""
+    ahead = leads(vitals(spark, sf), ("SBP", "DBP"), (15, 30))
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("signal"), F.lit(h).alias("horizon"), F.col(c).alias("predicted"), F.col(f"{c}_lead_{h}").alias("actual"))
+        for c in ("SBP", "DBP") for h in (15, 30)
+    ])
+    out = metrics.errors(ahead.select(F.inline(rows)), "actual", "predicted", ["signal", "horizon"])
+    return out.select("signal", "horizon", "n", r6("mse", "mse"), r6("mae", "mae"), r6("rmse", "rmse"))

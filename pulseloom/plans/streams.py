@@ -4,16 +4,17 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from pulseloom.functions import rules
-from pulseloom.ml import cluster
+from pulseloom.ml import bayes, cluster, iforest, knn, ocsvm, trees, vote
 from pulseloom.ml.forecast import DirectModel
 from pulseloom.operators.clean import dedup
 from pulseloom.operators.joins import join_labels
 from pulseloom.plans.base import query
 from pulseloom.plans.vitals import (
-    BAD_SBP, DECODED, JUDGED, class_sql, cte, from_events, level_sql, messages, points_cte, predicted, r6, ts_us, vitals,
+    BAD_SBP, DECODED, JUDGED, class_sql, cte, level_sql, messages, points_cte, predicted, r6, ts_us, vitals,
 )
-from pulseloom.session import shared_dir
-from pulseloom.sources.points import to_points
+from pulseloom.schema import MEASURES
+from pulseloom.session import materialize, shared_dir
+from pulseloom.sources.points import points_range, to_points
 from pulseloom.sources.readers import stream_vitals
 from pulseloom.sources.sinks import write_stream
 from pulseloom.streaming import flows, stateful
@@ -21,11 +22,29 @@ from pulseloom.streaming import flows, stateful
 DELAY = "2 hours"
 
 
-def stream(spark, sf):
-    """Readings as a stream of the event files."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    path = f"{sf}/event[s].parquet"  # a pattern, so that one file will do as well as a folder
-    return from_events(stream_vitals(spark, "parquet", {"path": path, "maxFilesPerTrigger": "100"}, schema))
+PARTS = 5
+
+
+def stream(spark, sf, copies=False, late=False):
+    """Readings as a stream of PARTS micro-batches in time order.
+
+    The readings are first written to the shared folder, part after part. With `copies` every part repeats some readings of the
+    part before; with `late` some readings of a part's last hour come with the next part.
+    """
+    v = vitals(spark, sf).withColumn("_us", ts_us())
+    cuts = v.agg(F.percentile_approx("_us", [i / PARTS for i in range(1, PARTS)], 1000)).first()[0] or [0] * (PARTS - 1)
+    part = sum([(F.col("_us") > c).cast("int") for c in cuts], F.lit(0))
+    v = v.withColumn("_part", part)
+    if late:
+        end = F.array(*[F.lit(c) for c in cuts], F.lit(1 << 62))[F.col("_part")]
+        v = v.withColumn("_part", F.when((F.col("reading_id") % 11 == 0) & (end - F.col("_us") < 3_600_000_000), F.col("_part") + 1).otherwise(F.col("_part")))
+    root, files = shared_dir(spark, "feed"), max(1, spark.sparkContext.defaultParallelism // PARTS)
+    for p in range(PARTS):
+        mine = F.col("_part") == p
+        if copies and p:
+            mine = mine | ((F.col("_part") == p - 1) & (F.col("reading_id") % 7 == 0))
+        v.filter(mine).drop("_us", "_part").repartition(files).write.mode("append").parquet(root)
+    return stream_vitals(spark, "parquet", {"path": root, "maxFilesPerTrigger": str(files)}, vitals(spark, sf).schema)
 
 
 def appended(spark, df, name):
@@ -38,9 +57,15 @@ def appended(spark, df, name):
 def updated(spark, df, name, keys):
     """Run an update stream and return the final row per key."""
     root = shared_dir(spark, name)
-    sinks = {"state": (lambda batch: batch, f"{root}/out")}
-    flows.fan_out(df, sinks, f"{root}/checkpoint", "update").awaitTermination()
-    return flows.latest(spark, f"{root}/out", df.schema, list(keys))
+    flows.keep_state(df, {"state": (lambda batch: batch, f"{root}/out")}, keys, f"{root}/checkpoint").awaitTermination()
+    return flows.latest(spark, f"{root}/out", df.schema)
+
+
+def stored_points(spark, df, make, name):
+    """Run a stream through `make`, a function of a micro-batch, into the table of points and return that table."""
+    root = shared_dir(spark, name)
+    flows.fan_out(df, {"points": (make, f"{root}/points")}, f"{root}/checkpoint").awaitTermination()
+    return spark.read.option("basePath", f"{root}/points").parquet(f"{root}/points")
 
 
 _SENT = (
@@ -54,7 +79,7 @@ _SENT = (
     + f"SELECT reading_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS t, SBP, {level_sql()} AS BP_level FROM read",
 )
 def stream_classify(spark, sf):
-    s = stream(spark, sf)
+    s = stream(spark, sf, copies=True)
     repeated = s.union(s.filter("reading_id % 5 = 0"))
     out = appended(spark, flows.classify(messages(repeated)), "classify")
     data = F.from_json("value", "reading_id long, DateTime string, SBP double, BP_level string")
@@ -63,16 +88,19 @@ def stream_classify(spark, sf):
 
 @query("stream_dedup", cte() + "SELECT patient_id, reading_id, SBP, DBP FROM vitals")
 def stream_dedup(spark, sf):
-    s = stream(spark, sf).select("patient_id", "reading_id", "DateTime", "SBP", "DBP")
+    s = stream(spark, sf, copies=True).select("patient_id", "reading_id", "DateTime", "SBP", "DBP")
     twice = s.union(s.filter("reading_id % 5 = 0")).union(s.filter("reading_id % 7 = 0"))
     return appended(spark, dedup(twice, event_time="DateTime", delay=DELAY), "dedup").drop("DateTime")
 
 
-@query("stream_score", None)
+@query("stream_score", cte(DECODED, _SENT) + "SELECT reading_id, true AS as_in_batch FROM sent")
 def stream_score(spark, sf):
+    """A fitted clustering applied to the stream, beside its result on the table."""
     model = cluster.kmeans_fit(vitals(spark, sf))
     scored = flows.score(messages(stream(spark, sf)), lambda df: cluster.kmeans_predict(model, df))
-    return appended(spark, scored, "score")
+    got = appended(spark, scored, "score").select(F.from_json("value", "reading_id long, prediction int").alias("d")).select("d.*")
+    batch = cluster.kmeans_predict(model, vitals(spark, sf)).select("reading_id", F.col("prediction").alias("batch"))
+    return got.join(batch, "reading_id").select("reading_id", (F.col("prediction") == F.col("batch")).alias("as_in_batch"))
 
 
 _CENTRE_SQL = "CASE WHEN (SBP-110)*(SBP-110)+(DBP-65)*(DBP-65) <= (SBP-150)*(SBP-150)+(DBP-90)*(DBP-90) THEN 0 ELSE 1 END"
@@ -89,12 +117,12 @@ def stream_kmeans_assign(spark, sf):
 @query("stream_running_min", cte() + "SELECT patient_id, m.v AS lowest, m.t AS lowest_us FROM "
        "(SELECT patient_id, min(struct_pack(v:=SPO2, t:=ts_us)) AS m FROM vitals GROUP BY 1)")
 def stream_running_min(spark, sf):
-    out = updated(spark, flows.lowest(stream(spark, sf), DELAY), "lowest", ["patient_id"])
+    out = updated(spark, flows.lowest(stream(spark, sf, late=True)), "lowest", ["patient_id"])
     return out.select("patient_id", "lowest", ts_us("lowest_time").alias("lowest_us"))
 
 
 def _judged_stream(spark, sf):
-    s = stream(spark, sf)
+    s = stream(spark, sf, late=True)
     return s.withColumn("label", rules.label_online("SBP", "DBP")).withColumn("pred", predicted())
 
 
@@ -102,13 +130,13 @@ def _judged_stream(spark, sf):
        + ", ".join(f"sum(CASE WHEN pred={p} AND label={y} THEN 1 ELSE 0 END) AS {n}" for n, p, y in (("TP", 1, 1), ("FP", 1, 0), ("FN", 0, 1), ("TN", 0, 0)))
        + ", count(*) AS TotalDataProcessed FROM judged GROUP BY 1")
 def stream_running_confusion(spark, sf):
-    return updated(spark, flows.confusion_counts(_judged_stream(spark, sf), DELAY), "confusion", ["patient_id"])
+    return updated(spark, flows.confusion_counts(_judged_stream(spark, sf)), "confusion", ["patient_id"])
 
 
 @query("stream_running_accuracy", cte(JUDGED) + "SELECT patient_id, sum(CASE WHEN pred=label THEN 1 ELSE 0 END) AS correct, "
        "sum(CASE WHEN pred=label THEN 0 ELSE 1 END) AS wrong FROM judged GROUP BY 1")
 def stream_running_accuracy(spark, sf):
-    return updated(spark, flows.accuracy_counts(_judged_stream(spark, sf), DELAY), "accuracy", ["patient_id"])
+    return updated(spark, flows.accuracy_counts(_judged_stream(spark, sf)), "accuracy", ["patient_id"])
 
 
 @query("stream_class_counter", cte() + f"SELECT {class_sql()} AS Class, count(*) AS n FROM vitals GROUP BY 1")
@@ -118,7 +146,7 @@ def stream_class_counter(spark, sf):
 
 
 def _point_stream(spark, sf):
-    p = to_points(stream(spark, sf), "vitals", ("patient_id",), ("SBP", "DBP"), extra=("reading_id",))
+    p = to_points(stream(spark, sf, late=True), "vitals", ("patient_id",), ("SBP", "DBP"), extra=("reading_id",))
     return p.select("field", "value", "time", "reading_id")
 
 
@@ -199,3 +227,60 @@ def forecast_latest(spark, sf):
         F.count(F.lit(1)).alias("targets"), F.round(F.sum("SBP"), 3).alias("SBP"), F.round(F.sum("DBP"), 3).alias("DBP"),
         F.unix_seconds(F.max("target_time")).alias("last_sec"),
     )
+
+
+def _anomaly_points(scored, measurement):
+    """Scored readings as points: detection, its name, the pressures and the score."""
+    out = scored.withColumn("Detection", rules.detection_flag("prediction")).withColumn("Label", rules.detection_label("prediction"))
+    named = out.withColumnRenamed("score", "AnomalyScore")
+    return to_points(named, measurement, ("patient_id",), ("Detection", "Label", "SBP", "DBP", "AnomalyScore"), extra=("reading_id",))
+
+
+_RANGE = ("2024-01-05 00:00:00", "2024-01-20 00:00:00")
+_SCORED = cte(f"r AS (SELECT * FROM vitals WHERE DateTime >= TIMESTAMP '{_RANGE[0]}' AND DateTime < TIMESTAMP '{_RANGE[1]}')")
+
+
+def _live(spark, sf, model, measurement):
+    """The stored points of a scored stream in a time range, beside the model's result on the table."""
+    cols = ["patient_id", "reading_id", "DateTime", "SBP", "DBP"]
+    points = stored_points(spark, stream(spark, sf).select(*cols), lambda b: _anomaly_points(model.transform(b), measurement), measurement)
+    got = points_range(points, measurement, ["Detection", "Label", "AnomalyScore"], *_RANGE).groupBy("reading_id").agg(
+        F.max(F.when(F.col("field") == "Detection", F.col("value"))).alias("d"), F.max(F.when(F.col("field") == "AnomalyScore", F.col("value"))).alias("s"),
+        F.max("value_str").alias("l"))
+    batch = model.transform(vitals(spark, sf).select(*cols)).select("reading_id", "score", "prediction")
+    same = (F.abs(F.col("s") - F.col("score")) < 1e-9) & (F.col("d") == rules.detection_flag("prediction")) & (F.col("l") == rules.detection_label("prediction"))
+    return got.join(batch, "reading_id").select("reading_id", same.alias("as_in_batch"))
+
+
+@query("stream_isolation_forest", _SCORED + "SELECT reading_id, true AS as_in_batch FROM r")
+def stream_isolation_forest(spark, sf):
+    """Live scores of an isolation forest, stored as points."""
+    return _live(spark, sf, iforest.isolation_forest(vitals(spark, sf).select("reading_id", "SBP", "DBP"), trees=50, contamination=0.03), "IsolationForest")
+
+
+@query("stream_ocsvm", _SCORED + "SELECT reading_id, true AS as_in_batch FROM r")
+def stream_ocsvm(spark, sf):
+    """Live scores of a one-class machine, stored as points."""
+    return _live(spark, sf, ocsvm.one_class_svm(vitals(spark, sf).select("reading_id", "SBP", "DBP"), nu=0.1), "OneClass")
+
+
+@query("stream_vote", _SCORED + "SELECT reading_id, true AS as_in_batch FROM r")
+def stream_vote(spark, sf):
+    """Live soft vote of trees, naive Bayes and nearest neighbours, loaded from a saved ensemble, stored as points."""
+    from pulseloom.ml import store
+
+    v = vitals(spark, sf).withColumn("label", rules.label_threshold("SBP", "DBP", "HR"))
+    vote.check_labels(v)
+    train = v.filter("reading_id % 3 = 0")
+    fitted = vote.Ensemble({"nb": bayes.gaussian_nb(train, MEASURES), "tree": trees.decision_tree(train, MEASURES, maxDepth=5)}, knn.prepare(train))
+    saved = shared_dir(spark, "ensemble")
+    store.save(spark, fitted, saved)
+    ensemble = store.load(spark, saved)
+
+    def make(batch):
+        return to_points(ensemble.transform(batch), "vote", ("patient_id",), ("prediction", "probability"), extra=("reading_id",))
+
+    points = stored_points(spark, stream(spark, sf), make, "vote")
+    got = points_range(points, "vote", ["prediction", "probability"], *_RANGE).groupBy("reading_id").pivot("field", ["prediction", "probability"]).agg(F.first("value"))
+    batch = materialize(fitted.transform(v).select("reading_id", F.col("prediction").alias("b"), F.col("probability").alias("p")), "vote-batch")
+    return got.join(batch, "reading_id").select("reading_id", ((F.col("prediction") == F.col("b")) & (F.abs(F.col("probability") - F.col("p")) < 1e-9)).alias("as_in_batch"))

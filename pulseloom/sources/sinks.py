@@ -25,16 +25,19 @@ def write_stream(df: DataFrame, fmt: str, options: dict, checkpoint: str, trigge
     return writer.outputMode(mode).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def debug_stream(df: DataFrame, seconds: int = 30):
+def debug_stream(df: DataFrame, checkpoint: str, seconds: int = 30, trigger: dict | None = None):
     """Print changed rows every so many seconds."""
-    writer = df.writeStream.format("console").outputMode("update").option("truncate", False)
-    return writer.trigger(processingTime=f"{seconds} seconds").start()
+    if not checkpoint:
+        raise ValueError("a streaming query needs its own checkpoint folder")
+    writer = df.writeStream.format("console").outputMode("update").option("truncate", False).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"processingTime": f"{seconds} seconds"})).start()
 
 
 def batch_writer(sinks: dict):
-    """One pass over each micro-batch for several sinks: name -> folder.
+    """One pass over each micro-batch for several sinks: name -> (function of the batch, folder).
 
-    A batch that is repeated after a failure overwrites its own folder, so nothing is doubled.
+    A batch that is repeated after a failure overwrites its own folder, so nothing is doubled. Points (rows with a
+    measurement and a time) are partitioned by measurement and date below it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -51,6 +54,54 @@ def batch_writer(sinks: dict):
 
     def out(batch: DataFrame, batch_id: int) -> None:
         for make, path in sinks.values():
-            make(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            made, target = make(batch), f"{path}/batch_id={batch_id}"
+            if {"measurement", "time"} <= set(made.columns):
+                write_points(made, target, "overwrite")
+            else:
+                made.write.mode("overwrite").parquet(target)
 
     return write
+
+
+def state_writer(sinks: dict, keys):
+    """For queries in update mode: name -> (function of the batch, folder) with the newest row of every key.
+
+    Every batch is merged with the state before it and written as a version of its own; a version holds one row per key,
+    whatever the number of batches. A repeated batch starts from the same version and overwrites its own. The versions
+    before the last one are removed.
+    """
+    keys = list(keys)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        for make, path in sinks.values():
+            new = make(batch)
+            before = [v for v in versions(spark, path) if v < batch_id]
+            if before:
+                old = spark.read.schema(new.schema).parquet(f"{path}/version={before[-1]}")
+                new = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
+            new.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+            for v in before[:-1]:
+                _remove(spark, f"{path}/version={v}")
+
+    return write
+
+
+def _folder(spark, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _remove(spark, path: str) -> None:
+    files, where = _folder(spark, path)
+    files.delete(where, True)
+
+
+def versions(spark, path: str) -> list[int]:
+    """Numbers of the finished versions of a state, in order."""
+    files, where = _folder(spark, path)
+    if not files.exists(where):
+        return []
+    found = [str(s.getPath()) for s in files.listStatus(where)]
+    done = [p for p in found if "/version=" in p and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
+    return sorted(int(p.rsplit("=", 1)[1]) for p in done)

@@ -8,7 +8,7 @@ from pulseloom.operators.clean import dedup
 from pulseloom.operators.timeseries import confusion_cells
 from pulseloom.schema import KEY, MEASURES
 from pulseloom.sources.codecs import cast_vitals, decode, encode_kv, normalize_aliases
-from pulseloom.sources.sinks import batch_writer
+from pulseloom.sources.sinks import batch_writer, state_writer, versions
 
 
 def readings(messages: DataFrame, required=()) -> DataFrame:
@@ -34,23 +34,23 @@ def score(messages: DataFrame, transform, value_cols=("patient_id", "reading_id"
     return encode_kv(text, ["DateTime"], list(value_cols))
 
 
-def lowest(df: DataFrame, delay: str, col="SPO2", by=KEY, time="DateTime") -> DataFrame:
+def lowest(df: DataFrame, col="SPO2", by=KEY, time="DateTime") -> DataFrame:
     """Lowest value of each patient and when it was first reached; one state row per patient."""
     entry = F.min(F.struct(F.col(col).alias("v"), F.col(time).alias("t")))
-    agg = df.filter(F.col(col).isNotNull()).withWatermark(time, delay).groupBy(*by).agg(entry.alias("m"))
+    agg = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(entry.alias("m"))
     return agg.select(*by, F.col("m.v").alias("lowest"), F.col("m.t").alias("lowest_time"))
 
 
-def confusion_counts(df: DataFrame, delay: str, label="label", pred="pred", by=KEY, time="DateTime") -> DataFrame:
+def confusion_counts(df: DataFrame, label="label", pred="pred", by=KEY) -> DataFrame:
     cells = confusion_cells(label, pred)
     sums = [F.sum(c).alias(n) for n, c in cells.items()]
-    return df.withWatermark(time, delay).groupBy(*by).agg(*sums, F.count(F.lit(1)).alias("TotalDataProcessed"))
+    return df.groupBy(*by).agg(*sums, F.count(F.lit(1)).alias("TotalDataProcessed"))
 
 
-def accuracy_counts(df: DataFrame, delay: str, label="label", pred="pred", by=KEY, time="DateTime") -> DataFrame:
+def accuracy_counts(df: DataFrame, label="label", pred="pred", by=KEY) -> DataFrame:
     right = F.coalesce(F.col(label) == F.col(pred), F.lit(False))
     sums = [F.sum(F.when(c, 1).otherwise(0)).alias(n) for n, c in (("correct", right), ("wrong", ~right))]
-    return df.withWatermark(time, delay).groupBy(*by).agg(*sums)
+    return df.groupBy(*by).agg(*sums)
 
 
 def window_values(df: DataFrame, delay: str, every="15 minutes", fn="mean", by=("field",), value="value", time="time", tie="reading_id") -> DataFrame:
@@ -73,13 +73,20 @@ def fan_out(stream: DataFrame, sinks: dict, checkpoint: str, mode="append", trig
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def latest(spark: SparkSession, path: str, schema, keys) -> DataFrame:
-    """Final state of an update-mode query written by `fan_out`: the newest row per key."""
-    wide = schema.add("batch_id", "long") if "batch_id" not in schema.fieldNames() else schema
-    rows = spark.read.schema(wide).parquet(path)
-    rest = [c for c in rows.columns if c not in (*keys, "batch_id")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("s"))
-    return newest.select(*keys, "s.*")
+def keep_state(stream: DataFrame, sinks: dict, keys, checkpoint: str, trigger=None):
+    """Run a query in update mode into one current table per sink: name -> (function of the batch, folder)."""
+    if not checkpoint:
+        raise ValueError("a streaming query needs its own checkpoint folder")
+    writer = stream.writeStream.foreachBatch(state_writer(sinks, keys)).outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def latest(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The state written by `keep_state`: one row per key, read from the newest version only."""
+    found = versions(spark, path)
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
 
 
 def forecast_messages(df: DataFrame, steps=30, by=KEY, time="DateTime") -> DataFrame:

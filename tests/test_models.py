@@ -68,6 +68,27 @@ def test_one_class_svm_ranks_far_points_first(blobs):
     assert pair[1].transform(blobs).filter("prediction = -1").count() > outside
 
 
+def test_one_class_svm_keeps_nu_outside(spark):
+    """Also with a narrow kernel on unscaled pressures, where the margins are tiny."""
+    rng = np.random.default_rng(5)
+    rows = [(i, float(round(a, 1)), float(round(b, 1))) for i, (a, b) in enumerate(rng.normal((120, 75), (15, 9), (1500, 2)))]
+    df = spark.createDataFrame(rows, "reading_id long, SBP double, DBP double").cache()
+    nus = (0.05, 0.1, 0.3, 0.5)
+    models = ocsvm.one_class_svms(df, nus, gamma=0.5)
+    for nu, m in zip(nus, models):
+        outside = m.transform(df).filter("prediction = -1").count() / 1500
+        assert abs(outside - nu) < 0.01
+        assert m.rho != 0
+
+
+def test_isolation_forest_draws_from_the_whole_table(spark):
+    df = spark.range(40_000).selectExpr("id reading_id", "id % 997 * 1.0 SBP", "id % 89 * 1.0 DBP")
+    nodes = iforest.isolation_forest(df, trees=20, sample=64).nodes
+    assert nodes["tree"].nunique() == 20
+    leaves = nodes[nodes["feature"] == -1].groupby("tree").size()
+    assert 25 < leaves.mean() < 100
+
+
 def brute(queries, reference, k, metric):
     q, r = queries.toPandas(), reference.toPandas()
     out = {}
