@@ -37,3 +37,26 @@ def grid_search(df: DataFrame, estimator, values: dict, cols, label="label", key
         fitted = cv.fit(assemble(rows, cols))
     table = [(",".join(f"{p.name}={v}" for p, v in m.items()), float(x)) for m, x in zip(maps, fitted.avgMetrics)]
     return fitted.bestModel, df.sparkSession.createDataFrame(table, f"params string, {metric} double")
+
+
+def search_own(df: DataFrame, predict, values: dict, label="label", key="reading_id", folds=3, limit=None, seed=42) -> DataFrame:
+    """Mean accuracy per combination for models that are not MLlib estimators, on folds that depend on the row key.
+
+    `predict(train, test, **params)` returns `test` with a column `prediction`. Columns: params, accuracy.
+    """
+    if label not in df.columns:
+        raise ValueError("a search needs labels")
+    names = list(values)
+    maps = [dict(zip(names, combo)) for combo in product(*values.values())]
+    if limit is not None:
+        maps = sorted(maps, key=lambda m: hashlib.md5(f"{seed}|{sorted(m.items())}".encode()).hexdigest())[:limit]
+    out = []
+    with kept(df.withColumn("_fold", hash_bucket(key, seed, folds))) as rows:
+        for m in maps:
+            scores = []
+            for f in range(folds):
+                train, test = rows.filter(F.col("_fold") != f).drop("_fold"), rows.filter(F.col("_fold") == f).drop("_fold")
+                right = F.coalesce((F.col("prediction") == F.col(label)).cast("int"), F.lit(0))
+                scores.append(predict(train, test, **m).agg(F.avg(right)).first()[0] or 0.0)
+            out.append((",".join(f"{k}={v}" for k, v in m.items()), sum(scores) / folds))
+    return df.sparkSession.createDataFrame(out, "params string, accuracy double")

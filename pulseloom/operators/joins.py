@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pulseloom.operators.slices import MIN_ROWS, fair_share, known_neighbours
 from pulseloom.schema import KEY
 
-MAX_BROADCAST = 100_000  # rows
+#: Documented parameter: rows of the small side that may be broadcast; beyond it the rows are shuffled, with the same result.
+MAX_BROADCAST = 100_000
 
 
 def frequent_keys(df: DataFrame, on, limit: int):
@@ -52,14 +53,21 @@ def join_skewed(left: DataFrame, right: DataFrame, on, how="left", limit: int |
     rest = left.join(hot, on, "left_anti").join(right, on, how)
     return apart.unionByName(rest)
 
+
 def assemble(frames, key="reading_id") -> DataFrame:
     """Put separately computed columns of the same rows side by side."""
     return reduce(lambda a, b: a.join(b, key), frames)
 
 
 def join_labels(df: DataFrame, labels: DataFrame, on=("patient_id", "DateTime")) -> DataFrame:
-    """Truth labels by key and time, one per key; readings without a label are kept."""
-    return join_skewed(df, labels, on, "left")
+    """Truth labels by key and time; readings without a label are kept.
+
+    Of several labels for one key the smallest (column by column) counts, so a reading is never doubled.
+    """
+    on = list(on)
+    rest = [c for c in labels.columns if c not in on]
+    one = labels.groupBy(*on).agg(F.min(F.struct(*rest)).alias("_label")).select(*on, "_label.*")
+    return join_skewed(df, one, on, "left")
 
 
 def join_forecast(forecast, actual, value, tolerance=None, by=KEY, target="target_time", time="DateTime",

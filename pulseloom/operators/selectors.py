@@ -10,6 +10,28 @@ def _order(df: DataFrame, time: str):
     return [c for c in (time, TIE) if c in df.columns]
 
 
+def order_key(df: DataFrame, time="time"):
+    """Time and tie-breaking id in one number of fixed width, so that the latest row needs no sorting."""
+    us = F.unix_micros(time).cast("decimal(18,0)")
+    tie = F.col(TIE).cast("decimal(20,0)") if TIE in df.columns else F.lit(0).cast("decimal(20,0)")
+    return (us * F.lit("20000000000000000000").cast("decimal(20,0)") + tie).cast("decimal(38,0)")
+
+
+def select_all(df: DataFrame, by=("measurement", "field"), value="value", time="time") -> DataFrame:
+    """Mean, last, highest and lowest point of each series (column `selector`) from one aggregation."""
+    rows = df.filter(F.col(value).isNotNull())
+    order = _order(df, time)
+    picks = {
+        "last": F.max(F.struct(*order, value)),
+        "max": F.min(F.struct((-F.col(value)).alias("_down"), *order, value)),
+        "min": F.min(F.struct(value, *order)),
+    }
+    agg = rows.groupBy(*by).agg(F.avg(value).alias("_mean"), *[p.alias(f"_{n}") for n, p in picks.items()])
+    entries = [F.struct(F.lit("mean").alias("selector"), F.lit(None).cast("timestamp").alias(time), F.col("_mean").alias(value))]
+    entries += [F.struct(F.lit(n).alias("selector"), F.col(f"_{n}.{time}").alias(time), F.col(f"_{n}.{value}").alias(value)) for n in picks]
+    return agg.select(*by, F.inline(F.array(*entries)))
+
+
 def select_point(df: DataFrame, kind: str, by=("measurement", "field"), value="value", time="time") -> DataFrame:
     """The `last`, `max` or `min` point of each series with its time; among equals the earliest,
     and of simultaneous last points the one with the highest id."""
@@ -33,9 +55,8 @@ def select_mean(df: DataFrame, by=("measurement", "field"), value="value") -> Da
 
 def panel_reduce(df: DataFrame, by=("measurement", "field"), value="value", time="time") -> DataFrame:
     """Last value that is present, maximum and sum of each series."""
-    entry = F.when(F.col(value).isNotNull(), F.struct(*_order(df, time), value))
-    agg = df.groupBy(*by).agg(F.max(entry).alias("l"), F.max(value).alias("max"), F.sum(value).alias("sum"))
-    return agg.select(*by, F.col(f"l.{value}").alias("last_not_null"), "max", "sum")
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), order_key(df, time)))
+    return df.groupBy(*by).agg(last.alias("last_not_null"), F.max(value).alias("max"), F.sum(value).alias("sum"))
 
 
 def window_agg(df: DataFrame, every: str, fn="mean", start=None, stop=None, by=("measurement", "field"),
@@ -52,7 +73,7 @@ def window_agg(df: DataFrame, every: str, fn="mean", start=None, stop=None, by=(
     if fn == "mean":
         agg = F.avg(value)
     elif fn == "last":
-        agg = F.max_by(value, F.struct(*_order(df, time)))
+        agg = F.max_by(value, order_key(df, time))
     else:
         raise ValueError(fn)
     out = rows.groupBy(*by, F.window(time, every).alias("w")).agg(agg.alias(value))
@@ -79,3 +100,10 @@ def percent_share(df: DataFrame, name: str, value: str) -> DataFrame:
     total = df.agg(F.sum(value)).first()[0]
     sums = df.groupBy(name).agg(F.sum(value).alias(value))
     return sums.withColumn("share", F.try_divide(F.col(value), F.lit(total)))
+
+
+def last_share(df: DataFrame, by=("field",), value="value", time="time") -> DataFrame:
+    """Last value of each series and its share of the sum of the last values."""
+    last = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.max_by(value, order_key(df, time)).alias(value))
+    total = last.agg(F.sum(value)).first()[0]
+    return last.withColumn("share", F.try_divide(F.col(value), F.lit(total)))

@@ -13,8 +13,8 @@ from pulseloom.plans.vitals import cte, level_sql, ts_us, vitals
 
 @query("assemble_columns", cte() + "SELECT reading_id, SBP, DBP, HR FROM vitals")
 def assemble_columns(spark, sf):
-    v = vitals(spark, sf)
-    return joins.assemble([v.select("reading_id", c) for c in ("SBP", "DBP", "HR")])
+    """Columns of the same rows need no join: they are one projection. `joins.assemble` is for separately computed tables."""
+    return vitals(spark, sf).select("reading_id", "SBP", "DBP", "HR")
 
 
 @query("label_join", cte() + f"SELECT reading_id, CASE WHEN reading_id%3=0 THEN NULL ELSE {level_sql()} END AS Class FROM vitals")

@@ -8,7 +8,10 @@ from pulseloom.plans.base import query
 from pulseloom.plans.vitals import BAD_SBP, DECODED, cte, level_sql, messages, points, points_cte, ts_us, vitals
 from pulseloom.schema import MEASURES
 from pulseloom.sources.codecs import cast_vitals, dead_letters, decode, encode_kv, normalize_aliases, parse_line_protocol
+from pulseloom.session import shared_dir
 from pulseloom.sources.points import from_points, points_range, to_points
+from pulseloom.sources.readers import read_vitals
+from pulseloom.sources.sinks import write_csv, write_points
 
 _ALL = ", ".join(MEASURES)
 
@@ -18,6 +21,14 @@ def scan_vitals(spark, sf):
     return vitals(spark, sf).select("patient_id", "reading_id", ts_us().alias("ts_us"), *MEASURES)
 
 
+@query("scan_csv", cte() + f"SELECT patient_id, reading_id, ts_us, {_ALL} FROM vitals")
+def scan_csv(spark, sf):
+    """Readings written as CSV to the shared folder and read back with the fixed schema."""
+    path = shared_dir(spark, "csv")
+    write_csv(vitals(spark, sf), path)
+    return read_vitals(spark, path, "csv").select("patient_id", "reading_id", ts_us().alias("ts_us"), *MEASURES)
+
+
 def _good(spark, sf):
     return decode(messages(vitals(spark, sf)))[0]
 
@@ -104,7 +115,10 @@ def wide_from_points(spark, sf):
     "AND time >= TIMESTAMP '2024-01-10 00:00:00' AND time < TIMESTAMP '2024-01-20 00:00:00'",
 )
 def range_of_points(spark, sf):
-    p = points_range(points(spark, sf), "vitals", ["SBP"], "2024-01-10 00:00:00", "2024-01-20 00:00:00")
+    """Points of a stored table, partitioned by measurement and date."""
+    path = shared_dir(spark, "points")
+    write_points(points(spark, sf), path)
+    p = points_range(spark.read.parquet(path), "vitals", ["SBP"], "2024-01-10 00:00:00", "2024-01-20 00:00:00")
     return p.select("reading_id", "value", ts_us("time").alias("ts_us"))
 
 

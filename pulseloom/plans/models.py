@@ -285,6 +285,14 @@ def grid_search(spark, sf):
     return table.select("params", F.lit(train.count()).alias("n_train"), F.col("accuracy").between(0.9, 1).alias("valid"))
 
 
+@query("search_bayes", _TEST + "SELECT params, count(*) AS n_train, true AS valid FROM split CROSS JOIN (SELECT unnest(['smoothing=1e-09', 'smoothing=0.001', 'smoothing=0.1']) AS params) WHERE is_train GROUP BY 1")
+def search_bayes(spark, sf):
+    """Smoothing of naive Bayes by cross-validation; every setting is better than guessing the rarer class."""
+    train, _ = _parts(labelled(spark, sf).select("reading_id", *MEASURES, "label"))
+    table = search.search_own(train, lambda a, b, smoothing: bayes.gaussian_nb(a, _NB, smoothing=smoothing).transform(b), {"smoothing": [1e-9, 1e-3, 1e-1]})
+    return table.select("params", F.lit(train.count()).alias("n_train"), F.col("accuracy").between(0.5, 1).alias("valid"))
+
+
 @query("forecast_persistence", cte() + "SELECT reading_id, CAST(h AS INTEGER) AS horizon, sec+h*60 AS sec, SBP AS SBP_predicted, DBP AS DBP_predicted FROM vitals, (SELECT unnest([15,30]) AS h)")
 def forecast_persistence(spark, sf):
     out = forecast.persistence(vitals(spark, sf))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pulseloom.functions import rules
 from pulseloom.operators import metrics, profile, selectors, sketch
 from pulseloom.operators.clean import row_mean
-from pulseloom.operators.timeseries import confusion_cells
+from pulseloom.operators.timeseries import confusion_cells, running_confusion
 from pulseloom.plans.base import query
 from pulseloom.plans.vitals import (
     JUDGED, LABEL_SQL, VALIDITY_SQL, class_sql, cte, judged, level_sql, points, points_cte, r6, ts_us, vitals,
@@ -31,10 +31,12 @@ def describe_vitals(spark, sf):
     return d.select("column", "count", *[r6(c, c) for c in ("mean", "stddev", "min", "max", "p25", "p50", "p75")])
 
 
-@query("schema_table", "SELECT * FROM (VALUES ('patient_id','bigint'),('reading_id','bigint'),('DateTime','timestamp'),"
-       + ",".join(f"('{c}','double')" for c in MEASURES) + ") t(\"column\", type)")
+@query("schema_table", cte() + "SELECT \"column\", type, n FROM (VALUES ('patient_id','bigint'),('reading_id','bigint'),('DateTime','timestamp'),"
+       + ",".join(f"('{c}','double')" for c in MEASURES) + ") t(\"column\", type) CROSS JOIN (SELECT count(*) AS n FROM vitals)")
 def schema_table(spark, sf):
-    return profile.schema_table(vitals(spark, sf))
+    """Columns and types of the readings, and how many rows have them."""
+    v = vitals(spark, sf)
+    return profile.schema_table(v).withColumn("n", F.lit(v.count()))
 
 
 _GAPPY = "g AS (SELECT nullif(SBP,0) AS SBP, nullif(DBP,0) AS DBP, nullif(HR,0) AS HR, nullif(SPO2,0) AS SPO2, RR FROM vitals)"
@@ -161,12 +163,9 @@ def _selector_sql():
 
 @query("field_selectors", _selector_sql())
 def field_selectors(spark, sf):
-    p = points(spark, sf, ("SBP", "DBP", "SPO2"))
-    out = selectors.select_mean(p).select("field", F.lit("mean").alias("selector"), F.lit(None).cast("long").alias("ts_us"), r6("value", "value"))
-    for kind in ("last", "max", "min"):
-        s = selectors.select_point(p, kind)
-        out = out.unionByName(s.select("field", F.lit(kind).alias("selector"), ts_us("time").alias("ts_us"), "value"))
-    return out
+    p = selectors.select_all(points(spark, sf, ("SBP", "DBP", "SPO2")))
+    value = F.when(F.col("selector") == "mean", F.round("value", 6)).otherwise(F.col("value"))
+    return p.select("field", "selector", ts_us("time").alias("ts_us"), value.alias("value"))
 
 
 @query(
@@ -191,6 +190,22 @@ def percent_share(spark, sf):
     return selectors.percent_share(p, "field", "value").select("field", "value", r6("share", "share"))
 
 
+_LAST = cte(JUDGED, "c AS (SELECT DateTime, reading_id, sum(CASE WHEN pred=1 AND label=1 THEN 1 ELSE 0 END) OVER w AS TP, sum(CASE WHEN pred=0 AND label=0 THEN 1 ELSE 0 END) OVER w AS TN "
+            "FROM judged WHERE patient_id = (SELECT min(patient_id) FROM judged) WINDOW w AS (ORDER BY DateTime, reading_id ROWS UNBOUNDED PRECEDING))",
+            "e AS (SELECT arg_max(TP, (DateTime, reading_id)) AS TP, arg_max(TN, (DateTime, reading_id)) AS TN FROM c)")
+
+
+@query("percent_share_last", _LAST + "SELECT 'TP' AS field, CAST(TP AS DOUBLE) AS value, round(TP/CAST(TP+TN AS DOUBLE),6) AS share FROM e "
+       "UNION ALL SELECT 'TN', CAST(TN AS DOUBLE), round(TN/CAST(TP+TN AS DOUBLE),6) FROM e")
+def percent_share_last(spark, sf):
+    """Shares of the last true positive and true negative counts of one monitor."""
+    j = judged(spark, sf)
+    first = j.agg(F.min("patient_id")).first()[0]
+    counted = running_confusion(j.filter(F.col("patient_id") == first), "label", "pred")
+    p = to_points(counted, "detector", fields=("TP", "TN"), extra=("reading_id",))
+    return selectors.last_share(p).select("field", "value", r6("share", "share"))
+
+
 _NAMES = {"TN": "No Anomalies Detected", "TP": "Anomalies Detected"}
 
 

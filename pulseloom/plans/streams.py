@@ -221,7 +221,7 @@ def stream_forecast(spark, sf):
     + "SELECT patient_id, count(*) AS targets, round(sum(m.s),3) AS SBP, round(sum(m.d),3) AS DBP, max(target)*60 AS last_sec FROM l GROUP BY 1",
 )
 def forecast_latest(spark, sf):
-    points = flows.forecast_points(flows.forecast_messages(vitals(spark, sf)))
+    points = flows.forecast_points(flows.forecast_messages(flows.newest_per_minute(vitals(spark, sf))))
     newest = flows.forecast_latest(points)
     return newest.groupBy("patient_id").agg(
         F.count(F.lit(1)).alias("targets"), F.round(F.sum("SBP"), 3).alias("SBP"), F.round(F.sum("DBP"), 3).alias("DBP"),

@@ -89,6 +89,13 @@ def latest(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
 
 
+def newest_per_minute(df: DataFrame, by=KEY, time="DateTime", cols=("SBP", "DBP")) -> DataFrame:
+    """The newest reading of each series and minute. Forecasts issued within one minute have the same targets, so for
+    `forecast_latest` the others need not be spread over their targets."""
+    newest = F.max(F.struct(time, *cols)).alias("_r")
+    return df.groupBy(*by, F.floor(F.unix_seconds(time) / 60).alias("_minute")).agg(newest).select(*by, "_r.*")
+
+
 def forecast_messages(df: DataFrame, steps=30, by=KEY, time="DateTime") -> DataFrame:
     """Forecast messages that repeat the last reading: three parallel arrays of `steps` entries."""
     minutes = F.sequence(F.lit(1), F.lit(steps))

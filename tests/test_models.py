@@ -157,6 +157,29 @@ def test_search_needs_labels_and_is_repeatable(blobs):
     assert a.collect() == b.collect() and a.count() == 1
 
 
+def test_search_over_own_models(blobs):
+    near = lambda a, b, k, weights: knn.knn_classify(b, a, k=k, weights=weights)
+    table = {r["params"]: r["accuracy"] for r in search.search_own(blobs, near, {"k": [3], "weights": ["uniform", "distance"]}, folds=2).collect()}
+    assert set(table) == {"k=3,weights=uniform", "k=3,weights=distance"} and min(table.values()) > 0.95
+    with pytest.raises(ValueError):
+        search.search_own(blobs.drop("label"), near, {"k": [3]})
+
+
+def test_ensemble_survives_saving(spark, blobs, tmp_path):
+    from pulseloom.ml import store
+
+    near = blobs.filter("reading_id < 400")
+    cols = ("SBP", "DBP")
+    whole = vote.Ensemble({"nb": bayes.gaussian_nb(near, cols), "tree": trees.decision_tree(near, cols), "svc": trees.support_vector(near, cols)}, knn.prepare(near))
+    store.save(spark, whole, str(tmp_path / "e"))
+    again = store.load(spark, str(tmp_path / "e"))
+    want = {r["reading_id"]: (r["prediction"], round(r["probability"], 9)) for r in whole.transform(near).collect()}
+    assert {r["reading_id"]: (r["prediction"], round(r["probability"], 9)) for r in again.transform(near).collect()} == want
+    assert sum(p != int(i >= 200) for i, (p, _) in want.items()) <= 2
+    with pytest.raises(ValueError):
+        vote.check_labels(blobs.withColumn("label", F.col("label") + 1))
+
+
 def test_minmax(spark):
     df = spark.createDataFrame([(1.0, 7.0), (3.0, 7.0), (5.0, 7.0)], "a double, b double")
     m = features.minmax_fit(df, ("a", "b"))

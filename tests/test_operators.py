@@ -260,3 +260,32 @@ def test_frequent_keys_are_joined_apart(spark):
         assert sorted(map(str, plain.collect())) == sorted(map(str, apart.collect()))
     plan = joins.join_skewed(left, right, ["k"], limit=900)._jdf.queryExecution().toString()
     assert "Union" in plan and "LeftAnti" in plan
+
+
+def test_one_label_per_key(spark):
+    from pulseloom.operators.joins import join_labels
+
+    df = spark.createDataFrame([(1, 5, "x"), (1, 6, "y")], "patient_id long, DateTime long, v string")
+    labels = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 5, "b")], "patient_id long, DateTime long, Class string")
+    assert sorted(map(tuple, join_labels(df, labels).select("v", "Class").collect())) == [("x", "a"), ("y", None)]
+
+
+def test_latest_rows_need_no_sorting(spark):
+    from pulseloom.operators.selectors import panel_reduce, window_agg
+
+    p = spark.range(100).selectExpr("'m' measurement", "'f' field", "timestamp_seconds(id div 2) time", "id reading_id", "id * 1.0D value")
+    for df in (window_agg(p, "10 seconds", "last"), panel_reduce(p)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert panel_reduce(p).first()["last_not_null"] == 99
+
+
+def test_rolling_means_keep_rows_without_a_time(spark):
+    from pulseloom.operators.timeseries import rolling_mean
+
+    df = spark.range(1000).selectExpr("id reading_id", "id % 3 patient_id", "if(id % 10 = 0, null, timestamp_seconds(id * 7)) DateTime", "id * 1.0D SBP")
+    a, b = (rolling_mean(df, ["SBP"], 60, dense=d) for d in (10**9, 0))
+    rows = [{r["reading_id"]: r["SBP_RollingAvg"] for r in x.collect()} for x in (a, b)]
+    assert len(rows[0]) == 1000 and rows[0].keys() == rows[1].keys()
+    assert all((x is None) == (rows[1][i] is None) and (x is None or abs(x - rows[1][i]) < 1e-9) for i, x in rows[0].items())
+    assert all((rows[0][i] is None) == (i % 10 == 0) for i in rows[0])
