@@ -1,12 +1,15 @@
 """Near copies by SimHash fingerprints, compared at the anchors of a covering code.
 
 The 64 bits are cut into blocks of 23, 23 and 18 bits. Two fingerprints that differ in at most 4 bits differ in at
-most one bit of one of the blocks. The code words of the binary Golay code (length 23, 4096 words, padded with zeros
-for the short block) are the anchors: every block value lies within the covering radius 3 of one anchor, its home. A
-value that differs from it in at most one bit lies within 3 + 1 of that anchor. So every fingerprint goes to its home,
+most one bit of one of the blocks. The code words of the binary Golay code (length 23, 4096 words, the
+short block filled up with zeros) are the anchors: every block value lies within the covering radius 3 of one anchor, its
+home. A value that differs from it in at most one bit lies within 3 + 1 of that anchor. So every fingerprint goes to its home,
 and as a replica to every anchor within radius plus threshold; homes are compared with replicas of their anchor,
 by counting differing bits of the whole fingerprint. A pair that differs in at most 4 bits meets at the home of either.
 
+For very many fingerprints the anchors are pairs of code words of two blocks: of three blocks that differ in at most 4 bits in
+all, two differ in at most 2 bits together, so a fingerprint goes to all pairs of anchors that are reached with 2 bits.
+
 Only different fingerprints are compared. An anchor's fingerprints are split into chunks of homes, each compared with
 all replicas of the anchor in turn. What a chunk has found is reduced to a spanning forest before it leaves
 the task, so links grow with the fingerprints, not with their pairs. Components come from `components`.
@@ -27,6 +30,9 @@ BLOCKS = ((0, 23), (23, 23), (46, 18))
 RADIUS, DISTANCE, SHINGLE, SEED = 3, 4, 4, 42
 #: Homes of one anchor that are compared together.
 CHUNK = 4096
+#: Documented parameter: different fingerprints beyond which anchors are pairs of code words. 12,288 anchors and 16 replicas a
+#: fingerprint become 50 million anchors and 180 replicas, so that the fingerprints of one anchor stay few.
+FINE = 20_000_000
 
 
 def golay_words() -> np.ndarray:
@@ -38,19 +44,52 @@ def golay_words() -> np.ndarray:
     return words
 
 
-def anchors_of(values: np.ndarray, bits: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """The home of every block value, and its anchors within RADIUS + 1 as (row, anchor) pairs.
+def anchors_of(values: np.ndarray, bits: int, threshold: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors within RADIUS + threshold of every block value: (row, anchor, t), rows in order; t = 0 is the home.
 
-    Whatever differs from a value in at most one of the block's bits has its home among the homes of the value and of
-    its one-bit neighbours; these are the anchors within RADIUS + 1.
+    Whatever differs from a value in at most t of the block's bits has its home among the homes of the values that differ
+    from it in at most t bits; these are the anchors within RADIUS + t, and t is the smallest number that reaches one.
     """
     table = home_table()
-    around = np.concatenate([values[:, None], values[:, None] ^ (np.uint32(1) << np.arange(bits, dtype=np.uint32))], axis=1)
-    homes = np.sort(table[around], axis=1)
+    flips = [0] + [1 << i for i in range(bits)]
+    t = [0] + [1] * bits
+    if threshold == 2:
+        flips += [1 << i | 1 << j for i in range(bits) for j in range(i)]
+        t += [2] * (bits * (bits - 1) // 2)
+    homes = table[values[:, None] ^ np.array(flips, np.uint32)].astype(np.int64) * 4 + np.array(t)
+    homes.sort(axis=1)
     first = np.ones(homes.shape, bool)
-    first[:, 1:] = homes[:, 1:] != homes[:, :-1]
+    first[:, 1:] = homes[:, 1:] >> 2 != homes[:, :-1] >> 2
     rows, cols = np.nonzero(first)
-    return table[values], (rows, homes[rows, cols])
+    return rows, homes[rows, cols] >> 2, homes[rows, cols] & 3
+
+
+def combined(a, b, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of two blocks together: all pairs of a row's anchors that need at most two bits in all."""
+    out = []
+    for ta, tb in ((0, 0), (0, 1), (1, 0), (1, 1), (0, 2), (2, 0)):
+        x, y = a[2] == ta, b[2] == tb
+        rows_a, rows_b = a[0][x], b[0][y]
+        per_a, per_b = np.bincount(rows_a, minlength=n), np.bincount(rows_b, minlength=n)
+        start_b = np.cumsum(per_b) - per_b
+        times = per_b[rows_a]
+        nth = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        i = np.repeat(np.arange(len(rows_a)), times)
+        j = np.repeat(start_b[rows_a], times) + nth
+        out.append((rows_a[i], a[1][x][i] * 4096 + b[1][y][j], np.full(len(i), ta + tb)))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def anchors(fps: np.ndarray, fine: bool):
+    """(number of the set of blocks, row, anchor, t) for every fingerprint; t = 0 marks the home."""
+    blocks = [((fps >> np.uint64(first) & np.uint64((1 << bits) - 1)).astype(np.uint32), bits) for first, bits in BLOCKS]
+    if not fine:
+        for k, (values, bits) in enumerate(blocks):
+            yield (k, *anchors_of(values, bits))
+        return
+    near = [anchors_of(values, bits, 2) for values, bits in blocks]
+    for k, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
+        yield (k, *combined(near[i], near[j], len(fps)))
 
 
 _TABLE: list[np.ndarray] = []
@@ -135,29 +174,35 @@ def linked(homes: np.ndarray, replicas: np.ndarray, distance: int) -> list[tuple
     return [(root(x), x) for x in list(parent) if root(x) != x]
 
 
-def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, fine: bool | None = None) -> DataFrame:
     """(a, b) with a < b: links that connect all fingerprints (`fp`, different) within `distance` of each other.
 
-    Any two fingerprints that are that close are connected by these links; not every such pair is listed.
+    Any two fingerprints that are that close are connected by these links; not every such pair is listed. With `fine`
+    (by itself for more than FINE fingerprints) anchors are pairs of code words of two blocks; the links mean the same.
     """
     if distance > 4:
         raise ValueError("the blocks cover up to 4 differing bits")
+    if fine is None:
+        fine = fps.count() > FINE
+    each = 4096**2 if fine else 4096
 
     def place(batches):
         for batch in batches:
-            v = batch.column(0).to_numpy().view(np.uint64)
-            for n, (first, bits) in enumerate(BLOCKS):
-                part = (v >> np.uint64(first) & np.uint64((1 << bits) - 1)).astype(np.uint32)
-                home, (rows, anchor) = anchors_of(part, bits)
-                for is_home, which, a in ((True, np.arange(len(v)), home), (False, rows, anchor)):
-                    yield pa.RecordBatch.from_pydict({
-                        "anchor": pa.array(n * 4096 + a.astype(np.int32), pa.int32()), "home": pa.array(np.full(len(a), is_home)), "fp": pa.array(v[which].view(np.int64)),
-                    })
-
-    placed = materialize(fps.select("fp").mapInArrow(place, "anchor int, home boolean, fp long"), "anchors")
-    sizes = placed.filter("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))  # at most 3 * 4096 rows
+            for i in range(0, batch.num_rows, 1 << 14):
+                v = batch.column(0).to_numpy()[i : i + (1 << 14)].view(np.uint64)
+                for k, rows, anchor, t in anchors(v, fine):
+                    ids = pa.array(v[rows].view(np.int64))
+                    at = pa.array(k * each + anchor, pa.int64())
+                    yield pa.RecordBatch.from_pydict({"anchor": at, "home": pa.array(np.zeros(len(rows), bool)), "fp": ids})
+                    own = pa.array(t == 0)
+                    yield pa.RecordBatch.from_pydict({"anchor": at.filter(own), "home": pa.array(np.ones(int((t == 0).sum()), bool)), "fp": ids.filter(own)})
+
+    placed = materialize(fps.select("fp").mapInArrow(place, "anchor long, home boolean, fp long"), "anchors")
+    sizes = placed.filter("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     chunks = F.greatest(F.lit(1), F.ceil(F.col("n") / CHUNK)).cast("int")
-    sized = placed.join(F.broadcast(sizes.select("anchor", chunks.alias("chunks"))), "anchor")  # no homes: nothing to compare
+    sizes = sizes.select("anchor", chunks.alias("chunks"))
+    # without fine anchors there are at most 3 * 4096 of them; an anchor without homes has nothing to compare
+    sized = placed.join(sizes if fine else F.broadcast(sizes), "anchor")
     homes = sized.filter("home").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     replicas = sized.filter("NOT home").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     both = homes.unionByName(replicas).select("anchor", "chunk", "home", "fp")

@@ -44,10 +44,12 @@ def test_code_is_perfect():
     assert least == 7
     table, values = simhash.home_table(), np.random.default_rng(1).integers(0, 1 << 23, 500).astype(np.uint32)
     assert (np.bitwise_count(words[table[values]] ^ values) <= 3).all()
-    home, (rows, anchors) = simhash.anchors_of(values, 23)
-    for r in range(0, 500, 50):
-        near = set(np.flatnonzero(np.bitwise_count(words ^ values[r]) <= 4).tolist())
-        assert set(anchors[rows == r].tolist()) == near and home[r] in near
+    for threshold in (1, 2):
+        rows, anchors, t = simhash.anchors_of(values, 23, threshold)
+        for r in range(0, 500, 50):
+            away = np.bitwise_count(words ^ values[r])
+            assert set(anchors[rows == r].tolist()) == set(np.flatnonzero(away <= 3 + threshold).tolist())
+            assert anchors[(rows == r) & (t == 0)].tolist() == [table[values[r]]]
 
 
 def test_groups_match_brute_force(spark):
@@ -63,11 +65,11 @@ def test_groups_match_brute_force(spark):
             values.append(x)
     values = sorted(set(values))
     want = groups(values, lambda a, b: (a ^ b).bit_count() <= 4)
-    for chunk in (simhash.CHUNK, 1):
+    for chunk, fine in ((simhash.CHUNK, False), (1, False), (simhash.CHUNK, True)):
         before, simhash.CHUNK = simhash.CHUNK, chunk
         try:
             fps = spark.createDataFrame([(simhash.signed(v),) for v in values], "fp long")
-            label = {r.node: r.label for r in components(simhash.links(fps)).collect()}
+            label = {r.node: r.label for r in components(simhash.links(fps, fine=fine)).collect()}
         finally:
             simhash.CHUNK = before
         got = [label.get(simhash.signed(v), simhash.signed(v)) for v in values]
