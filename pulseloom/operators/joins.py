@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pulseloom.operators.slices import MIN_ROWS, fair_share, known_neighbours
 from pulseloom.schema import KEY
+from pulseloom.session import materialize
 
 #: Documented parameter: rows of the small side that may be broadcast; beyond it the rows are shuffled, with the same result.
 MAX_BROADCAST = 100_000
@@ -67,6 +68,8 @@ def join_labels(df: DataFrame, labels: DataFrame, on=("patient_id", "DateTime"))
     on = list(on)
     rest = [c for c in labels.columns if c not in on]
     one = labels.groupBy(*on).agg(F.min(F.struct(*rest)).alias("_label")).select(*on, "_label.*")
+    if df.isStreaming:  # every micro-batch reads the labels again: they are reduced and written once
+        one = materialize(one, "labels")
     return join_skewed(df, one, on, "left")
 
 

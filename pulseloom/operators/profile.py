@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseloom.operators.slices import running
 from pulseloom.schema import MEASURES
+from pulseloom.session import materialize
 
 
 def _long(row_per, fields) -> list:
@@ -33,7 +34,8 @@ def quartiles(df: DataFrame, cols=MEASURES, points=(("p25", 0.25), ("p50", 0.5),
     Values are counted first, so the ordered part sees one row per distinct value, and ranks
     come from running counts: no task holds all values of a column.
     """
-    counts = unpivot(df, cols).filter("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # written once: the ordered part measures and reads it several times
+    counts = materialize(unpivot(df, cols).filter("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "values")
     ranked = running(counts, ["column"], ["value"], {"upto": ("sum", F.col("n"))})
     sizes = counts.groupBy("column").agg(F.sum("n").alias("size"))
     ranked = ranked.join(F.broadcast(sizes), "column")
