@@ -82,7 +82,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 
 def test_page_text():
-    assert html_runs.main_text(*map(list, zip(*html_runs.blocks_of(PAGE))), [])[0] == "Head & title\nFirst bold line é!\nSecond\npart\nitem 1\nitem 2"
+    assert html_runs.main_text(html_runs.blocks_of(PAGE), []) == "Head & title\nFirst bold line é!\nSecond\npart\nitem 1\nitem 2"
     for odd in ("", "<", "<p", "plain", "<article>open", "</div></div>text", "<script>never closed", "<!-- never", "<p a='x>y'>t", "<a b=\"c>" + "x" * 1000, "<" * 5000):
         html_runs.blocks_of(odd)
     assert html_runs.blocks_of("<p a='x>y'>t") == [(html_runs.OPEN, "t")]
@@ -114,6 +114,10 @@ def test_repeats_of_a_host(spark):
     assert html_runs.extract(pages(spark, rows[:0])).count() == 0
 
 
+def test_words_inside():
+    assert html_runs.words_inside([], 6) == 0 and html_runs.words_inside([4, 3, 3, 20], 6) == 13
+
+
 def test_suffix_ranks():
     rng = np.random.default_rng(4)
     words = rng.integers(0, 3, 200)
