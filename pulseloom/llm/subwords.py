@@ -9,9 +9,8 @@ The softmax of an average is a logistic curve over the average of one number per
 number per bucket, and a word's numbers are added up once.
 """
 
-import re
 import zlib
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -20,18 +19,36 @@ from pyspark.sql import functions as F
 from pulseloom.llm.common import fold, labelled_sample, map_text
 
 BUCKETS, DIMENSIONS = 1 << 16, 8
-CACHE = 300_000
 #: Buckets of the place features: words that end a new or a repeated three-word window.
 NEW, REPEATED = 0, 1
-_SHAPE = re.compile(r"[^\W\d_]")
-
-
-def word_features(word: str) -> list[int]:
-    """Buckets of a word: itself, its character 3- to 5-grams, its ending, and its shape."""
-    w = f"<{word}>"
-    grams = [w] + [w[i : i + n] for n in (3, 4, 5) for i in range(len(w) - n + 1)]
-    grams.append("shape " + ("U" if word.isupper() else "l" if word.islower() else "m") + _SHAPE.sub("a", word)[-3:].replace("a", ""))
-    return [2 + zlib.crc32(g.encode()) % (BUCKETS - 2) for g in grams]
+#: Place features count as often as the features of an average word, so that they are not drowned.
+PLACE_WEIGHT = 16
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(word number, bucket) of all features of the words: the word, its character 3- to 5-grams between borders, and its shape
+    (upper, lower or mixed case, and the last character unless it is a letter)."""
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    owner = np.repeat(np.arange(len(words)), size)
+    of, hashes = [], []
+    with np.errstate(over="ignore"):
+        for n in (3, 4, 5):
+            count = max(0, len(codes) - n + 1)
+            h = np.full(count, n, np.uint64)
+            for k in range(n):
+                h = (h ^ codes[k : k + count]) * _MIX
+                h ^= h >> np.uint64(29)
+            inside = owner[:count] == owner[n - 1 : n - 1 + count]
+            of.append(owner[:count][inside])
+            hashes.append(h[inside])
+    whole = [zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words]
+    shape = [zlib.crc32((("U" if w.isupper() else "l" if w.islower() else "m") + ("" if w[-1].isalpha() else w[-1])).encode("utf-8", "surrogatepass"), 1) for w in words]
+    each = np.arange(len(words))
+    of += [each, each]
+    hashes += [np.array(whole, np.uint64) * _MIX >> np.uint64(7), np.array(shape, np.uint64) * _MIX >> np.uint64(7)]
+    return np.concatenate(of), (2 + np.concatenate(hashes) % np.uint64(BUCKETS - 2)).astype(np.int64)
 
 
 def repeats(words: list[str]) -> int:
@@ -43,55 +60,46 @@ def repeats(words: list[str]) -> int:
 def document(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text and the share each has in its average."""
     words = text.split()
-    found = [NEW] if not words else []
-    for w in words:
-        found += word_features(w)
-    at, n = np.unique(np.array(found, np.int64), return_counts=True)
+    at, n = np.unique(features(words)[1], return_counts=True) if words else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     again = repeats(words)
-    counts = np.zeros(len(at) + 2, np.float32)
-    counts[2:] = n if words else 0
-    counts[:2] = place_weight() * max(0, len(words) - again), place_weight() * again
+    places = [PLACE_WEIGHT * max(0, len(words) - again), PLACE_WEIGHT * again]
+    counts = np.concatenate([places, n]).astype(np.float32)
     return np.concatenate([[NEW, REPEATED], at]), counts / max(1.0, counts.sum())
 
 
-def place_weight() -> int:
-    """Place features count as often as the features of an average word, so that they are not drowned."""
-    return 16
-
-
 @dataclass(frozen=True)
 class Model:
     """One number per bucket and a bias: the difference of both classes before the softmax."""
 
     numbers: np.ndarray
     bias: float
-    _words: dict = field(default_factory=dict, compare=False, repr=False)
 
-    def __getstate__(self):
-        return {"numbers": self.numbers, "bias": self.bias, "_words": {}}
+    def scores(self, texts: list[str]) -> list[float]:
+        """Probability of class 1 of every text; a text without words gets that of the bias."""
+        docs = [t.split() for t in texts]
+        different = list(set().union(*docs))
+        number = {w: i for i, w in enumerate(different)}
+        if different:
+            of, bucket = features(different)
+            total = np.bincount(of, self.numbers[bucket], len(different))
+            n = np.bincount(of, minlength=len(different))
+        out = []
+        for words in docs:
+            z = 0.0
+            if words:
+                at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+                again = repeats(words)
+                new = len(words) - again
+                place = PLACE_WEIGHT * (again * float(self.numbers[REPEATED]) + new * float(self.numbers[NEW]))
+                z = (float(total[at].sum()) + place) / (float(n[at].sum()) + PLACE_WEIGHT * len(words))
+            out.append(float(1 / (1 + np.exp(-np.clip(z + self.bias, -30, 30)))))
+        return out
 
     def score(self, text: str) -> float:
-        """Probability of class 1; a text without words gets that of the bias."""
-        known, words = self._words, text.split()
-        if len(known) > CACHE:
-            known.clear()
-        total = n = 0.0
-        for w in words:
-            got = known.get(w)
-            if got is None:
-                f = word_features(w)
-                got = known[w] = float(self.numbers[f].sum()), len(f)
-            total += got[0]
-            n += got[1]
-        again, k = repeats(words), place_weight()
-        new = max(0, len(words) - again)
-        total += k * (again * float(self.numbers[REPEATED]) + new * float(self.numbers[NEW]))
-        n += k * (again + new)
-        z = (total / n if n else 0.0) + self.bias
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def train(sample: list[tuple[str, int]], epochs: int = 10, rate: float = 0.7, seed: int = 7) -> Model:
+        return self.scores([text])[0]
+
+
+def train(sample: list[tuple[str, int]], epochs: int = 12, rate: float = 1.2, seed: int = 7) -> Model:
     """Stochastic gradient descent over (text, class) pairs, as many steps with either class. One class alone gives its share."""
     y = np.array([c for _, c in sample], int)
     if not len(y) or y.min() == y.max():
@@ -125,7 +133,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3, text="text", ke
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per bucket
 
     def fn(texts):
-        scores = [shared.value.score(t) for t in texts]
+        scores = shared.value.scores(texts)
         return {"score": scores, "predicted": [int(s >= threshold) for s in scores]}
 
     return map_text(docs, fn, "score double, predicted int", text, keep)
