@@ -12,7 +12,7 @@ a toxic text that was copied many times.
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -95,32 +95,43 @@ class Lexicon:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def learn(sample: list[tuple[str, int]], min_contexts: int = 12, min_ratio: float = 20.0, exceptions=EXCEPTIONS, seeds=SEEDS) -> Lexicon:
+def learn(sample: list[tuple[str, int]], min_contexts: int = 12, min_texts: int = 4, min_ratio: float = 20.0, exceptions=EXCEPTIONS, seeds=SEEDS) -> Lexicon:
     """A lexicon from (text, 1 if toxic) pairs.
 
-    A word start of 4 to 9 letters is an entry if toxic texts have it after at least `min_contexts` different words, and
-    `min_ratio` times as often (by such words, per text) as other texts. Of nested starts with about the same
-    support the longest is taken. The weight is the logarithm of the ratio. Without toxic texts only the seeds remain.
+    A word start of 4 to 9 letters is an entry if toxic texts have it after at least `min_contexts` different words, in
+    `min_texts` texts or more, and `min_ratio` times as often (in texts) as the others have it. Of nested starts with about the same support the longest is
+    taken. The weight is the logarithm of the ratio. Without toxic texts only the seeds remain.
     """
-    contexts: dict[str, set[int]] = defaultdict(set)
     n = [max(1, sum(y == k for _, y in sample)) for k in (0, 1)]
-    for text, y in sample:
-        if y == 1:
-            words = _WORD.findall(folded(text))
-            for before, w in zip(["", *words], words):
-                for k in range(4, min(9, len(w)) + 1):
-                    contexts[w[:k]].add(hash(before))
-    able = {t: len(c) for t, c in contexts.items() if len(c) >= min_contexts}
-    other: dict[str, set[int]] = defaultdict(set)
-    for text, y in sample:
-        if y == 0:
-            words = _WORD.findall(folded(text))
-            for before, w in zip(["", *words], words):
-                for k in range(4, min(9, len(w)) + 1):
-                    if w[:k] in able:
-                        other[w[:k]].add(hash(before))
-    ratio = {t: (c / n[1]) / ((len(other[t]) + 0.5) / n[0]) for t, c in able.items()}
-    good = {t for t, r in ratio.items() if r >= min_ratio}
+
+    def starts(kind):
+        """(word before, word starts) of every word of the texts of a kind."""
+        for text, y in sample:
+            if y == kind:
+                words = _WORD.findall(folded(text))
+                for before, w in zip(["", *words], words):
+                    yield before, [w[:k] for k in range(4, min(9, len(w)) + 1)]
+
+    def texts_with(kind, wanted=None):
+        """In how many texts of a kind each word start stands."""
+        seen: Counter = Counter()
+        for text, y in sample:
+            if y == kind:
+                words = {w[:9] for w in _WORD.findall(folded(text))}
+                seen.update({w[:k] for w in words for k in range(4, len(w) + 1) if wanted is None or w[:k] in wanted})
+        return seen
+
+    often = {t: c for t, c in texts_with(1).items() if c >= min_texts}
+    other = texts_with(0, often)
+    ratio = {t: (c / n[1]) / ((other[t] + 0.5) / n[0]) for t, c in often.items()}
+    ratio = {t: r for t, r in ratio.items() if r >= min_ratio}
+    contexts: dict[str, set[str]] = defaultdict(set)
+    for before, some in starts(1):
+        for t in some:
+            if t in ratio:
+                contexts[t].add(before)
+    able = {t: len(c) for t, c in contexts.items()}
+    good = {t for t, c in able.items() if c >= min_contexts}
     children: dict[str, list[str]] = defaultdict(list)
     for t in good:
         children[t[:-1]].append(t)
@@ -161,7 +172,7 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, text="text"
     return map_text(docs, fn, "score double, predicted int, n_found int", text, keep)
 
 
-def learned_score(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (6000, 2000), max_chars: int = 50_000) -> DataFrame:
+def learned_score(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = (4500, 1500), max_chars: int = 50_000) -> DataFrame:
     """doc_id, held_out, score, predicted, n_found of every row; the lexicon comes from at most `per_class`
     texts (not toxic, toxic) that are not held out and have at most `max_chars` characters."""
     lexicon = learn(labelled_sample(docs, labels, "toxic", per_class, max_chars))
