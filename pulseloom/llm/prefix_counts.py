@@ -10,6 +10,7 @@ before it and those of the prefix of that piece. Where the pattern would split a
 the full text (white space before a word, contractions, special tokens), the prefix's own words are counted.
 """
 
+from array import array
 from bisect import bisect_left
 from itertools import accumulate
 from os.path import commonprefix
@@ -43,7 +44,7 @@ class Counter:
         self.start: dict[bytes, bool] = {}
         self.after: dict[bytes, dict[bytes, bool]] = {}
         self.pairs = 0
-        self.words: dict[str, bytes | list[int]] = {}
+        self.words: dict[str, bytes | array] = {}
         self.known: dict[str, int] = {}
 
     def left_alone(self, known: dict, s: bytes, t: bytes) -> bool:
@@ -82,7 +83,8 @@ class Counter:
                 else:
                     raise ValueError("the vocabulary lacks a byte")
             by_char = count[1:] if len(data) == len(word) else [count[e] for e in accumulate(len(c.encode()) for c in word)]
-            self.words[word] = bytes(by_char) if len(word) < 256 else by_char
+            # a character may have several tokens, and a prefix more than the whole word
+            self.words[word] = bytes(by_char) if max(by_char, default=0) < 256 else array("I", by_char)
 
     def chars(self, word: str) -> list[int]:
         """Counts after each character of a word, from 1 character on."""

@@ -47,6 +47,19 @@ def test_every_prefix_is_counted(text, limit):
     assert counter.text(text, limit) == (want[-1], max(k for k, n in enumerate(want) if n <= limit))
 
 
+@pytest.mark.parametrize("word", ["\U0001f004" * 90, "\u16a0" * 100, "\u9f98\u9750\u7228" * 60, "\u16a0" * 250, "a" * 255 + "\u16a0" * 40, "\u16a0" * 300])
+def test_words_of_more_than_255_tokens(word):
+    counter = prefix_counts.Counter(PATH)
+    want = [len(ids(word[:k])) for k in range(len(word) + 1)]
+    assert want[-1] > 255 or "a" in word
+    for _ in range(2):  # learned, then remembered
+        assert counter.table(word) == want[1:]
+        for limit in (200, 256, 1024):
+            assert counter.text(word, limit) == (want[-1], max(k for k, n in enumerate(want) if n <= limit))
+    some = f"an {word} end {word}!"
+    assert counter.text(some, 1 << 20) == (len(ids(some)), len(some))
+
+
 def test_unsplit_texts_are_joined_exactly():
     bpe, rng = pieces.load(PATH), random.Random(5)
     some = ["a" * 20_000, "".join(rng.choice("abcdet") for _ in range(20_000)), "".join(rng.choice("ab!日é1") for _ in range(9_000)), " " * 9_000 + "x", "ab" * 5_000 + " c" + "!?" * 4_000]
