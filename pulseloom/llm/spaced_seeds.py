@@ -6,10 +6,17 @@ each window is taken on both sides, and equal hashes are joined. Around a hit th
 place: the document holds the passage if on that diagonal some stretch of `length` words (or the item, if shorter)
 that contains the window has at least `share` equal words.
 
+Items shorter than `length` leave a mask few places, so masks are made for their length: whichever words `share` allows to
+differ, one of the masks leaves them all out.
+
 Documents hash only windows that may be hits: a Bloom filter of the benchmark's hashes, of a fixed size whatever the
 benchmark's, goes to the tasks. It lets every hit pass; what it passes wrongly is removed by the join.
 """
 
+from functools import cache
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -43,9 +50,27 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids[real], starts
 
 
-def short_masks(n: int) -> tuple[str, ...]:
-    """Items shorter than a mask are looked up whole."""
-    return tuple(m for m in MASKS if len(m) <= n) or ("1" * n,)
+@cache
+def covering(n: int, differ: int) -> tuple[str, ...]:
+    """Masks of n positions, about half of them (at least 4) selected; any `differ` positions are left out by one of them."""
+    selected = min(n - differ, max(4, n // 2))
+    if not differ or comb(n, selected) > 20_000:  # of differ + 1 parts one has no changed word
+        cuts = [n * i // (differ + 1) for i in range(differ + 2)]
+        return tuple("0" * a + "1" * (b - a) + "0" * (n - b) for a, b in zip(cuts, cuts[1:]))
+    masks = {"".join("0" if i in out else "1" for i in range(n)): set(combinations(out, differ)) for out in combinations(range(n), n - selected)}
+    missing, taken = set(combinations(range(n), differ)), []
+    while missing:
+        taken.append(max(masks, key=lambda m: len(masks[m] & missing)))
+        missing -= masks[taken[-1]]
+    return tuple(taken)
+
+
+def short_masks(n: int, length: int = LENGTH, share: float = SHARE) -> tuple[str, ...]:
+    """The masks for an item of n words; one of fewer than `length` words has masks of its own as well."""
+    fit = tuple(m for m in MASKS if len(m) <= n)
+    if n >= length:
+        return fit or ("1" * n,)
+    return fit + covering(n, max(k for k in range(n) if (n - k) / n >= share))
 
 
 def hashes(ids: np.ndarray, mask: str) -> np.ndarray:
@@ -85,7 +110,7 @@ def context(ids: np.ndarray, at: int, width: int, length: int) -> list[int]:
     return got.view(np.int64).tolist()
 
 
-def benchmark_seeds(benchmark: DataFrame, length: int) -> DataFrame:
+def benchmark_seeds(benchmark: DataFrame, length: int, share: float = SHARE) -> DataFrame:
     """(h, item_id, width, n_item, words): every window of every item, with the words around it."""
     def run(batches):
         for b in batches:
@@ -93,7 +118,7 @@ def benchmark_seeds(benchmark: DataFrame, length: int) -> DataFrame:
             words, starts = word_ids(b.column(1))
             for item, lo, hi in zip(b.column(0).to_pylist(), starts.tolist(), starts[1:].tolist()):
                 ids = words[lo:hi]
-                for m in short_masks(len(ids)) if len(ids) else ():
+                for m in short_masks(len(ids), length, share) if len(ids) else ():
                     for at, h in enumerate(hashes(ids, m).view(np.int64).tolist()):
                         out.append((h, item, len(m), len(ids), context(ids, at, len(m), length)))
             yield pa.RecordBatch.from_pydict(dict(zip(("h", "item_id", "width", "n_item", "words"), map(list, zip(*out)))) if out else {c: [] for c in ("h", "item_id", "width", "n_item", "words")}, schema=SEEDS)
@@ -125,10 +150,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, key=("doc_id",), text="text",
     Rows without a match are absent. Null texts hold nothing; repeated rows count their windows together; an item of
     fewer words than `length` must line up as a whole; an item without words matches nothing.
     """
-    seeds = materialize(benchmark_seeds(benchmark, length), "seeds")
+    seeds = materialize(benchmark_seeds(benchmark, length, share), "seeds")
     bits = docs.sparkSession.sparkContext.broadcast(filter_of(seeds))
-    shortest = [r.width for r in seeds.filter(F.col("width") < min(map(len, MASKS))).select("width").distinct().collect()]
-    masks = (*MASKS, *("1" * w for w in shortest if "1" * w not in MASKS))
+    short = [r.n_item for r in seeds.filter(F.col("n_item") < max(length, min(map(len, MASKS)))).select("n_item").distinct().collect()]
+    masks = tuple(dict.fromkeys([*MASKS, *(m for n in sorted(short) for m in short_masks(n, length, share))]))
     key = list(key)
 
     def run(batches):

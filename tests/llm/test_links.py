@@ -2,6 +2,7 @@
 
 import random
 import re
+from itertools import combinations
 
 import numpy as np
 import xxhash
@@ -152,6 +153,34 @@ def test_passages(spark):
     assert spaced_seeds.matches(docs, benchmark.limit(0)).count() == 0
 
 
+def test_short_items_with_every_allowed_change(spark):
+    prepare(spark)
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in range(1, spaced_seeds.LENGTH)}
+    texts, want = [], set()
+    for n, words in items.items():
+        for differ in range(4):
+            for out in combinations(range(n), differ):
+                if differ == 3 and sum(out) % 5:
+                    continue  # beyond what is allowed: some are enough
+                changed = " ".join("other" if i in out else w for i, w in enumerate(words))
+                if n - differ >= spaced_seeds.SHARE * n:
+                    want.add((len(texts), n))
+                texts.append((len(texts), f"before {changed} after"))
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    docs = cases.docs(spark, texts)
+    got = {(r.doc_id, r.item_id) for r in spaced_seeds.matches(docs, benchmark).collect()}
+    assert got == want and len(want) > 300
+    assert {r.doc_id for r in spaced_seeds.remove(docs, benchmark).collect()} == {i for i, _ in texts} - {i for i, _ in want}
+
+
+def test_covering_masks():
+    for n in range(2, 21):
+        for differ in range(min(4, n)):
+            masks = spaced_seeds.covering(n, differ)
+            assert all(len(m) == n and "1" in m for m in masks)
+            assert all(any(all(m[i] == "0" for i in out) for m in masks) for out in combinations(range(n), differ))
+
+
 def test_passages_of_the_tables(spark, sf):
     from pulseloom.llm.queries import QUERIES
 
