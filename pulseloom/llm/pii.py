@@ -6,13 +6,16 @@ is right, and from that how likely a span with these votes is personal data. A l
 probabilities from features of the span and decides.
 
 The four base kinds (email, ip, card, phone) follow fixed rules and are always kept; the classifier adds spans of
-the other kinds, and of loosely written phones, that overlap no base span.
+the other kinds, and of loosely written phones, that overlap no base span. All proposals are voted on and scored; of
+overlapping ones that the classifier takes, the most probable names the stretch.
 """
 
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,12 +32,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _HAS = re.compile(r"[0-9@]")
 CUES = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "api-key", "access_key", "private_key", "credential")
-_ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|access_key|private_key|credential)s?[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([^\s\"',;]{6,256})")
-_KEY = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{18,128}(?![A-Za-z0-9_-])")
+_ASSIGNED = re.compile(r"(?i)(?:password|passwd|pwd|token|secret|api[_-]?key|access_key|private_key|credential)s?[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?([^\s\"',;]{6,}+)")
+_KEY = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{18,}+(?![A-Za-z0-9_-])")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-_OBSCURED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,63}){1,4}")
+_OBSCURED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]++(?: ?[\[(](?:dot|DOT)[\])] ?[A-Za-z0-9-]{2,}+)+")
 #: Endings of mail domains, key prefixes, countries of account numbers.
 ENDINGS = frozenset("com org net edu gov mil int info biz io co uk de fr es it nl eu ru cn jp br in au ca ch at se no pl".split())
 KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "sk_", "xoxb", "xoxp", "AIza", "eyJ", "glpat")
@@ -98,7 +101,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Proposed spans of the other kinds that overlap no base span, of overlapping ones the first and longest."""
+    """All proposed spans of the other kinds that overlap no base span; they may overlap each other."""
     found: list[tuple[int, int, int]] = []
     low = text.lower()
     if any(c in low for c in CUES):
@@ -109,12 +112,9 @@ def other_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
             found += [(m.start(), kind, m.end()) for m in p.finditer(text)]
     if "at]" in low or "at)" in low:
         found += [(m.start(), 8, m.end()) for m in _OBSCURED.finditer(text)]
-    out, end = [], 0
-    for s, k, e in sorted(found, key=lambda x: (x[0], -x[2], x[1])):
-        if s >= end and not any(s < be and bs < e for bs, _, be in base):
-            out.append((s, k, e))
-            end = e
-    return out
+    edges, far = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
+    # of the base spans that start before the end of a span, none may end after its start
+    return [(s, k, e) for s, k, e in sorted(set(found)) if not (n := bisect_left(edges, e)) or far[n - 1] <= s]
 
 
 def iban_ok(value: str) -> bool:
@@ -270,10 +270,37 @@ def fit_on(found: DataFrame) -> SpanModel:
     return fit(table[:, 0], table[:, 1], table[:, 2], table[:, 3])
 
 
-def chosen(model: SpanModel, kinds, starts, ends, features, threshold: float) -> list[tuple[int, int, int]]:
-    """Base spans and the proposed ones that the classifier takes, by start, then kind."""
+def chosen(model: SpanModel, kinds, starts, ends, features, threshold: float) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """Base spans and the proposed ones that the classifier takes, by start, then kind: without overlaps, and as masks.
+
+    A stretch of overlapping proposals is settled by probability, equal ones by length; inside one of the same kind that is taken, none
+    stands for itself. The mask of the most probable covers the whole stretch, so nothing that was taken stays.
+    """
     p = model.probability(features)
-    return sorted((s, k, e) for s, k, e, q in zip(starts, kinds, ends, p) if k < len(BASE) or q >= threshold)
+    spans = list(zip(starts, kinds, ends))
+    base = [x for x in spans if x[1] < len(BASE)]
+    taken = sorted((s, -e, k, q) for (s, k, e), q in zip(spans, p) if k >= len(BASE) and q >= threshold)
+    free, masks, at = [], [], 0
+    while at < len(taken):
+        group, end = [], taken[at][0] + 1
+        while at < len(taken) and taken[at][0] < end:
+            s, e, k, q = taken[at]
+            group.append((q, -e - s, -s, -k))
+            end, at = max(end, -e), at + 1
+        outer: dict[int, int] = {}  # by start and length, so a span of a kind is inside another if one before it ends later
+        alone = []
+        for q, size, s, k in group:
+            if outer.get(k, -1) < size - s:
+                alone.append((q, size, s, k))
+                outer[k] = size - s
+        settled: list[tuple[int, int, int]] = []
+        for _, size, s, k in sorted(alone, reverse=True):
+            place = bisect_left(settled, (-s, 0, 0))
+            if (not place or settled[place - 1][2] <= -s) and (place == len(settled) or settled[place][0] >= size - s):
+                settled.insert(place, (-s, -k, size - s))
+        free += settled
+        masks.append((-group[0][2], -max(alone)[3], end))
+    return sorted(base + free), sorted(base + masks)
 
 
 def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -290,7 +317,7 @@ def find(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
         for b in batches:
             col = {n: b.column(i) for i, n in enumerate(b.schema.names)}
             values = [col[n].to_pylist() for n in ("kinds", "starts", "ends", "features", "base")]
-            spans = [base if all(k < len(BASE) for k in ks) else joined(chosen(model, ks, s, e, f, threshold)) for ks, s, e, f, base in zip(*values)]
+            spans = [base if all(k < len(BASE) for k in ks) else joined(chosen(model, ks, s, e, f, threshold)[0]) for ks, s, e, f, base in zip(*values)]
             kept = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256"]
             yield pa.RecordBatch.from_arrays([*(col[n] for n in kept), pa.array(spans, pa.string())], names=[*kept, "spans"])
 
@@ -317,7 +344,7 @@ def mask(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
             base = base_spans(t)
             spans = base + other_spans(t, base)
             features = [votes_and_features(t, s)[1] for s in spans]
-            picked = chosen(model, [k for _, k, _ in spans], [s for s, _, _ in spans], [e for _, _, e in spans], features, threshold) if spans else []
+            picked = chosen(model, [k for _, k, _ in spans], [s for s, _, _ in spans], [e for _, _, e in spans], features, threshold)[1] if spans else []
             out.append(masked(t, picked))
         return {"masked": out}
 

@@ -57,6 +57,39 @@ def test_added_spans_and_masks(spark):
     assert pii.mask(cases.empty(spark)).count() == 0
 
 
+def test_no_part_of_a_long_or_ambiguous_span_stays(spark):
+    prepare(spark)
+    rng = np.random.default_rng(7)
+    draw = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMN23456789"), n))
+    rows = [(i, f"some words password=Zx9{draw(16)}7xQ and key AKIA{draw(18)}, call 555-{200 + i}-4567, iban DE89370400440532013000, commit sha {i:040x} end") for i in range(40)]
+    secret, key, jwt = draw(800), "ghp_" + draw(150), "eyJ" + draw(200) + "." + draw(300) + ".-" + draw(90)
+    rows += [(100, f"here token={secret} end"), (101, f"key {key} end"), (102, f"see token={jwt} end"), (103, "the iban account DE89370400440532013000 is mine"),
+             (104, "bank account GB82WEST12345698765432 end"), (105, "phone token: 555-123-4567 end"), (106, "write " + "a1" * 50 + " [at] some-place [dot] example [dot] org [dot] co [dot] uk [dot] eu end")]
+    docs = cases.docs(spark, rows)
+    text = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert text[100] == "here token=[SECRET] end" and text[101] == "key [SECRET] end" and text[102] == "see token=[SECRET] end"
+    assert text[103] == "the iban account [IBAN] is mine" and text[104] == "bank account [IBAN] end" and text[106] == "write [OBSCURED_EMAIL] end"
+    assert "555" not in text[105] and all("DE89" not in text[i] and "Zx9" not in text[i] and "4567" not in text[i] for i in range(40))
+    assert spans[100] == "secret:11:811" and spans[103] == "iban:17:39"
+    proposed = {k for _, k, _ in pii.other_spans(rows[45][1], [])}
+    assert proposed == {pii.KINDS.index("secret"), pii.KINDS.index("local_phone")}
+    assert {k for _, k, _ in pii.other_spans(rows[43][1], [])} == {pii.KINDS.index("secret"), pii.KINDS.index("iban")}
+
+
+def test_overlaps_are_settled_by_probability():
+    class Model:
+        def probability(self, features):
+            return np.array(features, float)
+
+    spans = [(0, 0, 3, 0.1), (5, 4, 30, 0.6), (8, 4, 20, 0.9), (10, 7, 22, 0.8), (28, 5, 40, 0.7), (50, 4, 60, 0.4), (50, 5, 60, 0.6), (70, 4, 80, 0.5)]
+    starts, kinds, ends, p = zip(*spans)
+    alone, masks = pii.chosen(Model(), kinds, starts, ends, p, 0.5)
+    assert alone == [(0, 0, 3), (10, 7, 22), (28, 5, 40), (50, 5, 60), (70, 4, 80)]
+    assert masks == [(0, 0, 3), (5, 7, 40), (50, 5, 60), (70, 4, 80)]
+    assert pii.other_spans("", []) == [] and pii.chosen(Model(), [], [], [], [], 0.5) == ([], [])
+
+
 def test_long_runs_take_one_pass():
     for text in ("a" * 300_000, "1" * 200_000, "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "A1" * 100_000, "x" * 100_000 + "@"):
         pii.propose([text])
