@@ -17,10 +17,11 @@ WINDOW = T.StructType([
 
 
 class WindowForecast(StatefulProcessor):
-    """Keeps the last `n_in` valid readings; every new reading is forecast from the readings up to it.
+    """Keeps the last `2 * n_in - 1` valid readings; every new reading is forecast from the readings up to it.
 
-    A late reading takes its place among the kept ones. Only one that is older than all of a full window
-    is dropped: the readings its own window needs are gone.
+    A late reading takes its place among the kept ones, and each place among the last `n_in` has its whole window there.
+    A reading older than these has no forecast once the readings its own window needs are gone. Forecasts already given stay
+    as they are.
 
     The rows of a patient in one micro-batch are put in order by time, so the source's rate
     limit (maxFilesPerTrigger, maxOffsetsPerTrigger) bounds what a task holds.
@@ -37,12 +38,13 @@ class WindowForecast(StatefulProcessor):
         names = [f.name for f in WINDOW]
         new = pd.concat([p[names] for p in rows]).assign(new=True)
         old = pd.DataFrame(dict(zip(names, self.state.get() if self.state.exists() else [[] for _ in names]))).assign(new=False)
-        if len(old) == n:
+        keep = 2 * n - 1
+        if len(old) == keep:
             new = new[new["ts_us"] >= old["ts_us"].iloc[0]]
         if not len(new):
             return
         pdf = pd.concat([old.astype(new.dtypes.to_dict()), new]).sort_values(["ts_us", "reading_id"], kind="stable", ignore_index=True)
-        last = pdf.iloc[-n:]
+        last = pdf.iloc[-keep:]
         self.state.update(tuple(last[c].tolist() for c in names))
         if len(pdf) < n:
             return

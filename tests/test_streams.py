@@ -146,6 +146,29 @@ def test_a_late_reading_takes_its_place(spark, tmp_path):
     assert got == {4: pytest.approx(94.0), 3: pytest.approx(93.0), 5: pytest.approx(99.0)}
 
 
+def test_late_readings_of_the_last_window_are_forecast(spark, tmp_path):
+    n = 4
+    weights = np.zeros((2 * n + 1, 60))
+    weights[1 : n + 1, :30] = weights[n + 1 :, 30:] = 1 / n
+    model = DirectModel(("SBP", "DBP"), n, 30, weights)
+    row = lambda i: (1, i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), 90.0 + i * i, 60.0)
+    schema = "patient_id long, reading_id long, DateTime timestamp, SBP double, DBP double"
+    missing = (17, 18, 20, 5)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    stateful.use_rocksdb(spark)
+    try:
+        for batch in ([i for i in range(1, 21) if i not in missing], [18], [17, 20, 5], [21]):
+            spark.createDataFrame([row(i) for i in batch], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, spark.read.parquet(str(tmp_path / "in")).schema)
+            out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    got = {r["reading_id"]: r["SBP_15"] for r in out.collect()}
+    mean = lambda *ids: pytest.approx(sum(90.0 + i * i for i in ids) / len(ids))
+    assert got[18] == mean(14, 15, 16, 18) and got[17] == mean(14, 15, 16, 17)
+    assert got[20] == mean(17, 18, 19, 20) and got[21] == mean(18, 19, 20, 21) and 5 not in got
+
+
 def test_unreadable_values_are_on_record(spark):
     from pulseloom.sources.codecs import dead_letters
 
