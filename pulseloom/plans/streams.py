@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pulseloom.functions import rules
 from pulseloom.ml import bayes, cluster, iforest, knn, ocsvm, trees, vote
 from pulseloom.ml.forecast import DirectModel
-from pulseloom.operators.clean import dedup
+from pulseloom.operators.clean import dedup, split_hash
 from pulseloom.operators.joins import join_labels
 from pulseloom.plans.base import query
 from pulseloom.plans.vitals import (
@@ -266,12 +266,13 @@ def stream_ocsvm(spark, sf):
 
 @query("stream_vote", _SCORED + "SELECT reading_id, true AS as_in_batch FROM r")
 def stream_vote(spark, sf):
-    """Live soft vote of trees, naive Bayes and nearest neighbours, loaded from a saved ensemble, stored as points."""
+    """Live soft vote of trees, naive Bayes and nearest neighbours, fitted on the whole training part, loaded from a saved
+    ensemble, stored as points. As in the SQL, all readings of the range are scored, not only the test part."""
     from pulseloom.ml import store
 
     v = vitals(spark, sf).withColumn("label", rules.label_threshold("SBP", "DBP", "HR"))
     vote.check_labels(v)
-    train = v.filter("reading_id % 3 = 0")
+    train = split_hash(v).filter("is_train").drop("is_train")
     fitted = vote.Ensemble({"nb": bayes.gaussian_nb(train, MEASURES), "tree": trees.decision_tree(train, MEASURES, maxDepth=5)}, knn.prepare(train))
     saved = shared_dir(spark, "ensemble")
     store.save(spark, fitted, saved)

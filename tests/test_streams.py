@@ -197,3 +197,19 @@ def test_debug_stream(spark, files, tmp_path):
     q = debug_stream(source(spark, files).select("reading_id"), str(tmp_path / "cp"), trigger={"availableNow": True})
     q.awaitTermination()
     assert q.lastProgress["batchId"] >= 4
+
+
+def test_vote_is_fitted_on_the_whole_training_part(spark, sf, monkeypatch):
+    from pulseloom.operators.clean import split_hash
+    from pulseloom.plans import streams
+
+    class Seen(Exception):
+        pass
+
+    def prepare(train):
+        raise Seen(sorted(r.reading_id for r in train.select("reading_id").collect()))
+
+    monkeypatch.setattr(streams.knn, "prepare", prepare)
+    with pytest.raises(Seen) as seen:
+        streams.stream_vote(spark, sf)
+    assert seen.value.args[0] == sorted(r.reading_id for r in split_hash(vitals(spark, sf)).filter("is_train").select("reading_id").collect())
