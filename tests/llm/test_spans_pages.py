@@ -121,6 +121,42 @@ def test_page_text():
     assert html_runs.blocks_of("<p a='x>y'>t") == [(html_runs.OPEN, "t")]
 
 
+def text_of(page):
+    return html_runs.main_text(html_runs.blocks_of(page), [])
+
+
+def test_wrappers_named_like_boilerplate_keep_the_article():
+    story = "<p>A whole story of more than six words.</p>"
+    want = "A whole story of more than six words."
+    for wrapper in ('div class="content has-sidebar"', 'div class="page with-nav"', 'div class="no-sidebar"', 'div class="sidebar"', "form", "fieldset", "header", 'div id="search"', 'div role="dialog"'):
+        tag = wrapper.split()[0]
+        for inner in (f"<article>{story}</article>", f"<main>{story}</main>"):
+            assert text_of(f"<body><{wrapper}>{inner}</{tag}></body>") == want, wrapper
+        if tag == "form" or tag == "fieldset" or "class" in wrapper:
+            assert text_of(f"<body><{wrapper}><h1>Short</h1>{story}</{tag}></body>") == "Short\n" + want, wrapper
+            assert text_of(f"<article><{wrapper}><h1>Short</h1>{story}</{tag}></article>") == "Short\n" + want, wrapper
+    for wrapper in ("nav", "footer", "aside", 'section class="comments"', 'div id="comments"', 'ol class="comment-list"', 'div role="navigation"'):
+        tag = wrapper.split()[0]
+        assert text_of(f"<{wrapper}><article>{story}</article></{tag}><article><p>x</p></article>") == "x", wrapper
+
+
+def test_parts_of_an_article_named_like_boilerplate_stay():
+    assert text_of('<article><h2 id="search">Search</h2><section id="related-work"><p>Others</p></section><div class="hidden-layers">Two</div></article>') == "Search\nOthers\nTwo"
+    assert text_of('<article><section id="comments"><p>Remarks</p></section><pre>f() <span class="comment"># call</span></pre></article>').startswith("Remarks\nf()")
+    assert text_of('<article><p>Text</p><div class="social-share">Share this</div><form><label>Name</label></form></article>') == "Text"
+    long = "this related block has more than six words"
+    assert text_of(f'<article><p>Text</p><div class="related">{long}</div></article>') == f"Text\n{long}"
+
+
+def test_doubtful_blocks_that_repeat_go(spark):
+    prepare(spark)
+    same, own = "get our weekly letter with news and much more", lambda k: " ".join(f"w{k}x{n}" for n in range(9))
+    page = lambda k: f'<div>top</div><article><h1>Head {k}</h1><p>{own(k)}</p><div class="newsletter">{same}</div><div class="notice">{own(k + 50)}</div></article>'
+    rows = [(k, f"http://host.example.com/{k}", page(k), "a", "w") for k in range(8)]
+    for r in html_runs.extract(pages(spark, rows), shard=3).collect():
+        assert r.text == f"Head {r.page_id}\n{own(r.page_id)}\n{own(r.page_id + 50)}"
+
+
 def pages(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string, a string, words string")
 
