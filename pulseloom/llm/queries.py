@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pulseloom.llm import html_runs, pii, prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe
+from pulseloom.llm import (
+    html_runs, pii, prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe, vector_codes,
+)
 from pulseloom.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +72,8 @@ def op9(spark, sf_dir):
 @query("op10_toxicity")
 def op10(spark, sf_dir):
     return toxicity.learned_score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op12_vector_codes", vector_codes.oracle_sql())
+def op12(spark, sf_dir):
+    return vector_codes.compress(read(spark, sf_dir, "embeddings"))
