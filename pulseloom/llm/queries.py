@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from pulseloom.llm import (
-    html_runs, pii, prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe, vector_codes,
+    backoff, divergence, html_runs, pii, prefix_counts, quality_rules, simhash, spaced_seeds, subwords, token_blocks, toxicity, tree_bpe, vector_codes,
 )
 from pulseloom.llm.common import read
 
@@ -74,6 +74,16 @@ def op10(spark, sf_dir):
     return toxicity.learned_score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+@query("op11_backoff", backoff.oracle_sql())
+def op11(spark, sf_dir):
+    return backoff.score(read(spark, sf_dir, "documents"))
+
+
 @query("op12_vector_codes", vector_codes.oracle_sql())
 def op12(spark, sf_dir):
     return vector_codes.compress(read(spark, sf_dir, "embeddings"))
+
+
+@query("op13_divergence", divergence.oracle_sql())
+def op13(spark, sf_dir):
+    return divergence.divergence(read(spark, sf_dir, "documents"))
