@@ -8,8 +8,8 @@ MU / (c(h) + MU): following failure arcs until an arc for the word exists gives
 Nobody holds the whole model. Texts are cut into blocks, written once with their words numbered. A block asks for the training counts
 of its own different n-grams: sorted 64-bit keys, packed per bucket of the key space; the task of a bucket adds up all blocks' counts and
 answers every block in the order of its question, so answers carry no keys. With the answers a block builds the part of the automaton that
-its texts can reach, and one left-to-right walk scores them. Orders are asked one after the other, because a count that lies in one block
-alone needs no question: an n-gram whose first or last n - 1 words occur in training in this block only has all its counts here.
+its texts can reach, and one left-to-right walk scores them. Orders are asked one after the other: an answer also says whether any other
+block asked the same, and an n-gram whose first or last n - 1 words stand in one block alone needs no question.
 
 Single words are keyed by 128 bits, longer n-grams by 64; for one of them, the chance of sharing its key is their number over 2**64.
 """
@@ -60,6 +60,16 @@ def unpack_counts(data: bytes, size: int) -> np.ndarray:
     return n
 
 
+def pack_answer(total: np.ndarray, alone: np.ndarray) -> bytes:
+    """Counts, and whether this block alone has the n-gram."""
+    return np.packbits(alone).tobytes() + pack_counts(total)
+
+
+def unpack_answer(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    bits = -(-size // 8)
+    return unpack_counts(data[bits:], size), np.unpackbits(np.frombuffer(data, np.uint8, bits), count=size).astype(bool)
+
+
 def pack_arrays(**arrays) -> bytes:
     """Arrays by name, compressed."""
     sink = pa.BufferOutputStream()
@@ -243,21 +253,26 @@ class BlockTexts:
         self.train = np.repeat(~self.held, self.lengths)
         self.grams: list[Grams] = []
         self.totals: list[np.ndarray] = []
+        self.alone: list[np.ndarray] = []
         for name in names[1:]:
             self.next_order()
             with open_input(name) as f:
-                self.totals.append(unpack_counts(f.read(), self.grams[-1].size))
+                self.take(*unpack_answer(f.read(), self.grams[-1].size))
+
+    def take(self, total: np.ndarray, alone: np.ndarray) -> None:
+        self.totals.append(total)
+        self.alone.append(alone)
 
     def next_order(self) -> Grams:
         self.grams.append(Grams(len(self.grams) + 1, self.words, self.place, self.train, self.grams[-1] if self.grams else None, self.high))
         return self.grams[-1]
 
     def asked(self) -> tuple[np.ndarray, Grams]:
-        """The n-grams of the last order whose training count other blocks may add to, sorted by key."""
+        """The n-grams of the last order that other blocks may have as well, sorted by key."""
         g = self.grams[-1]
         if len(self.grams) == 1:
             return np.lexsort((self.low, self.high)), g
-        shared = self.totals[-1] > self.grams[-2].own
+        shared = ~self.alone[-1]
         some = np.flatnonzero(shared[g.head] & shared[g.tail])
         return some[np.argsort(g.key[some], kind="stable")], g
 
@@ -328,13 +343,13 @@ def _answer(rows: pa.Table) -> pa.Table:
         new[1:] |= low[order[1:]] != low[order[:-1]]
     run = np.cumsum(new) - 1
     sums = np.add.reduceat(own[order], np.flatnonzero(new)) if len(order) else np.zeros(0, np.int64)
-    total = np.zeros(len(order), np.int64)
-    total[order] = sums[run]
+    total, alone = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
+    total[order], alone[order] = sums[run], np.bincount(run, minlength=1)[run] == 1
     ends = np.cumsum(sizes)
     different = [int((sums > 0).sum())] + [0] * (len(sizes) - 1)
     return pa.table({
         "block": rows.column("block"), "files": rows.column("files"), "bucket": rows.column("bucket"), "size": rows.column("size"),
-        "counts": pa.array([pack_counts(total[z - n : z]) for n, z in zip(sizes, ends.tolist())], pa.binary()), "different": pa.array(different, pa.int64()),
+        "counts": pa.array([pack_answer(total[z - n : z], alone[z - n : z]) for n, z in zip(sizes, ends.tolist())], pa.binary()), "different": pa.array(different, pa.int64()),
     })
 
 
@@ -344,15 +359,16 @@ def _settle(rows: pa.Table, folder: str) -> tuple[BlockTexts, str, str]:
     texts = BlockTexts(files)
     texts.next_order()
     some, g = texts.asked()
-    total = g.own.copy()
+    total, alone = g.own.copy(), np.ones(g.size, bool)
     order = np.argsort(rows.column("bucket").to_numpy())
     sizes, counts = rows.column("size").to_pylist(), rows.column("counts").to_pylist()
     if len(some):
-        total[some] = np.concatenate([unpack_counts(counts[i], sizes[i]) for i in order])
-    texts.totals.append(total)
+        got = [unpack_answer(counts[i], sizes[i]) for i in order]
+        total[some], alone[some] = (np.concatenate(x) for x in zip(*got))
+    texts.take(total, alone)
     name = f"{folder}/{block}-{len(texts.totals)}-{uuid.uuid4().hex}"
     with open_output(name) as f:
-        f.write(pack_counts(total))
+        f.write(pack_answer(total, alone))
     return texts, block, f"{files}\n{name}"
 
 
