@@ -112,10 +112,11 @@ class Writer:
         self.counts: list[int] = []
         self.ids: list[int | None] = []
 
-    def add(self, doc_ids: list, encoded: list[np.ndarray], counts: list[int]) -> None:
+    def add(self, doc_ids: list, ids: np.ndarray, counts: list[int]) -> None:
+        """Documents and the ids of all of them, one document after the other."""
         self.ids += doc_ids
         self.counts += counts
-        joined = np.concatenate([self.rest, *encoded])
+        joined = np.concatenate([self.rest, ids])
         whole = len(joined) // BLOCK * BLOCK
         self._blocks(joined[:whole])
         self.rest = joined[whole:]
@@ -196,15 +197,14 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str = pieces.VOCABULA
     def run(batches):
         part, writer, name = TaskContext.get().partitionId(), None, None
         bpe = pieces.load(path)
-        end = np.array([end_id], np.uint32)
-        for b in batches:
+        for b in pieces.larger(batches):
             if not b.num_rows:
                 continue
             if writer is None:
                 name = f"{folder}/{part:06d}-{uuid.uuid4().hex}.pfor"
                 writer = Writer(name, percentile)
-            encoded = pieces.encode_batch(bpe, b.column(1))
-            writer.add(b.column(0).to_pylist(), [x for e in encoded for x in (e, end)], [len(e) + 1 for e in encoded])
+            ids, edges = pieces.encode_flat(bpe, b.column(1))
+            writer.add(b.column(0).to_pylist(), np.insert(ids, edges[1:], end_id), (np.diff(edges) + 1).tolist())
         if writer is not None:
             n = writer.close()
             yield pa.RecordBatch.from_pydict({"part": [part], "file": [name], "docs": [len(writer.counts)], "tokens": [n]})
