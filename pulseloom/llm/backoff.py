@@ -11,7 +11,7 @@ answers every block in the order of its question, so answers carry no keys. With
 its texts can reach, and one left-to-right walk scores them. Orders are asked one after the other: an answer also says whether any other
 block asked the same, and an n-gram whose first or last n - 1 words stand in one block alone needs no question.
 
-Single words are keyed by 128 bits, longer n-grams by 64; for one of them, the chance of sharing its key is their number over 2**64.
+Single words are keyed by 80 bits, longer n-grams by 64; the chance that one of them shares its key is their number over 2**80 or 2**64.
 """
 
 import math
@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ ORDER = 3
 MU = 4.0
 #: Bytes of text in a block (a longer text is a block of its own), and tokens for which there is one bucket. A larger cluster takes
 #: larger ones, so that a packed row still holds many keys.
-BLOCK, BUCKET = 16 << 20, 4_000_000
+BLOCK, BUCKET = 8 << 20, 4_000_000
 #: Tokens of a text that one lane of the walk reads.
 LANE = 256
 _U64 = np.uint64
@@ -207,7 +208,7 @@ def _blocks(docs: DataFrame, folder: str, size: int) -> DataFrame:
         words[word] = coded.indices.to_numpy() + 1
         mark = xxhash.xxh3_128_intdigest(b"")
         high = np.array([h >> 64 for h in (mark, *hashes)], _U64)
-        low = np.array([h & ((1 << 64) - 1) for h in (mark, *hashes)], _U64)
+        low = np.array([h & 0xFFFF for h in (mark, *hashes)], np.uint16)
         part = TaskContext.get().partitionId()
         name = f"{folder}/{part:06d}-{uuid.uuid4().hex}"
         ids = pa.table({"doc_id": pa.chunked_array([table.column(0).combine_chunks()])})
@@ -245,7 +246,7 @@ class BlockTexts:
     def __init__(self, files: str):
         names = files.split("\n")
         with open_input(names[0]) as f:
-            got = unpack_arrays(f.read(), words=np.uint8, lengths=np.int64, held=np.bool_, high=_U64, low=_U64, ids=np.uint8)
+            got = unpack_arrays(f.read(), words=np.uint8, lengths=np.int64, held=np.bool_, high=_U64, low=np.uint16, ids=np.uint8)
         self.words = np.ascontiguousarray(got["words"].reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
         self.lengths, self.held, self.high, self.low = got["lengths"], got["held"], got["high"], got["low"]
         self.ids = pa.ipc.open_stream(got["ids"].tobytes()).read_all().column(0).combine_chunks()
@@ -257,7 +258,7 @@ class BlockTexts:
         for name in names[1:]:
             self.next_order()
             with open_input(name) as f:
-                self.take(*unpack_answer(f.read(), self.grams[-1].size))
+                self.take(*unpack_answer(zstandard.decompress(f.read()), self.grams[-1].size))
 
     def take(self, total: np.ndarray, alone: np.ndarray) -> None:
         self.totals.append(total)
@@ -289,7 +290,7 @@ def _ask(texts: BlockTexts, block: str, files: str, buckets: int):
     own = g.own[some]
     rows = [(int(b), int(edges[b]), int(edges[b + 1])) for b in np.flatnonzero(np.diff(edges))] or [(hash_bucket(block, buckets), 0, 0)]
     first = len(texts.grams) == 1
-    low = texts.low[some] if first else np.zeros(0, _U64)
+    low = texts.low[some] if first else np.zeros(0, np.uint16)
     for i in range(0, len(rows), 16):
         few = rows[i : i + 16]
         yield pa.RecordBatch.from_pydict({
@@ -333,7 +334,7 @@ def _answer(rows: pa.Table) -> pa.Table:
     """Totals of one bucket, answered in the order of every block's question. `different` is the number of keys with a count, in one row."""
     sizes = rows.column("size").to_pylist()
     keys = np.concatenate([grow(d, n) for d, n in zip(rows.column("keys").to_pylist(), sizes)])
-    low = [np.frombuffer(d, _U64) for d in rows.column("low").to_pylist()]
+    low = [np.frombuffer(d, np.uint16) for d in rows.column("low").to_pylist()]
     low = np.concatenate(low) if sum(map(len, low)) else None
     own = np.concatenate([unpack_counts(d, n) for d, n in zip(rows.column("counts").to_pylist(), sizes)])
     order = np.argsort(keys, kind="stable") if low is None else np.lexsort((low, keys))
@@ -353,8 +354,8 @@ def _answer(rows: pa.Table) -> pa.Table:
     })
 
 
-def _settle(rows: pa.Table, folder: str) -> tuple[BlockTexts, str, str]:
-    """A block with the answers to its last questions taken in and written; its name and its files."""
+def _settle(rows: pa.Table, folder: str | None) -> tuple[BlockTexts, str, str]:
+    """A block with the answers to its last questions taken in and, if there is a folder, written; its name and its files."""
     block, files = rows.column("block")[0].as_py(), rows.column("files")[0].as_py()
     texts = BlockTexts(files)
     texts.next_order()
@@ -366,9 +367,11 @@ def _settle(rows: pa.Table, folder: str) -> tuple[BlockTexts, str, str]:
         got = [unpack_answer(counts[i], sizes[i]) for i in order]
         total[some], alone[some] = (np.concatenate(x) for x in zip(*got))
     texts.take(total, alone)
+    if not folder:
+        return texts, block, files
     name = f"{folder}/{block}-{len(texts.totals)}-{uuid.uuid4().hex}"
     with open_output(name) as f:
-        f.write(pack_answer(total, alone))
+        f.write(zstandard.compress(pack_answer(total, alone), 3))
     return texts, block, f"{files}\n{name}"
 
 
@@ -414,7 +417,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
     schema = T.StructType([id_field, *T.StructType.fromDDL("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")])
 
     def scored(rows: pa.Table) -> pa.Table:
-        texts, _, _ = _settle(rows, folder)
+        texts, _, _ = _settle(rows, None)
         ends = np.cumsum(texts.lengths)
         text = np.repeat(np.arange(len(ends)), texts.lengths)
         c = texts.totals[0]
