@@ -46,6 +46,8 @@ class Counter:
         self.pairs = 0
         self.words: dict[str, bytes | array] = {}
         self.known: dict[str, int] = {}
+        special = sorted(self.bpe.special, key=len, reverse=True)
+        self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     def left_alone(self, known: dict, s: bytes, t: bytes) -> bool:
         """Ask the model whether the encoding of s + t is s, t, and remember it in `known`."""
@@ -99,14 +101,17 @@ class Counter:
         return self.chars(piece) if piece in self.words else self._head(piece)
 
     def _head(self, piece: str) -> list[int]:
-        for s in self.bpe.special:
-            at = piece.find(s)
-            if at >= 0:
-                plain = self._plain(piece[:at] + s[:-1])
-                before = self._plain(piece[:at])[-1] if at else 0
-                rest = piece[at + len(s) :]
-                return plain + [before + 1] + [before + 1 + n for n in (self.head(rest) if rest else [])]
-        return self._plain(piece)
+        out: list[int] = []
+        base, at = 0, 0
+        seen: dict[str, list[int]] = {}  # what stands between special tokens is often the same
+        for m in self.special.finditer(piece) if self.special else ():
+            part = piece[at : m.end()]
+            if part not in seen:
+                before = part[: m.start() - at]
+                seen[part] = self._plain(part[:-1]) + [(self._plain(before)[-1] if before else 0) + 1]
+            out += [base + n for n in seen[part]]
+            base, at = out[-1], m.end()
+        return out + [base + n for n in self._plain(piece[at:])]
 
     def _plain(self, text: str) -> list[int]:
         """Counts of a text without special tokens: unit by unit, a unit being white space and the word after it."""

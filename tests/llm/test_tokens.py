@@ -60,6 +60,28 @@ def test_words_of_more_than_255_tokens(word):
     assert counter.text(some, 1 << 20) == (len(ids(some)), len(some))
 
 
+@pytest.mark.parametrize("unit", ["<|endoftext|>", "a<|endoftext|>", "'s<|endoftext|>  b"])
+def test_very_many_special_tokens(unit):
+    """Counted one after the other, in a text and in the table of its prefixes."""
+    counter = prefix_counts.Counter(PATH)
+    some = unit * 40
+    want = [len(ids(some[:k])) for k in range(1, len(some) + 1)]
+    assert counter.table(some) == want
+    many = unit * 100_000
+    assert counter.text(many, 1024)[0] == len(ids(many))
+    table = counter.table(many)
+    assert len(table) == len(many) and table[: len(want) - 13] == want[:-13] and table[-1] == len(ids(many))
+
+
+def test_forgotten_words_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE", 40)
+    bpe, rng = pieces.Bpe(PATH), random.Random(3)
+    for _ in range(30):
+        some = ["".join(rng.choice("abcé,. ") for _ in range(60)) for _ in range(5)] + ["x\n  y  z", "", " ", "1 <|endoftext|> 2"]
+        assert [e.tolist() for e in pieces.encode_batch(bpe, some)] == [ids(t) for t in some]
+        assert len(bpe.known.names) < 200
+
+
 def test_unsplit_texts_are_joined_exactly():
     bpe, rng = pieces.load(PATH), random.Random(5)
     some = ["a" * 20_000, "".join(rng.choice("abcdet") for _ in range(20_000)), "".join(rng.choice("ab!日é1") for _ in range(9_000)), " " * 9_000 + "x", "ab" * 5_000 + " c" + "!?" * 4_000]
