@@ -83,16 +83,31 @@ class Lexicon:
             elif start not in best or n > best[start][0]:
                 best[start] = n, weight
         out = [(s, s + n, w) for s, (n, w) in sorted(best.items())]
-        return [x for x in out if not any(s <= x[0] and x[1] <= e for s, e in excused)] if excused else out
-
-    def strength(self, text: str) -> float:
+        if not excused:
+            return out
+        excused.sort()
+        kept, k, far = [], 0, 0  # far: where the phrases that start before an entry end at most
+        for s, e, w in out:
+            while k < len(excused) and excused[k][0] <= s:
+                far = max(far, excused[k][1])
+                k += 1
+            if e > far:
+                kept.append((s, e, w))
+        return kept
+
+    def strength(self, text: str, hits: list[tuple[int, int, float]] | None = None) -> float:
         """Weights found, normalised by length: log(1 + 100 * sum / (words + 20))."""
-        hits = self.found(text)
+        hits = self.found(text) if hits is None else hits
         return math.log1p(100 * sum(w for _, _, w in hits) / (len(text.split()) + 20)) if hits else 0.0
 
+    def rated(self, text: str) -> tuple[float, int]:
+        """Score, and number of entries found."""
+        hits = self.found(text)
+        z = self.slope * self.strength(text, hits) + self.shift
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), len(hits)
+
     def score(self, text: str) -> float:
-        z = self.slope * self.strength(text) + self.shift
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+        return self.rated(text)[0]
 
 
 def learn(sample: list[tuple[str, int]], min_contexts: int = 12, min_texts: int = 4, min_ratio: float = 20.0, exceptions=EXCEPTIONS, seeds=SEEDS) -> Lexicon:
@@ -166,8 +181,8 @@ def curve(x: np.ndarray, y: np.ndarray, steps: int = 400) -> tuple[float, float]
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.5, text="text", keep=("doc_id",)) -> DataFrame:
     """Columns `keep`, score, predicted and the number of entries found. Null and empty texts get the score of no entry."""
     def fn(texts):
-        scores = [lexicon.score(t) for t in texts]
-        return {"score": scores, "predicted": [int(s >= threshold) for s in scores], "n_found": [len(lexicon.found(t)) for t in texts]}
+        rated = [lexicon.rated(t) for t in texts]
+        return {"score": [s for s, _ in rated], "predicted": [int(s >= threshold) for s, _ in rated], "n_found": [n for _, n in rated]}
 
     return map_text(docs, fn, "score double, predicted int, n_found int", text, keep)
 

@@ -1,6 +1,8 @@
 """Quality rules, the subword classifier and the toxic lexicon."""
 
+import random
 import re
+import time
 import zlib
 
 from pulseloom.llm import quality_rules as qr
@@ -105,6 +107,21 @@ def test_lexicon_folds_and_excuses():
     assert lexicon.found("a trash can and trash") and lexicon.score("idiot " * 3) > lexicon.score("idiot " + "fine " * 500)
 
 
+def test_exception_phrases_are_walked_once():
+    """As many entries and phrases as one likes; the same entries as by comparing all with all."""
+    lexicon = toxicity.Lexicon({toxicity.folded(w): 2.0 for w in ("idiot", "clown", "trash", "scum", "loser")}, tuple(map(toxicity.folded, toxicity.EXCEPTIONS)), 4.0, -2.0)
+    rng = random.Random(4)
+    for _ in range(50):
+        text = " ".join(rng.choices(["trash", "can", "pond", "scum", "line", "idiot", "bad", "loser", "pays", "clown", "fish"], k=30))
+        t = toxicity.folded(text)
+        phrases = [(m.start(), m.end()) for p in lexicon.exceptions for m in re.finditer(rf"(?=\b({p})\b)", t) for m in [re.compile(p).match(t, m.start())]]
+        words = [(m.start(), m.end()) for w in lexicon.weights for m in re.finditer(rf"\b{w}", t)]
+        assert [x[:2] for x in lexicon.found(text)] == sorted(x for x in words if not any(a <= x[0] and x[1] <= b for a, b in phrases))
+    start = time.perf_counter()
+    assert lexicon.rated("trash can idiot " * 100_000)[1] == 100_000
+    assert time.perf_counter() - start < 20
+
+
 def test_lexicon_ignores_copied_texts():
     rng = [f"{a}{b}{c}" for a in ("mor", "tal", "ven", "sil") for b in ("do", "ra", "ne", "ku") for c in ("st", "nt", "lm", "rk")]
     copied = " ".join(rng[:40]) + " dreck " + rng[41]
