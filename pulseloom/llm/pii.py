@@ -6,14 +6,16 @@ is right, and from that how likely a span with these votes is personal data. A l
 probabilities from features of the span and decides.
 
 The four base kinds (email, ip, card, phone) follow fixed rules and are always kept; the classifier adds spans of
-the other kinds, and of loosely written phones, that overlap no base span. All proposals are voted on and scored; of
-overlapping ones that the classifier takes, the most probable names the stretch.
+the other kinds, and of loosely written phones, that reach beyond a base span. All proposals are voted on and scored; of
+overlapping ones that the classifier takes, the most probable names the stretch. An added span may overlap base spans; a mask
+covers them all.
 """
 
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from dataclasses import dataclass
 from itertools import accumulate
 
@@ -101,7 +103,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def other_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """All proposed spans of the other kinds that overlap no base span; they may overlap each other."""
+    """All proposed spans of the other kinds that do not lie inside a base span; they may overlap each other and base spans."""
     found: list[tuple[int, int, int]] = []
     low = text.lower()
     if any(c in low for c in CUES):
@@ -113,8 +115,8 @@ def other_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     if "at]" in low or "at)" in low:
         found += [(m.start(), 8, m.end()) for m in _OBSCURED.finditer(text)]
     edges, far = [b[0] for b in base], list(accumulate((b[2] for b in base), max))
-    # of the base spans that start before the end of a span, none may end after its start
-    return [(s, k, e) for s, k, e in sorted(set(found)) if not (n := bisect_left(edges, e)) or far[n - 1] <= s]
+    # of the base spans that start no later than a span, none may end with or after it
+    return [(s, k, e) for s, k, e in sorted(set(found)) if not (n := bisect_right(edges, s)) or far[n - 1] < e]
 
 
 def iban_ok(value: str) -> bool:
@@ -124,7 +126,7 @@ def iban_ok(value: str) -> bool:
 
 def entropy(value: str) -> float:
     n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in (value.count(x) for x in set(value)))
+    return -sum(c / n * math.log2(c / n) for c in sorted(Counter(value).values()))
 
 
 def votes_and_features(text: str, span: tuple[int, int, int]) -> tuple[int, int]:
@@ -134,7 +136,7 @@ def votes_and_features(text: str, span: tuple[int, int, int]) -> tuple[int, int]
     d = digits_of(value)
     before, after = text[max(0, s - 40) : s].lower(), text[e : e + 20].lower()
     mixed = bool(d) and any(c.isalpha() for c in value)
-    bits = entropy(value[:256])
+    bits = entropy(value)
     pattern = FOR if k < 4 or k in (5, 6) else FOR if k == 4 and any(value.startswith(p) for p in KEY_PREFIXES) or k == 8 else NO
     checksum = NO
     if kind == "card":

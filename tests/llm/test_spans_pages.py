@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pulseloom.llm import html_runs, pii
-from pulseloom.llm.common import prepare
+from pulseloom.llm.common import map_text, prepare
 from tests.llm import cases
 
 
@@ -77,6 +77,36 @@ def test_no_part_of_a_long_or_ambiguous_span_stays(spark):
     assert {k for _, k, _ in pii.other_spans(rows[43][1], [])} == {pii.KINDS.index("secret"), pii.KINDS.index("iban")}
 
 
+def brute_mask(text, model):
+    """Places of all base spans and of every span the model takes, and the text without them."""
+    base = brute_spans(text)
+    spans = base + [s for s in pii.other_spans(text, base) if model.probability([pii.votes_and_features(text, s)[1]])[0] >= 0.5]
+    covered = {i for s, _, e in spans for i in range(s, e)}
+    return "".join(c for i, c in enumerate(text) if i not in covered)
+
+
+def unmarked(text):
+    return re.sub("|".join(rf"\[{k.upper()}\]" for k in pii.KINDS), "", text)
+
+
+def test_secrets_around_base_spans_go_whole(spark):
+    """A base span inside a secret, at its start or at its end keeps its row, and the mask covers both."""
+    prepare(spark)
+    rng = np.random.default_rng(11)
+    draw = lambda n: "".join(rng.choice(list("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMN23456789"), n))
+    rows = [(i, f"some words password=Zx9{draw(16)}7xQ and token: {draw(24)} but version {i}.2.3 of order {i:012d}x") for i in range(60)]
+    rows += [(100, "see token=sk_live_4111111111111111abcdef end"), (101, "my password: p4ss@word.example!secretTail99 end"), (102, "api_key=10.20.30.40deadbeefcafe0123 end"),
+             (103, "secret=abc4111111111111111 end"), (104, "bank account DE89 4111 1111 1111 1111 00 end"), (105, "mail a@b.example and call +1 (555) 555-1234 end")]
+    docs = cases.docs(spark, rows)
+    text = {r.doc_id: r.text for r in pii.mask(docs).collect()}
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    assert text[100] == "see token=[SECRET] end" and text[102] == "api_key=[IP] end" and unmarked(text[101]) == "my password:  end" and text[103] == "secret=[SECRET] end"
+    assert spans[100] == "secret:10:40,card:18:34" and spans[105] == "email:5:16,phone:26:43" and text[105] == "mail [EMAIL] and call [PHONE] end"
+    assert all(f"{pii.KINDS[k]}:{s}:{e}" in spans[i] for i, t in rows for s, k, e in brute_spans(t))
+    model = pii.fit_on(map_text(docs, pii.propose, pii.FOUND, keep=()))
+    assert {i: unmarked(t) for i, t in text.items()} == {i: brute_mask(t, model) for i, t in rows}
+
+
 def test_overlaps_are_settled_by_probability():
     class Model:
         def probability(self, features):
