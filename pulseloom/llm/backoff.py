@@ -386,8 +386,8 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
     spark = prepare(docs.sparkSession)
     folder = shared_dir(spark, "ngram-blocks")
     blocks = materialize(_blocks(docs, folder, block), "ngram-block-list")
-    sums = blocks.agg(F.sum("tokens"), F.sum("train")).first()
-    n_tokens, n_train = sums[0] or 0, sums[1] or 0
+    sums = blocks.agg(F.sum("tokens"), F.sum("train"), F.count(F.lit(1))).first()
+    n_tokens, n_train, n_blocks = sums[0] or 0, sums[1] or 0, max(1, sums[2])
     buckets = max(1, -(-n_tokens // bucket))
 
     def first(batches):
@@ -398,9 +398,10 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
                 yield from _ask(texts, name, files, buckets)
 
     answers, n_words = None, 0
-    asked = blocks.repartition(F.col("block")).mapInArrow(first, _QUESTION)
+    # a fixed number of partitions: the rows are small, but a block is much work, so tasks must not be put together by size
+    asked = blocks.repartition(n_blocks, "block").mapInArrow(first, _QUESTION)
     for k in range(1, order + 1):
-        answers = asked.groupBy("bucket").applyInArrow(_answer, _ANSWER)
+        answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer, _ANSWER)
         if k == 1:
             answers = materialize(answers, "ngram-words")
             n_words = answers.agg(F.sum("different")).first()[0] or 0
@@ -411,7 +412,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
                 texts.next_order()
                 return pa.Table.from_batches(list(_ask(texts, name, files, buckets))).select(_QUESTION_NAMES).cast(_QUESTION_ARROW)
 
-            asked = answers.groupBy("block").applyInArrow(more, _QUESTION)
+            asked = answers.repartition(n_blocks, "block").groupBy("block").applyInArrow(more, _QUESTION)
 
     id_field = T.StructField("doc_id", docs.schema["doc_id"].dataType)
     schema = T.StructType([id_field, *T.StructType.fromDDL("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")])
@@ -429,7 +430,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
             "base_score": np.round([math.fsum(base[z - n : z].tolist()) for n, z in zip(texts.lengths.tolist(), ends.tolist())], 6), "score": np.round(walk, 6),
         })
 
-    return answers.groupBy("block").applyInArrow(scored, schema)
+    return answers.repartition(n_blocks, "block").groupBy("block").applyInArrow(scored, schema)
 
 
 _QUESTION_ARROW = pa.schema([("block", pa.string()), ("files", pa.string()), ("bucket", pa.int32()), ("size", pa.int32()), ("keys", pa.binary()),

@@ -233,7 +233,7 @@ def gathered(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarra
     return flat[np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
-def larger(batches, size: int = 8 << 20):
+def larger(batches, size: int = 4 << 20):
     """Arrow batches put together to about `size` bytes, so that more pieces of a batch are repeated ones."""
     have, used = [], 0
     for b in batches:
