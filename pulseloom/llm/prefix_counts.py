@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pulseloom.llm import pieces
 from pulseloom.llm.common import map_text
 
-#: Words whose counts a worker remembers; four times as many pairs of tokens.
-CACHE = 400_000
+#: Words whose counts a worker remembers, twice; eight times as many pairs of tokens.
+CACHE = 200_000
 WHITE = regex.compile(r"\s*")
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 _LOADED: dict[str, "Counter"] = {}
@@ -45,6 +45,7 @@ class Counter:
         self.after: dict[bytes, dict[bytes, bool]] = {}
         self.pairs = 0
         self.words: dict[str, bytes | array] = {}
+        self.old: dict[str, bytes | array] = {}
         self.known: dict[str, int] = {}
         special = sorted(self.bpe.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
@@ -58,11 +59,14 @@ class Counter:
 
     def learn(self, words) -> None:
         """Counts of words of the pattern. In sorted order, a word goes on from the prefix it shares with the last one."""
-        missing = [w for w in words if w not in self.words]
-        if len(self.words) + len(missing) > CACHE:
-            self.words.clear()
-            missing = list(words)
-        if self.pairs > 4 * CACHE:
+        unseen = [w for w in words if w not in self.words]
+        if len(self.words) + len(unseen) > CACHE:  # what was in use stays for one more filling
+            self.old, self.words = self.words, {}
+            unseen = list(words)
+        known = {w: self.old[w] for w in unseen if w in self.old}
+        self.words |= known
+        missing = [w for w in unseen if w not in known]
+        if self.pairs > 8 * CACHE:
             self.start, self.after, self.pairs = {}, {}, 0
         ids, after, longest = self.ids, self.after, self.longest
         count, last, tokens, before = [0], [self.start], [b""], b""
