@@ -1,9 +1,10 @@
 """Exact k-nearest-neighbour classification without forming all pairs.
 
-Reference rows are merged into weighted locations and counted in a pyramid of square cells.
-Every query location walks down the pyramid and keeps only the cells that can hold one of
-its k nearest neighbours: cells farther away than a distance within which k rows are already
-known to lie are dropped. Dense areas are refined further, so a crowded cell is never
+Reference rows are merged into weighted locations in square cells of a few locations each. A query location opens its own cell
+and the ring of eight around it. If its k-th nearest row there is no farther than the opened square's edge, that is the answer;
+otherwise it opens just the cells that reach within that distance. Locations with fewer than k rows around them, at gaps and far
+outside, walk down a pyramid of cell counts instead and keep only the cells that can hold one of their k nearest: cells farther away than a
+distance within which k rows are already known to lie are dropped. Dense areas are refined further, so a crowded cell is never
 compared row by row.
 """
 
@@ -20,6 +21,8 @@ CELL_ROWS = 64  # locations a finest cell may hold
 MAX_LEVEL = 24
 BROADCAST_LEVEL = 8  # at most 4**8 cells are broadcast
 START_LEVEL = 3  # at most 64 cells
+STEP = 2  # levels of the pyramid are so far apart
+FEW = 6  # locations that a cell holds on average, where it holds any: the ring is then rarely too small
 
 
 def _norm(dx, dy, metric):
@@ -32,13 +35,17 @@ def _norm(dx, dy, metric):
 
 @dataclass
 class Reference:
-    """Reference rows made ready: merged locations with the indices of their finest cell, its level, and the cells' geometry."""
+    """Reference rows made ready: merged locations with the indices of their finest cell, its level, the cells' geometry, and the
+    counts of the cells of some levels, of which the coarsest has at most 64."""
 
     locations: DataFrame
     level: int
     geometry: tuple
     cols: tuple
     label: str
+    pyramid: DataFrame
+    levels: list
+    start: list
 
 
 def prepare(reference: DataFrame, cols=("SBP", "DBP"), label="label") -> Reference:
@@ -51,18 +58,28 @@ def prepare(reference: DataFrame, cols=("SBP", "DBP"), label="label") -> Referen
         raise ValueError("no reference rows")
     x0, y0, size = row[0], row[2], max(row[1] - row[0], row[3] - row[2]) or 1.0
 
+    def placed_at(c, lo, level):
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(size / (1 << level))), F.lit((1 << level) - 1))
+
     def placed(level):
-        last = (1 << level) - 1
-        at = lambda c, lo: F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(size / (1 << level))), F.lit(last))
-        return locs.withColumn("cx", at("x", x0)).withColumn("cy", at("y", y0))
+        return locs.withColumn("cx", placed_at("x", x0, level)).withColumn("cy", placed_at("y", y0, level))
 
-    level = max(START_LEVEL, math.ceil(math.log(max(row[4], 1) / 8, 4)) if row[4] > 8 else START_LEVEL)
+    # the coarsest level at which cells in use hold a few locations on average, judged for several levels in one pass
+    tried = [max(START_LEVEL, math.ceil(math.log(max(row[4], 1) / FEW, 4))) + i for i in range(4)]
+    held = locs.agg(*[F.approx_count_distinct(F.struct(*[placed_at(c, lo, at) for c, lo in (("x", x0), ("y", y0))])) for at in tried]).first()
+    level = next((at for at, cells in zip(tried, held) if row[4] <= FEW * cells), tried[-1])
     while level < MAX_LEVEL:
         spots = placed(level).select("x", "y", "cx", "cy").distinct()
         if spots.groupBy("cx", "cy").count().agg(F.max("count")).first()[0] <= CELL_ROWS:
             break
         level += 2
-    return Reference(materialize(placed(level), "knn-cells"), level, (x0, y0, size), tuple(cols), label)
+    locations = materialize(placed(level), "knn-cells")
+    levels = [*range(START_LEVEL, level, STEP), level]
+    up = [F.struct(F.lit(at).alias("level"), *[F.shiftright(c, level - at).alias(c) for c in ("cx", "cy")]) for at in levels]
+    counts = locations.select("n", F.inline(F.array(*up))).groupBy("level", "cx", "cy").agg(F.sum("n").alias("n"))
+    pyramid = materialize(counts, "knn-pyramid")
+    start = [tuple(r) for r in pyramid.filter(F.col("level") == START_LEVEL).select("cx", "cy", "n").collect()]
+    return Reference(locations, level, (x0, y0, size), tuple(cols), label, pyramid, levels, start)
 
 
 def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean") -> DataFrame:
@@ -72,13 +89,85 @@ def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k
     smaller label comes first.
     """
     ready = reference if isinstance(reference, Reference) else prepare(reference, cols, label)
-    locs, level, (x0, y0, size) = ready.locations, ready.level, ready.geometry
+    asked = queries.select(F.col(cols[0]).alias("qx"), F.col(cols[1]).alias("qy")).dropna().distinct()
+    first = materialize(own_ring(asked, ready, k, metric), "knn-ring")
+    w = ready.geometry[2] / (1 << ready.level)
+    far = 16 * w * w if metric == "euclidean" else 4 * w  # farther away only for queries outside the table's square
+    state = first.groupBy("qx", "qy", "cx", "cy").agg(F.max("d").alias("kth"), F.sum("n").alias("have"))
+    enough = (F.col("have") >= k) & (F.col("kth") <= far * (1 + 1e-9))
+    step = F.when(~F.coalesce(enough, F.lit(False)), F.lit("down")).when(F.col("kth") > edge(ready, metric), F.lit("wide")).otherwise(F.lit("done"))
+    state = materialize(asked.join(state, ["qx", "qy"], "left").select("qx", "qy", "kth", step.alias("step")), "knn-state")
+    steps = {r.step for r in state.select("step").distinct().collect()}
+    near = first.join(state.filter("step = 'done'").select("qx", "qy"), ["qx", "qy"], "left_semi").select(*_FOUND) if steps != {"done"} else first.select(*_FOUND)
+    if "wide" in steps:
+        near = near.unionByName(wider(state.filter("step = 'wide'"), ready, k, metric))
+    if "down" in steps:
+        near = near.unionByName(descend(state.filter("step = 'down'").select("qx", "qy"), ready, k, metric))
+    return near.withColumn("d", F.sqrt("d") if metric == "euclidean" else F.col("d"))
+
+
+_FOUND = ("qx", "qy", "d", "label", "n")
+
+
+def _taken(found: DataFrame, k: int, also=()) -> DataFrame:
+    """The k nearest rows of every query among `found`; a location counts with as many rows as are still wanted."""
+    here = Window.partitionBy("qx", "qy").orderBy("d", "label")
+    before = F.coalesce(F.sum("n").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.withColumn("take", F.least(F.col("n"), k - before)).filter("take > 0").select("qx", "qy", *also, "d", "label", F.col("take").alias("n"))
+
+
+def _distance(metric):
+    return _norm(F.abs(F.col("qx") - F.col("x")), F.abs(F.col("qy") - F.col("y")), metric)
+
+
+def own_ring(asked: DataFrame, ready: Reference, k: int, metric: str) -> DataFrame:
+    """The k nearest rows of every query location among its own cell and the eight around it, with the cell."""
+    x0, y0, size = ready.geometry
+    last, w = (1 << ready.level) - 1, size / (1 << ready.level)
 
-    def cells(at):
-        shift = level - at
-        up = lambda c: F.shiftright(c, shift).alias(c)
-        return locs.groupBy(up("cx"), up("cy")).agg(F.sum("n").alias("n"))
+    def at(c, lo):
+        return F.greatest(F.lit(0), F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(w)), F.lit(last)))
 
+    placed = asked.withColumn("hx", at("qx", x0)).withColumn("hy", at("qy", y0))
+    steps = F.array(*[F.struct((F.col("hx") + i).alias("cx"), (F.col("hy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    found = placed.select("qx", "qy", "hx", "hy", F.inline(steps)).join(ready.locations, ["cx", "cy"]).withColumn("d", _distance(metric))
+    return _taken(found, k, ("hx", "hy")).withColumnsRenamed({"hx": "cx", "hy": "cy"})
+
+
+def edge(ready: Reference, metric: str):
+    """Within which distance (squared if Euclidean) of a query nothing lies outside its ring; the table's border is no edge."""
+    x0, y0, size = ready.geometry
+    last, w = (1 << ready.level) - 1, size / (1 << ready.level)
+    sides = []
+    for q, c, lo in (("qx", "cx", x0), ("qy", "cy", y0)):
+        sides.append(F.when(F.col(c) > 1, F.col(q) - (F.lit(lo) + (F.col(c) - 1) * w)))
+        sides.append(F.when(F.col(c) < last - 1, F.lit(lo) + (F.col(c) + 2) * w - F.col(q)))
+    near = F.greatest(F.coalesce(F.least(*sides), F.lit(math.inf)), F.lit(0.0)) * (1 - 1e-9)
+    return near * near if metric == "euclidean" else near
+
+
+def wider(state: DataFrame, ready: Reference, k: int, metric: str) -> DataFrame:
+    """The k nearest rows where the ring did not reach: all cells within the distance found there, at most ten by ten."""
+    x0, y0, size = ready.geometry
+    last, w = (1 << ready.level) - 1, size / (1 << ready.level)
+    reach = (F.sqrt("kth") if metric == "euclidean" else F.col("kth")) * (1 + 1e-9) + 1e-9
+
+    def cells(q, lo):
+        ends = [F.floor((F.col(q) + s * reach - F.lit(lo)) / F.lit(w)) for s in (-1, 1)]
+        return F.explode(F.sequence(*[F.greatest(F.lit(0), F.least(e, F.lit(last))) for e in ends]))
+
+    def apart(q, c, lo):
+        return F.greatest(F.lit(lo) + F.col(c) * w - F.col(q), F.col(q) - F.lit(lo) - (F.col(c) + 1) * w, F.lit(0.0))
+
+    opened = state.select("qx", "qy", "kth", cells("qx", x0).alias("cx")).select("*", cells("qy", y0).alias("cy"))
+    opened = opened.filter(_norm(apart("qx", "cx", x0), apart("qy", "cy", y0), metric) <= F.col("kth") * (1 + 1e-9) + 1e-9)
+    found = opened.select("qx", "qy", "cx", "cy").join(ready.locations, ["cx", "cy"]).withColumn("d", _distance(metric))
+    return _taken(found, k)
+
+
+def descend(asked: DataFrame, ready: Reference, k: int, metric: str) -> DataFrame:
+    """The k nearest rows of query locations anywhere, by walking down the pyramid of cell counts."""
+    x0, y0, size = ready.geometry
     qx, qy = F.col("qx"), F.col("qy")
     here = Window.partitionBy("qx", "qy")
 
@@ -98,22 +187,18 @@ def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k
         kept = sized.withColumn("cover", cover).filter(F.col("cover").isNull() | (F.col("near") <= F.col("cover") * (1 + 1e-9) + 1e-9))
         return kept.select("qx", "qy", "cx", "cy")
 
-    start = [F.struct(F.lit(r["cx"]).alias("cx"), F.lit(r["cy"]).alias("cy"), F.lit(r["n"]).alias("n")) for r in cells(START_LEVEL).collect()]
-    asked = queries.select(F.col(cols[0]).alias("qx"), F.col(cols[1]).alias("qy")).dropna().distinct()
+    start = [F.struct(F.lit(cx).alias("cx"), F.lit(cy).alias("cy"), F.lit(n).alias("n")) for cx, cy, n in ready.start]
     frontier = prune(asked.select("qx", "qy", F.inline(F.array(*start))), START_LEVEL)
-    for at in range(START_LEVEL + 1, level + 1):
-        children = cells(at).withColumn("px", F.shiftright("cx", 1)).withColumn("py", F.shiftright("cy", 1))
+    for above, at in zip(ready.levels, ready.levels[1:]):
+        up = [F.shiftright(c, at - above).alias(p) for c, p in (("cx", "px"), ("cy", "py"))]
+        children = ready.pyramid.filter(F.col("level") == at).select("cx", "cy", "n", *up)
         if at <= BROADCAST_LEVEL:
             children = F.broadcast(children)
         parents = frontier.withColumnsRenamed({"cx": "px", "cy": "py"})
         frontier = prune(parents.join(children, ["px", "py"]), at)
 
-    dx, dy = F.abs(qx - F.col("x")), F.abs(qy - F.col("y"))
-    found = frontier.join(locs, ["cx", "cy"]).withColumn("d", _norm(dx, dy, metric))
-    before = F.coalesce(F.sum("n").over(here.orderBy("d", "label").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    taken = found.withColumn("take", F.least(F.col("n"), k - before)).filter("take > 0")
-    out = F.sqrt("d") if metric == "euclidean" else F.col("d")
-    return taken.select("qx", "qy", out.alias("d"), "label", F.col("take").alias("n"))
+    found = frontier.join(ready.locations, ["cx", "cy"]).withColumn("d", _distance(metric))
+    return _taken(found, k)
 
 
 def knn_classify(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean",

@@ -2,7 +2,8 @@
 
 The kernel is approximated by cosines (Rahimi, Recht 2007); the primal objective of
 Schoelkopf et al. (2001), |w|^2/2 - rho + mean(max(0, rho - w.z))/nu, is minimised in its dual form,
-each step one distributed aggregate over the distinct feature values.
+each step one distributed aggregate over the distinct feature values. The vectors that the steps have found stay on the driver,
+and after each step the shortest mix of all of them is taken, so few steps are needed.
 """
 
 from __future__ import annotations
@@ -56,17 +57,48 @@ def one_class_svm(df: DataFrame, cols=("SBP", "DBP"), nu=0.1, **params) -> OneCl
     return one_class_svms(df, [nu], cols, **params)[0]
 
 
-BINS = 256
+BINS, FINE_BINS = 256, 65_536
 
 
-def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=256, steps=25, tolerance=5e-3, seed=42) -> list:
+def shortest_mix(vectors: np.ndarray) -> np.ndarray:
+    """Weights, none negative and together one, of the shortest vector in the hull of some rows (Wolfe 1976).
+
+    The set in use grows by the row that would shorten the vector most; rows whose weight falls to zero leave it.
+    """
+    gram = vectors @ vectors.T
+    weights, used = np.zeros(len(gram)), [int(np.argmin(np.diag(gram)))]
+    weights[used] = 1.0
+    for _ in range(20 * len(gram)):
+        slope = gram @ weights
+        now, best = float(weights @ slope), int(np.argmin(slope))
+        if slope[best] >= now * (1 - 1e-9) or best in used:
+            break
+        used.append(best)
+        while True:
+            inner = gram[np.ix_(used, used)]
+            x = np.linalg.solve(inner + 1e-12 * np.trace(inner) * np.eye(len(used)), np.ones(len(used)))
+            x /= x.sum()
+            before = weights[used]
+            if (x > 0).all():
+                weights[used] = x
+                break
+            falls = x <= 0
+            step = float(np.min(before[falls] / (before[falls] - x[falls])))
+            after = np.where(falls & (before + step * (x - before) <= 1e-12), 0.0, before + step * (x - before))
+            weights[used] = after
+            used = [u for u, v in zip(used, after) if v > 0]
+    return weights / weights.sum()
+
+
+def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=256, steps=8, tolerance=5e-3, seed=42) -> list:
     """Fit a model for each nu, all in the same passes. `gamma` defaults to 1 / number of columns.
 
     Equal feature values are merged into weighted rows. w is a mean of features in which no row has more than
-    1 / (nu * rows); the step goes towards the mean g of the nu part of the rows with the lowest margins, as far as w gets shorter
-    (Frank, Wolfe 1956). w.w - w.g bounds how far w is from the optimum; when it is below `tolerance` of w.w for all models
-    the fit ends. In a pass every task adds up the features of its rows in BINS bins of the margin, one job per step. rho,
-    the nu-quantile of the margins, is found at the end by zooming into the bin that holds it.
+    1 / (nu * rows); a step finds the mean g of the nu part of the rows with the lowest margins (Frank, Wolfe 1956), and w becomes
+    the shortest mix of all means found so far, at most `steps` + 1 vectors of `width` numbers for each model on the driver. w.w - w.g bounds how
+    far w is from the optimum; when it is below `tolerance` of w.w for all models the fit ends. In a pass every task adds up the
+    features of its rows in BINS bins of the margin, one job per step. rho, the nu-quantile of the margins, is found at the end in
+    two passes that zoom into the bin that holds it.
     """
     cols, nus = list(cols), np.array(nus, dtype=float)
     gamma = gamma or 1 / len(cols)
@@ -80,10 +112,10 @@ def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=25
 
         def one_pass(w, low, high, sums=True):
             """Per model and bin of [low, high): weight, and the feature sums; the ends take what lies outside. Also the margins' range."""
-            size = 1 + (width if sums else 0)
+            size, bins = (1 + width, BINS) if sums else (1, FINE_BINS)
 
             def local(batches):
-                total = np.zeros((models, BINS, size))
+                total = np.zeros((models, bins, size))
                 ends = np.stack([np.full(models, math.inf), np.full(models, -math.inf)])
                 for pdf in batches:
                     if not len(pdf):
@@ -92,14 +124,14 @@ def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=25
                     n, margin = pdf["n"].to_numpy(), z @ w.T
                     ends = np.stack([np.minimum(ends[0], margin.min(axis=0)), np.maximum(ends[1], margin.max(axis=0))])
                     rows = np.column_stack([n, z * n[:, None]]) if sums else n[:, None]
-                    at = np.clip(np.floor((margin - low) / (high - low) * BINS), 0, BINS - 1).astype(int)
+                    at = np.clip(np.floor((margin - low) / (high - low) * bins), 0, bins - 1).astype(int)
                     for i in range(models):
                         order = np.argsort(at[:, i], kind="stable")
                         first = np.flatnonzero(np.diff(at[order, i], prepend=-1))
                         total[i, at[order[first], i]] += np.add.reduceat(rows[order], first, axis=0)
                 yield pd.DataFrame({"total": [total.tobytes()], "ends": [ends.tobytes()]})
 
-            total, ends = np.zeros((models, BINS, size)), []
+            total, ends = np.zeros((models, bins, size)), []
             for row in data.mapInPandas(local, "total binary, ends binary").collect():  # at most 64 rows of fixed size
                 total += np.frombuffer(row.total).reshape(total.shape)
                 ends.append(np.frombuffer(row.ends).reshape(2, models))
@@ -114,7 +146,9 @@ def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=25
         if not rows:
             raise ValueError("no rows to learn from")
         w = start[:, :, 1:].sum(axis=1) / rows  # the mean, which is the answer for nu = 1
-        _, low, high = one_pass(w, np.zeros(models), np.ones(models), sums=False)
+        found = [[v] for v in w]
+        high = np.minimum(np.sqrt(2 * (w * w).sum(axis=1)), 2)  # no feature vector is longer than the root of two
+        low = -high
         for _ in range(steps):
             total, low, high = one_pass(w, *wider(low, high))
             weight = total[:, :, 0]
@@ -124,13 +158,14 @@ def one_class_svms(df: DataFrame, nus, cols=("SBP", "DBP"), gamma=None, width=25
             gap = (w * (w - g)).sum(axis=1)
             if (gap <= tolerance * (w * w).sum(axis=1)).all():
                 break
-            rate = np.clip(gap / np.maximum(((w - g) ** 2).sum(axis=1), 1e-300), 0, 1)
-            w = w + rate[:, None] * (g - w)
-        _, low, high = one_pass(w, np.zeros(models), np.ones(models), sums=False)
-        bottom, top = wider(low, high)
-        for _ in range(4):
+            for vectors, new in zip(found, g):
+                vectors.append(new)
+            w = np.stack([shortest_mix(np.array(v)) @ np.array(v) for v in found])
+        top = np.sqrt(2 * (w * w).sum(axis=1))
+        bottom, top = wider(-top, top)
+        for _ in range(2):
             weight = one_pass(w, bottom, top, sums=False)[0][:, :, 0]
-            k = (np.cumsum(weight, axis=1) <= nus[:, None] * rows).sum(axis=1).clip(max=BINS - 1)
-            step = (top - bottom) / BINS
+            k = (np.cumsum(weight, axis=1) <= nus[:, None] * rows).sum(axis=1).clip(max=FINE_BINS - 1)
+            step = (top - bottom) / FINE_BINS
             bottom, top = bottom + k * step, bottom + (k + 1) * step
     return [OneClassModel(tuple(cols), directions.tolist(), phases.tolist(), a.tolist(), float(r)) for a, r in zip(w, bottom)]

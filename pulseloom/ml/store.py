@@ -38,8 +38,10 @@ def save(spark, model, path: str) -> None:
             save(spark, model.reference, f"{path}/reference")
         _write(spark, kind, {"models": list(model.models), "reference": model.reference is not None, "neighbours": model.neighbours}, f"{path}/about")
     elif isinstance(model, Reference):
-        model.locations.write.mode("overwrite").parquet(f"{path}/locations")
-        _write(spark, kind, {f.name: getattr(model, f.name) for f in dataclasses.fields(model) if f.name != "locations"}, f"{path}/about")
+        fields = {f.name: getattr(model, f.name) for f in dataclasses.fields(model)}
+        for name in ("locations", "pyramid"):
+            fields.pop(name).write.mode("overwrite").parquet(f"{path}/{name}")
+        _write(spark, kind, fields, f"{path}/about")
     else:
         fields = {f.name: getattr(model, f.name) for f in dataclasses.fields(model)}
         for name, v in fields.items():
@@ -56,7 +58,7 @@ def load(spark, path: str):
         members = {n: load(spark, f"{path}/member_{n}") for n in body["models"]}
         return Ensemble(members, load(spark, f"{path}/reference") if body["reference"] else None, body["neighbours"])
     if kind == "Reference":
-        body |= {"locations": spark.read.parquet(f"{path}/locations"), "geometry": tuple(body["geometry"])}
+        body |= {name: spark.read.parquet(f"{path}/{name}") for name in ("locations", "pyramid")} | {"geometry": tuple(body["geometry"])}
     for name, v in body.items():
         if isinstance(v, dict) and set(v) == {"fitted"}:
             body[name] = _fitted(v["fitted"], f"{path}/{name}")

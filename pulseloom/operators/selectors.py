@@ -102,8 +102,11 @@ def percent_share(df: DataFrame, name: str, value: str) -> DataFrame:
     return sums.withColumn("share", F.try_divide(F.col(value), F.lit(total)))
 
 
-def last_share(df: DataFrame, by=("field",), value="value", time="time") -> DataFrame:
-    """Last value of each series and its share of the sum of the last values."""
-    last = df.filter(F.col(value).isNotNull()).groupBy(*by).agg(F.max_by(value, order_key(df, time)).alias(value))
-    total = last.agg(F.sum(value)).first()[0]
-    return last.withColumn("share", F.try_divide(F.col(value), F.lit(total)))
+def last_share(df: DataFrame, by=("field",), value="value", time="time", within=()) -> DataFrame:
+    """Last value of each series and its share of the sum of the last values: of all, or of those that are equal in `within`.
+
+    A null in `within` is a value like any other. The series of one value of `within` meet in one row on the way.
+    """
+    last = df.filter(F.col(value).isNotNull()).groupBy(*within, *by).agg(F.max_by(value, order_key(df, time)).alias(value))
+    total = last.groupBy(*within).agg(F.sum(value).alias("_total"), F.collect_list(F.struct(*by, value)).alias("_s"))
+    return total.select(*within, "_total", F.inline("_s")).withColumn("share", F.try_divide(F.col(value), F.col("_total"))).drop("_total")

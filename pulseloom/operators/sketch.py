@@ -1,4 +1,10 @@
-"""Count sketch (Charikar, Chen, Farach-Colton 2002): signed counters, estimate = median over rows."""
+"""Count sketch (Charikar, Chen, Farach-Colton 2002): signed counters, estimate = median over rows.
+
+A row adds its sign to one cell of each sketch row; every task adds up its own depth x width cells before anything is shuffled. Cells
+of several sketches add up to the sketch of all their rows, and the cells of a stream are its state.
+"""
+
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,13 +41,18 @@ def _cells(df: DataFrame, item: str, depth: int, width: int) -> DataFrame:
 
 
 def count_sketch(df: DataFrame, item: str, depth: int = 5, width: int = 64) -> DataFrame:
-    """The sketch as a table (row, bucket, total), at most depth x width rows.
+    """The sketch as a table (row, bucket, total), at most depth x width rows; of a table or of a stream.
 
-    Equal items are counted before they are spread over the rows.
+    At most depth x width rows of a task are shuffled, however many items there are. A null item is none.
     """
-    counts = df.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-    cells = _cells(counts, item, depth, width)
-    return cells.groupBy("row", "bucket").agg(F.sum(F.col("sign") * F.col("_n")).alias("total"))
+    cells = _cells(df.select(item).filter(F.col(item).isNotNull()), item, depth, width)
+    return cells.groupBy("row", "bucket").agg(F.sum("sign").alias("total"))
+
+
+def add(*sketches: DataFrame) -> DataFrame:
+    """The sketch of all rows of several sketches of the same depth and width, such as those of days."""
+    cells = reduce(lambda a, b: a.unionByName(b), [s.select("row", "bucket", "total") for s in sketches])
+    return cells.groupBy("row", "bucket").agg(F.sum("total").alias("total"))
 
 
 def estimate(sketch: DataFrame, items: DataFrame, item: str, depth: int = 5, width: int = 64) -> DataFrame:

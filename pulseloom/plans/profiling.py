@@ -206,6 +206,22 @@ def percent_share_last(spark, sf):
     return selectors.last_share(p).select("field", "value", r6("share", "share"))
 
 
+_LAST_ALL = cte(
+    JUDGED,
+    "c AS (SELECT patient_id, DateTime, reading_id, sum(CASE WHEN pred=1 AND label=1 THEN 1 ELSE 0 END) OVER w AS TP, sum(CASE WHEN pred=0 AND label=0 THEN 1 ELSE 0 END) OVER w AS TN "
+    "FROM judged WINDOW w AS (PARTITION BY patient_id ORDER BY DateTime, reading_id ROWS UNBOUNDED PRECEDING))",
+    "e AS (SELECT patient_id, arg_max(TP, (DateTime, reading_id)) AS TP, arg_max(TN, (DateTime, reading_id)) AS TN FROM c GROUP BY 1)")
+
+
+@query("percent_share_patients", _LAST_ALL + " UNION ALL ".join(
+    f"SELECT patient_id, '{c}' AS field, CAST({c} AS DOUBLE) AS value, CASE WHEN TP+TN=0 THEN NULL ELSE round({c}/CAST(TP+TN AS DOUBLE),6) END AS share FROM e" for c in ("TP", "TN")))
+def percent_share_patients(spark, sf):
+    """Shares of the last true positive and true negative counts of every monitor."""
+    p = to_points(running_confusion(judged(spark, sf), "label", "pred"), "detector", ("patient_id",), ("TP", "TN"), extra=("reading_id",))
+    out = selectors.last_share(p.withColumn("patient_id", F.col("tags")["patient_id"].cast("long")), within=("patient_id",))
+    return out.select("patient_id", "field", "value", r6("share", "share"))
+
+
 _NAMES = {"TN": "No Anomalies Detected", "TP": "Anomalies Detected"}
 
 

@@ -1,5 +1,7 @@
 """Queries that run as streams over the event files until all input is read."""
 
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -7,8 +9,10 @@ from pulseloom.functions import rules
 from pulseloom.ml import bayes, cluster, iforest, knn, ocsvm, trees, vote
 from pulseloom.ml.forecast import DirectModel
 from pulseloom.operators.clean import dedup, split_hash
+from pulseloom.operators import sketch
 from pulseloom.operators.joins import join_labels
 from pulseloom.plans.base import query
+from pulseloom.plans.profiling import _sketch_sql as sketch_sql
 from pulseloom.plans.vitals import (
     BAD_SBP, DECODED, JUDGED, class_sql, cte, level_sql, messages, points_cte, predicted, r6, ts_us, vitals,
 )
@@ -25,26 +29,48 @@ DELAY = "2 hours"
 PARTS = 5
 
 
-def stream(spark, sf, copies=False, late=False):
+def stream(spark, sf, copies=False, late=False, closing=False):
     """Readings as a stream of PARTS micro-batches in time order.
 
-    The readings are first written to the shared folder, part after part. With `copies` every part repeats some readings of the
-    part before; with `late` some readings of a part's last hour come with the next part.
+    The readings are first written to the shared folder, in one pass. With `copies` every part repeats some readings of the
+    part before; with `late` some readings of a part's last hour come with the next part; with `closing` a row without values from two
+    months after the last reading comes at the end, which moves the watermark past all others.
     """
-    v = vitals(spark, sf).withColumn("_us", ts_us())
+    v = vitals(spark, sf)
+    fields = v.columns
+    v = v.withColumn("_us", ts_us())
     cuts = v.agg(F.percentile_approx("_us", [i / PARTS for i in range(1, PARTS)], 1000)).first()[0] or [0] * (PARTS - 1)
     part = sum([(F.col("_us") > c).cast("int") for c in cuts], F.lit(0))
-    v = v.withColumn("_part", part)
     if late:
-        end = F.array(*[F.lit(c) for c in cuts], F.lit(1 << 62))[F.col("_part")]
-        v = v.withColumn("_part", F.when((F.col("reading_id") % 11 == 0) & (end - F.col("_us") < 3_600_000_000), F.col("_part") + 1).otherwise(F.col("_part")))
+        end = F.array(*[F.lit(c) for c in cuts], F.lit(1 << 62))
+        part = F.when((F.col("reading_id") % 11 == 0) & (end[part] - F.col("_us") < 3_600_000_000), part + 1).otherwise(part)
+    v = v.withColumn("_part", part)
+    if copies:
+        own, again = F.col("_part"), F.when((F.col("reading_id") % 7 == 0) & (F.col("_part") < PARTS - 1), F.col("_part") + 1)
+        v = v.withColumn("_part", F.explode(F.array_compact(F.array(own, again))))
+    if closing:
+        last = F.max("DateTime") + F.expr("interval 60 days")
+        blank = [F.lit(None).cast(v.schema[c].dataType).alias(c) for c in fields if c != "DateTime"]
+        v = v.drop("_us").unionByName(v.agg(last.alias("DateTime")).select("DateTime", *blank, F.lit(PARTS).alias("_part")))
+    return feed(spark, v.select(*fields, "_part"), "_part", PARTS + closing)
+
+
+def feed(spark, rows, part, parts):
+    """`rows` as a stream that reads one part after the other, each in a micro-batch of its own. Files are read in the order of their times."""
     root, files = shared_dir(spark, "feed"), max(1, spark.sparkContext.defaultParallelism // PARTS)
-    for p in range(PARTS):
-        mine = F.col("_part") == p
-        if copies and p:
-            mine = mine | ((F.col("_part") == p - 1) & (F.col("reading_id") % 7 == 0))
-        v.filter(mine).drop("_us", "_part").repartition(files).write.mode("append").parquet(root)
-    return stream_vitals(spark, "parquet", {"path": root, "maxFilesPerTrigger": str(files)}, vitals(spark, sf).schema)
+    place = F.col(part) * files + F.pmod(F.xxhash64(*[c for c in rows.columns if c != part]), F.lit(files))
+    placed = rows.repartitionById(parts * files, place.cast("int")).withColumnRenamed(part, "part")
+    placed.write.partitionBy("part").parquet(root)
+    began = int(time.time() * 1000) - 10_000 * parts
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    disk = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in disk.listStatus(where):
+        name = folder.getPath().getName()
+        if name.startswith("part="):
+            for f in disk.listStatus(folder.getPath()):
+                disk.setTimes(f.getPath(), began + 10_000 * int(name[5:]), -1)
+    schema = rows.drop(part).schema
+    return stream_vitals(spark, "parquet", {"path": f"{root}/*", "maxFilesPerTrigger": str(files)}, schema)
 
 
 def appended(spark, df, name):
@@ -54,11 +80,11 @@ def appended(spark, df, name):
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
-def updated(spark, df, name, keys):
-    """Run an update stream and return the final row per key."""
+def updated(spark, what, name):
+    """Run a running aggregation to the end of its stream and return its rows."""
     root = shared_dir(spark, name)
-    flows.keep_state(df, {"state": (lambda batch: batch, f"{root}/out")}, keys, f"{root}/checkpoint").awaitTermination()
-    return flows.latest(spark, f"{root}/out", df.schema)
+    flows.keep_state(what, root).awaitTermination()
+    return flows.latest(spark, what, root)
 
 
 def stored_points(spark, df, make, name):
@@ -93,6 +119,81 @@ def stream_dedup(spark, sf):
     return appended(spark, dedup(twice, event_time="DateTime", delay=DELAY), "dedup").drop("DateTime")
 
 
+def _faulty(v):
+    """Messages with more faults: not-a-number pressures and patients that are no whole number."""
+    v = v.withColumn("SBP", F.when(F.col("reading_id") % 113 == 4, F.lit(float("nan"))).otherwise(F.col("SBP")))
+    return messages(v.withColumn("patient_id", F.when(F.col("reading_id") % 109 == 3, F.lit("3.5")).otherwise(F.col("patient_id").cast("string"))))
+
+
+_FAULTS = cte(
+    f"f AS (SELECT *, {BAD_SBP} OR reading_id%113=4 AS bad_sbp, reading_id%109=3 AS bad_patient, reading_id%101=0 AS broken FROM vitals)")
+_LETTER = "CASE WHEN broken THEN 'not JSON' WHEN bad_sbp OR bad_patient THEN 'unreadable ' || concat_ws(', ', CASE WHEN bad_sbp THEN 'SBP' END, CASE WHEN bad_patient THEN 'patient_id' END) END"
+
+
+def _taken_in(spark, sf, name):
+    root = shared_dir(spark, name)
+    flows.ingest(_faulty(stream(spark, sf)), root, f"{root}/checkpoint").awaitTermination()
+    return {t: spark.read.parquet(f"{root}/{t}") for t in ("readings", "dead_letters", "fault_counts")}
+
+
+@query(
+    "stream_dead_letters",
+    _FAULTS + "SELECT reading_id, CASE WHEN bad_patient OR broken THEN NULL ELSE patient_id END AS patient_id, CASE WHEN bad_sbp OR broken THEN NULL ELSE SBP END AS SBP, "
+    f"CASE WHEN broken THEN NULL ELSE DBP END AS DBP, {_LETTER} AS reason FROM f",
+)
+def stream_dead_letters(spark, sf):
+    """Every message of a stream beside what its one parse wrote: the reading, and the reason for whatever is missing in it."""
+    t = _taken_in(spark, sf, "dead-letters")
+    at = F.coalesce(F.get_json_object("payload", "$.reading_id"), F.regexp_extract("payload", "([0-9]+)$", 1)).cast("long")
+    lost = t["dead_letters"].select(at.alias("reading_id"), "reason")
+    return t["readings"].select("reading_id", "patient_id", "SBP", "DBP").join(lost, "reading_id", "full").select("reading_id", "patient_id", "SBP", "DBP", "reason")
+
+
+@query(
+    "stream_fault_counts",
+    _FAULTS + "SELECT fault, count(*) AS n FROM (SELECT unnest(list_filter(['any message', CASE WHEN broken THEN 'not JSON' END, CASE WHEN bad_sbp AND NOT broken THEN 'SBP' END, "
+    "CASE WHEN bad_patient AND NOT broken THEN 'patient_id' END], lambda x: x IS NOT NULL)) AS fault FROM f) GROUP BY 1",
+)
+def stream_fault_counts(spark, sf):
+    """How many messages have each fault, added up over the micro-batches of the same single pass."""
+    return _taken_in(spark, sf, "fault-counts")["fault_counts"].groupBy("fault").agg(F.sum("n").alias("n"))
+
+
+_LOSS = cte(
+    "b AS (SELECT min(ts_us) AS a, max(ts_us) AS z FROM vitals)",
+    f"p AS (SELECT ts_us, (ts_us-a)*{PARTS}//(z-a+1) AS part, reading_id FROM vitals, b)",
+    f"s AS (SELECT ts_us, CASE WHEN reading_id%13=0 AND part<{PARTS}-2 THEN part+2 ELSE part END AS batch FROM p)",
+    "m AS (SELECT batch, max(ts_us) AS top FROM s GROUP BY 1)",
+    "w AS (SELECT batch, (SELECT (max(top)//1000-7200000)*1000 FROM m n WHERE n.batch<=m.batch-2) AS mark FROM m)",
+)
+
+
+@query(
+    "stream_loss",
+    _LOSS + "SELECT CAST(batch AS BIGINT) AS batch, count(*) AS sent, count(*) FILTER (mark IS NULL OR ts_us>mark) AS kept, count(*) FILTER (ts_us<=mark) AS dropped, true AS adds_up "
+    "FROM s JOIN w USING (batch) GROUP BY batch",
+)
+def stream_loss(spark, sf):
+    """Per micro-batch: rows sent, kept and dropped. Some readings come two parts late, which the watermark does not wait for."""
+    v = vitals(spark, sf).withColumn("_us", ts_us())
+    a, z = v.agg(F.min("_us"), F.max("_us")).first()
+    part = F.expr(f"cast((_us - {a or 0}) * {PARTS} div ({(z or 0) - (a or 0)} + 1) as int)")
+    part = F.when((F.col("reading_id") % 13 == 0) & (part < PARTS - 2), part + 2).otherwise(part)
+    s = feed(spark, v.select("patient_id", "reading_id", "DateTime", "SBP", part.alias("_part")), "_part", PARTS)
+    root, losses = shared_dir(spark, "loss"), flows.Losses()
+    spark.streams.addListener(losses)
+    try:
+        unique = dedup(flows.arriving(s), event_time="DateTime", delay=DELAY)
+        query_ = flows.fan_out(unique, {"kept": (lambda b: b, f"{root}/kept")}, f"{root}/checkpoint", name=f"loss-{root[-8:]}")
+        query_.awaitTermination()
+        counts = losses.table(spark, query_)
+    finally:
+        spark.streams.removeListener(losses)
+    kept = spark.read.option("basePath", f"{root}/kept").parquet(f"{root}/kept").groupBy(F.col("batch_id").cast("long").alias("batch")).agg(F.count(F.lit(1)).alias("kept"))
+    both = counts.join(kept, "batch", "left").withColumn("kept", F.coalesce("kept", F.lit(0).cast("long")))
+    return both.select("batch", "sent", "kept", "dropped", (F.col("kept") + F.col("dropped") == F.col("sent")).alias("adds_up"))
+
+
 @query("stream_score", cte(DECODED, _SENT) + "SELECT reading_id, true AS as_in_batch FROM sent")
 def stream_score(spark, sf):
     """A fitted clustering applied to the stream, beside its result on the table."""
@@ -117,7 +218,7 @@ def stream_kmeans_assign(spark, sf):
 @query("stream_running_min", cte() + "SELECT patient_id, m.v AS lowest, m.t AS lowest_us FROM "
        "(SELECT patient_id, min(struct_pack(v:=SPO2, t:=ts_us)) AS m FROM vitals GROUP BY 1)")
 def stream_running_min(spark, sf):
-    out = updated(spark, flows.lowest(stream(spark, sf, late=True)), "lowest", ["patient_id"])
+    out = updated(spark, flows.running_lowest(stream(spark, sf, late=True)), "lowest")
     return out.select("patient_id", "lowest", ts_us("lowest_time").alias("lowest_us"))
 
 
@@ -130,19 +231,35 @@ def _judged_stream(spark, sf):
        + ", ".join(f"sum(CASE WHEN pred={p} AND label={y} THEN 1 ELSE 0 END) AS {n}" for n, p, y in (("TP", 1, 1), ("FP", 1, 0), ("FN", 0, 1), ("TN", 0, 0)))
        + ", count(*) AS TotalDataProcessed FROM judged GROUP BY 1")
 def stream_running_confusion(spark, sf):
-    return updated(spark, flows.confusion_counts(_judged_stream(spark, sf)), "confusion", ["patient_id"])
+    return updated(spark, flows.running(flows.confusion_counts(_judged_stream(spark, sf))), "confusion")
 
 
 @query("stream_running_accuracy", cte(JUDGED) + "SELECT patient_id, sum(CASE WHEN pred=label THEN 1 ELSE 0 END) AS correct, "
        "sum(CASE WHEN pred=label THEN 0 ELSE 1 END) AS wrong FROM judged GROUP BY 1")
 def stream_running_accuracy(spark, sf):
-    return updated(spark, flows.accuracy_counts(_judged_stream(spark, sf)), "accuracy", ["patient_id"])
+    return updated(spark, flows.running(flows.accuracy_counts(_judged_stream(spark, sf))), "accuracy")
 
 
 @query("stream_class_counter", cte() + f"SELECT {class_sql()} AS Class, count(*) AS n FROM vitals GROUP BY 1")
 def stream_class_counter(spark, sf):
     s = stream(spark, sf).select(rules.bp_class("SBP", "DBP").alias("Class"))
-    return updated(spark, flows.class_counts(s, "Class"), "classes", ["Class"])
+    return updated(spark, flows.running(flows.class_counts(s, "Class"), ["Class"]), "classes")
+
+
+@query(
+    "stream_count_sketch",
+    cte(f"src AS (SELECT {class_sql()} AS Class FROM vitals)", sketch_sql("Class", 64).strip())
+    + "SELECT Class, median(CAST(sgn*total AS DOUBLE)) AS estimate, true AS days_add_up FROM cells JOIN sums USING (r, bucket) GROUP BY Class",
+)
+def stream_count_sketch(spark, sf):
+    """Counts of the classes by the cells that a stream has kept, and whether the sketches of single days add up to them."""
+    s = stream(spark, sf, late=True).select(rules.bp_class("SBP", "DBP").alias("Class"))
+    cells = updated(spark, flows.running(sketch.count_sketch(s, "Class"), ("row", "bucket")), "sketch")
+    v = vitals(spark, sf).select("DateTime", rules.bp_class("SBP", "DBP").alias("Class"))
+    parts = [sketch.count_sketch(v.filter(F.dayofmonth("DateTime") % 3 == d), "Class") for d in range(3)]
+    added = sketch.add(*parts).withColumnRenamed("total", "other")
+    odd = cells.join(added, ["row", "bucket"], "full").filter("not total <=> other").count()
+    return sketch.estimate(cells, v, "Class").withColumn("days_add_up", F.lit(odd == 0))
 
 
 def _point_stream(spark, sf):
@@ -155,7 +272,7 @@ def _window_sql(agg):
 
 
 def _windows(spark, sf, fn):
-    out = updated(spark, flows.window_values(_point_stream(spark, sf), DELAY, fn=fn), f"window-{fn}", ["field", "time"])
+    out = updated(spark, flows.running_windows(_point_stream(spark, sf), DELAY, fn=fn), f"window-{fn}")
     return out.select("field", F.unix_seconds("time").alias("sec"), r6("value", "value"))
 
 
@@ -202,18 +319,46 @@ _V10 = "OVER (PARTITION BY patient_id ORDER BY DateTime, reading_id ROWS BETWEEN
     + "SELECT reading_id, ts_us, round(s,6) AS SBP_15, round(s,6) AS SBP_30, round(d,6) AS DBP_15, round(d,6) AS DBP_30 FROM f WHERE k=10",
 )
 def stream_forecast(spark, sf):
-    """The model given to the stream here is the mean of the last ten readings, for every step."""
+    """The model given to the stream here is the mean of the last ten readings, for every step. Some readings come late."""
+    return _forecast(spark, sf, 0.0, 0.1, False)
+
+
+def _forecast(spark, sf, shift, weight, scaled):
+    """Forecasts by `shift` plus `weight` times every one of the last ten readings, on a stream with late readings."""
     weights = np.zeros((21, 60))
-    weights[1:11, :30] = weights[11:, 30:] = 0.1
+    weights[0] = shift
+    weights[1:11, :30] = weights[11:, 30:] = weight
+    model = DirectModel(("SBP", "DBP"), 10, 30, weights)
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     stateful.use_rocksdb(spark)
     try:
-        out = appended(spark, stateful.forecast_stream(stream(spark, sf), DirectModel(("SBP", "DBP"), 10, 30, weights)), "forecast")
+        made = stateful.forecast_stream(stream(spark, sf, late=True, closing=True), model, delay=DELAY, scaled=scaled)
+        out = appended(spark, made, "forecast")
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
     return out.select("reading_id", "ts_us", *[r6(f"{c}_{h}", f"{c}_{h}") for c in ("SBP", "DBP") for h in (15, 30)])
 
 
+def _scaled_back(c):
+    """0.25 + 0.05 times the scaled readings of the window, scaled back by the extremes so far."""
+    low, wide = f"{c}_low", f"(CASE WHEN {c}_high={c}_low THEN 1 ELSE {c}_high-{c}_low END)"
+    return f"round({low}+{wide}*(0.25+0.5*({c}_mean-{low})/{wide}),6)"
+
+
+_SO_FAR = "OVER (PARTITION BY patient_id ORDER BY DateTime, reading_id)"
+
+
+@query(
+    "stream_forecast_scaled",
+    cte(f"f AS (SELECT reading_id, ts_us, count(*) {_V10} AS k, " + ", ".join(
+        f"avg({c}) {_V10} AS {c}_mean, min({c}) {_SO_FAR} AS {c}_low, max({c}) {_SO_FAR} AS {c}_high" for c in ("SBP", "DBP")) + " FROM vitals WHERE SBP<>0 AND DBP<>0)")
+    + "SELECT reading_id, ts_us, " + ", ".join(f"{_scaled_back(c)} AS {c}_{h}" for c in ("SBP", "DBP") for h in (15, 30)) + " FROM f WHERE k=10",
+)
+def stream_forecast_scaled(spark, sf):
+    """Signals scaled by a patient's extremes so far before the model, and its answer scaled back, with late readings."""
+    return _forecast(spark, sf, 0.25, 0.05, True)
+
+
 @query(
     "forecast_latest",
     cte("p AS (SELECT patient_id, DateTime, SBP, DBP, (sec+h*60)//60 AS target FROM vitals, (SELECT unnest(range(1,31)) AS h))",

@@ -8,10 +8,11 @@ from pulseloom.schema import ALIASES, MEASURES, TIME_FORMATS, distinct_names, me
 from pulseloom.sources.readers import nan_to_null
 
 CORRUPT = "_corrupt_record"
+NOT_JSON = "not JSON"
 
 
-def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "value"):
-    """Split messages into (good, bad): parsed payload columns, and payloads that are no JSON object."""
+def _parsed(df: DataFrame, schema: T.StructType | None, value_col: str):
+    """(messages with `_text`, `_data` and `_broken`, the other columns, the payload's columns)."""
     schema = schema or message_schema()
     wide = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     names = distinct_names(wide.fieldNames())
@@ -23,8 +24,14 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "
     data = F.from_json("_text", wide, options).cast(columns)
     parsed = text.select("*", F.inline(F.array(F.struct(data.alias("_data"), F.isnull("_text").alias("_none")))))
     broken = F.col("_none") | F.col(f"_data.{CORRUPT}").isNotNull()
-    good = parsed.filter(~broken).select(*others, *[F.col(f"_data.{n}") for n in names if n != CORRUPT])
-    bad = parsed.filter(broken).select(*others, F.col("_text").alias("payload"))
+    return parsed.withColumn("_broken", broken), others, [n for n in names if n != CORRUPT]
+
+
+def decode(df: DataFrame, schema: T.StructType | None = None, value_col: str = "value"):
+    """Split messages into (good, bad): parsed payload columns, and payloads that are no JSON object."""
+    parsed, others, names = _parsed(df, schema, value_col)
+    good = parsed.filter("not _broken").select(*others, *[F.col(f"_data.{n}") for n in names])
+    bad = parsed.filter("_broken").select(*others, F.col("_text").alias("payload"))
     return good, bad
 
 
@@ -42,29 +49,67 @@ def parse_time(c) -> Column:
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in TIME_FORMATS])
 
 
+def _casts(df: DataFrame, time: str) -> dict[str, Column]:
+    """The typed value of every column that has a type to get; not-a-number is missing."""
+    numbers = {c: F.col(c).try_cast("double") for c in MEASURES if c in df.columns}
+    casts = {c: F.when(~F.isnan(v), v) for c, v in numbers.items()}
+    casts |= {c: F.col(c).try_cast("long") for c in ("patient_id", "reading_id") if c in df.columns}
+    if time in df.columns and isinstance(df.schema[time].dataType, T.StringType):
+        casts[time] = parse_time(F.col(time))
+    return casts
+
+
 def cast_vitals(df: DataFrame, required=("SBP", "DBP"), time="DateTime") -> DataFrame:
     """Text to numbers and times; unreadable values become null, rows without a required value go."""
-    casts = {c: F.col(c).try_cast("double") for c in MEASURES}
-    casts |= {c: F.col(c).try_cast("long") for c in ("patient_id", "reading_id")}
-    if isinstance(df.schema[time].dataType, T.StringType):
-        casts[time] = parse_time(F.col(time))
+    casts = _casts(df, time)
     typed = df.select(*[casts[c].alias(c) if c in casts else F.col(c) for c in df.columns])
     return nan_to_null(typed).dropna(subset=list(required))
 
 
+def checked(df: DataFrame, value_col: str = "value", time: str = "DateTime") -> DataFrame:
+    """Every message as a typed reading, parsed once, with its `_payload` and its `_faults`.
+
+    `_faults` is an array: "not JSON", or the name of each column whose value was there and is missing after the very cast that
+    the reading went through. A message without faults has an empty array; one that is no JSON has no values.
+    """
+    parsed, others, names = _parsed(df, None, value_col)
+    flat = parsed.select(*others, F.col("_text").alias("_payload"), "_broken", *[F.col(f"_data.{n}") for n in names])
+    text = normalize_aliases(flat)
+    casts = _casts(text, time)
+    order = [c for c in (*MEASURES, "patient_id", "reading_id", time) if c in casts]
+    # the casts stand in a step of their own too, so that values and faults come from one evaluation
+    values = F.struct(*[casts[c].alias(c) for c in order])
+    typed = text.select("*", F.inline(F.array(F.struct(values.alias("_typed")))))
+    lost = [F.when(F.col(c).isNotNull() & F.col(f"_typed.{c}").isNull(), F.lit(c)) for c in order]
+    faults = F.array_compact(F.array(F.when(F.col("_broken"), F.lit(NOT_JSON)), *[F.when(~F.col("_broken"), x) for x in lost]))
+    columns = [F.col(f"_typed.{c}").alias(c) if c in order else F.col(c) for c in text.columns if c != "_broken"]
+    return typed.select(*columns, faults.alias("_faults"))
+
+
+def good_readings(read: DataFrame) -> DataFrame:
+    """The readings among `checked` messages; a value that could not be read is missing."""
+    return read.filter(~F.array_contains("_faults", NOT_JSON)).drop("_payload", "_faults")
+
+
+def faults(read: DataFrame) -> DataFrame:
+    """(payload, reason) of the `checked` messages that lost something."""
+    broken = F.array_contains("_faults", NOT_JSON)
+    reason = F.when(broken, F.lit(NOT_JSON)).otherwise(F.concat(F.lit("unreadable "), F.array_join("_faults", ", ")))
+    return read.filter(F.size("_faults") > 0).select(F.col("_payload").alias("payload"), reason.alias("reason"))
+
+
+def fault_counts(read: DataFrame) -> DataFrame:
+    """(fault, n): how many `checked` messages have each fault, and how many there are in all (fault `any message`)."""
+    each = read.select(F.explode(F.array_append("_faults", F.lit("any message"))).alias("fault"))
+    return each.groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+
+
 def dead_letters(df: DataFrame, value_col: str = "value", time: str = "DateTime") -> DataFrame:
     """(payload, reason) of messages that are no JSON object or have a value that cannot be read.
 
     The latter are decoded as well, with that value missing; here they are on record.
     """
-    good, bad = decode(df.withColumn("_payload", F.col(value_col).cast("string")), value_col=value_col)
-    text = normalize_aliases(good)
-    numbers = [c for c in (*MEASURES, "patient_id", "reading_id") if c in text.columns]
-    faults = [F.when(F.col(c).isNotNull() & F.col(c).try_cast("double").isNull(), F.lit(c)) for c in numbers]
-    faults.append(F.when(F.col(time).isNotNull() & parse_time(F.col(time)).isNull(), F.lit(time)))
-    found = F.array_compact(F.array(*faults))
-    lost = text.filter(F.size(found) > 0).select(F.col("_payload").alias("payload"), F.concat(F.lit("unreadable "), F.array_join(found, ", ")).alias("reason"))
-    return bad.select("payload", F.lit("not JSON").alias("reason")).unionByName(lost)
+    return faults(checked(df, value_col, time))
 
 
 def encode_kv(df: DataFrame, key_cols, value_cols) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -63,45 +64,17 @@ def batch_writer(sinks: dict):
     return write
 
 
-def state_writer(sinks: dict, keys):
-    """For queries in update mode: name -> (function of the batch, folder) with the newest row of every key.
+def read_state(spark, checkpoint: str, keys, values) -> DataFrame:
+    """The rows that the aggregation of a query keeps as state, as of its last finished batch: key columns, then the fields of
+    its running values, under the given names.
 
-    Every batch is merged with the state before it and written as a version of its own; a version holds one row per key,
-    whatever the number of batches. A repeated batch starts from the same version and overwrites its own. The versions
-    before the last one are removed.
+    Spark keeps and changes them incrementally, so reading costs the state's size and keeping it nothing beyond the batch.
     """
-    keys = list(keys)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        for make, path in sinks.values():
-            new = make(batch)
-            before = [v for v in versions(spark, path) if v < batch_id]
-            if before:
-                old = spark.read.schema(new.schema).parquet(f"{path}/version={before[-1]}")
-                new = new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
-            new.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-            for v in before[:-1]:
-                _remove(spark, f"{path}/version={v}")
-
-    return write
-
-
-def _folder(spark, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _remove(spark, path: str) -> None:
-    files, where = _folder(spark, path)
-    files.delete(where, True)
+    state = spark.read.format("statestore").load(checkpoint)
 
+    def renamed(column, names):
+        fields = state.schema[column].dataType.fields
+        kind = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields, strict=True)])
+        return F.col(column).cast(kind).alias(column)
 
-def versions(spark, path: str) -> list[int]:
-    """Numbers of the finished versions of a state, in order."""
-    files, where = _folder(spark, path)
-    if not files.exists(where):
-        return []
-    found = [str(s.getPath()) for s in files.listStatus(where)]
-    done = [p for p in found if "/version=" in p and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{p}/_SUCCESS"))]
-    return sorted(int(p.rsplit("=", 1)[1]) for p in done)
+    return state.select(renamed("key", keys), renamed("value", values)).select("key.*", "value.*")

@@ -1,14 +1,20 @@
 """Streaming jobs. Each step is a function of a DataFrame that runs on a batch as well."""
 
+from collections import defaultdict
+from collections.abc import Callable
+from dataclasses import dataclass
+from threading import Event
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from pulseloom.functions import rules
 from pulseloom.operators.clean import dedup
 from pulseloom.operators.timeseries import confusion_cells
 from pulseloom.schema import KEY, MEASURES
-from pulseloom.sources.codecs import cast_vitals, decode, encode_kv, normalize_aliases
-from pulseloom.sources.sinks import batch_writer, state_writer, versions
+from pulseloom.sources.codecs import cast_vitals, checked, decode, encode_kv, fault_counts, faults, good_readings, normalize_aliases
+from pulseloom.sources.sinks import batch_writer, read_state, write_stream
 
 
 def readings(messages: DataFrame, required=()) -> DataFrame:
@@ -65,28 +71,113 @@ def class_counts(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def fan_out(stream: DataFrame, sinks: dict, checkpoint: str, mode="append", trigger=None):
-    """One query for several sinks: name -> (function of the batch, folder)."""
+def fan_out(stream: DataFrame, sinks: dict, checkpoint: str, mode="append", trigger=None, name=None):
+    """One query for several sinks: name -> (function of the batch, folder). `name` names the query in progress reports."""
     if not checkpoint:
         raise ValueError("a streaming query needs its own checkpoint folder")
     writer = stream.writeStream.foreachBatch(batch_writer(sinks)).outputMode(mode).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    return (writer.queryName(name) if name else writer).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def keep_state(stream: DataFrame, sinks: dict, keys, checkpoint: str, trigger=None):
-    """Run a query in update mode into one current table per sink: name -> (function of the batch, folder)."""
-    if not checkpoint:
+@dataclass(frozen=True)
+class Running:
+    """An aggregation over a stream whose current rows can be asked for.
+
+    `frame` is the aggregation; its state has the `keys` and the `values`, from which `finish` makes the result's rows. With `closed`
+    the rows of windows that the watermark has passed leave the state for a table.
+    """
+
+    frame: DataFrame
+    keys: tuple
+    values: tuple
+    finish: Callable[[DataFrame], DataFrame]
+    closed: bool = False
+
+
+def running(frame: DataFrame, by=KEY) -> Running:
+    """For an aggregation by `by` with counts, sums, minima and maxima only: their state is their value."""
+    values = tuple(c for c in frame.columns if c not in by)
+    return Running(frame, tuple(by), values, lambda state: state)
+
+
+def running_lowest(df: DataFrame, col="SPO2", by=KEY, time="DateTime") -> Running:
+    """`lowest` as a running aggregation."""
+    return Running(lowest(df, col, by, time), tuple(by), ("m",), lambda state: state.select(*by, F.col("m.v").alias("lowest"), F.col("m.t").alias("lowest_time")))
+
+
+def running_windows(df: DataFrame, delay: str, every="15 minutes", fn="mean", by=("field",), value="value", time="time", tie="reading_id") -> Running:
+    """`window_values` as a running aggregation: closed windows, and the open ones as far as they have come."""
+    now = F.col("_a") / F.col("_b") if fn == "mean" else F.col("_a")  # sum and count, or the last value and its place
+
+    def finish(state):
+        return state.select(*by, F.col("w.end").alias(time), now.alias(value))
+
+    return Running(window_values(df, delay, every, fn, by, value, time, tie), (*by, "w"), ("_a", "_b"), finish, closed=True)
+
+
+def ingest(messages: DataFrame, folder: str, checkpoint: str, trigger=None):
+    """Start the intake of messages: one parse per message feeds three tables below `folder`.
+
+    `readings` has every reading, `dead_letters` the payload and the reason of whatever was lost, `fault_counts` a row per batch and
+    fault. A batch that is repeated overwrites its own rows in all three.
+    """
+    sinks = {"readings": (good_readings, f"{folder}/readings"), "dead_letters": (faults, f"{folder}/dead_letters"), "fault_counts": (fault_counts, f"{folder}/fault_counts")}
+    return fan_out(checked(messages), sinks, checkpoint, trigger=trigger)
+
+
+class Losses(StreamingQueryListener):
+    """Counts of every micro-batch, from the progress reports of the session's queries.
+
+    A row is (query name, batch, sent, dropped): `sent` is what `arriving` counted at the source, `dropped` the rows that stateful operators
+    refused because the watermark had passed them. Register it with `spark.streams.addListener`.
+    """
+
+    def __init__(self):
+        self.rows: dict[tuple[str, int], tuple[int, int]] = {}
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        seen = p.observedMetrics.get("arriving")
+        dropped = sum(o.numRowsDroppedByWatermark for o in p.stateOperators)
+        before = self.rows.get((p.name, p.batchId), (0, 0))
+        self.rows[p.name, p.batchId] = max(before[0], seen.sent if seen else 0), max(before[1], dropped)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def table(self, spark: SparkSession, query, timeout: float = 60) -> DataFrame:
+        """batch, sent, dropped of a named query that has ended; one row per batch that had data."""
+        if not self.ended[str(query.runId)].wait(timeout):
+            raise TimeoutError(f"no report that {query.name} ended")
+        rows = [(b, *n) for (name, b), n in sorted(self.rows.items()) if name == query.name and any(n)]
+        return spark.createDataFrame(rows, "batch long, sent long, dropped long")
+
+
+def arriving(df: DataFrame) -> DataFrame:
+    """`df`, counted for `Losses` before anything can be dropped."""
+    return df.observe("arriving", F.count(F.lit(1)).alias("sent"))
+
+
+def keep_state(what: Running, folder: str, trigger=None):
+    """Start a running aggregation; checkpoint, state and closed windows are in `folder`."""
+    if not folder:
         raise ValueError("a streaming query needs its own checkpoint folder")
-    writer = stream.writeStream.foreachBatch(state_writer(sinks, keys)).outputMode("update").option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    if what.closed:
+        return write_stream(what.frame, "parquet", {"path": f"{folder}/closed"}, f"{folder}/checkpoint", trigger)
+    return write_stream(what.frame, "noop", {}, f"{folder}/checkpoint", trigger, "update")
 
 
-def latest(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The state written by `keep_state`: one row per key, read from the newest version only."""
-    found = versions(spark, path)
-    if not found:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/version={found[-1]}")
+def latest(spark: SparkSession, what: Running, folder: str) -> DataFrame:
+    """The current rows of a running aggregation, one per key, a null key included; of windows, closed and open ones."""
+    now = what.finish(read_state(spark, f"{folder}/checkpoint", what.keys, what.values)).select(*what.frame.columns)
+    return spark.read.schema(what.frame.schema).parquet(f"{folder}/closed").unionByName(now) if what.closed else now
 
 
 def newest_per_minute(df: DataFrame, by=KEY, time="DateTime", cols=("SBP", "DBP")) -> DataFrame:

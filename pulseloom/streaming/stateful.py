@@ -1,80 +1,162 @@
-"""Forecast per new reading from the last readings of a patient, kept as state."""
+"""Forecast per reading from the last readings of a patient, in event-time order."""
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pulseloom.ml.forecast import DirectModel
 
-WINDOW = T.StructType([
-    T.StructField("ts_us", T.ArrayType(T.LongType())),
-    T.StructField("reading_id", T.ArrayType(T.LongType())),
-    T.StructField("SBP", T.ArrayType(T.DoubleType())),
-    T.StructField("DBP", T.ArrayType(T.DoubleType())),
-])
+#: Readings of a patient that wait in one value.
+MAX_WAITING = 2_000
+ROWS = "ts_us array<long>, reading_id array<long>, SBP array<double>, DBP array<double>"
+#: The last readings, the extremes (two signals each), the first block that has not come out, the next timer, and the waiting readings.
+PLACE = (
+    "SBP array<double>, DBP array<double>, low array<double>, high array<double>, done long, timer long, spilled boolean, "
+    "w_ts array<long>, w_id array<long>, w_SBP array<double>, w_DBP array<double>"
+)
+_NAMES = [c.split()[0] for c in PLACE.split(", ")]
+_WAITING, _TYPES = _NAMES[-4:], (np.int64, np.int64, np.float64, np.float64)
 
 
-class WindowForecast(StatefulProcessor):
-    """Keeps the last `2 * n_in - 1` valid readings; every new reading is forecast from the readings up to it.
+class OrderedForecast(StatefulProcessor):
+    """Readings wait until the watermark has passed them, come out in the order of their times, and are forecast.
 
-    A late reading takes its place among the kept ones, and each place among the last `n_in` has its whole window there.
-    A reading older than these has no forecast once the readings its own window needs are gone. Forecasts already given stay
-    as they are.
+    When the watermark passes the end of a block of time, no reading of it can come any more: a timer takes out the patient's readings of that
+    block, sorts them and forecasts them after the last `n_in - 1` readings before. So a late reading has its place in its own
+    window and in those after it. Up to MAX_WAITING readings wait in one value, which costs few calls of the state store; beyond that they go to
+    a map by block and come out block by block, so that one block is in memory at a time, whatever a patient sends.
 
-    The rows of a patient in one micro-batch are put in order by time, so the source's rate
-    limit (maxFilesPerTrigger, maxOffsetsPerTrigger) bounds what a task holds.
+    With `scaled` the model works on signals scaled by the patient's extremes up to each reading, which are kept beside the window,
+    and its answer is scaled back by the same extremes.
     """
 
-    def __init__(self, model: DirectModel, horizons):
-        self.model, self.horizons = model, tuple(horizons)
+    def __init__(self, model: DirectModel, horizons, block_us: int, scaled: bool):
+        self.model, self.horizons, self.block_us, self.scaled = model, tuple(horizons), block_us, scaled
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("window", WINDOW)
+        self.handle = handle
+        self.blocks = handle.getMapState("blocks", "block long", ROWS)
+        self.place = handle.getValueState("place", PLACE)
+
+    def _place(self) -> dict:
+        got = self.place.get()
+        return dict(zip(_NAMES, got)) if got is not None else dict(zip(_NAMES, ([], [], [np.inf] * 2, [-np.inf] * 2, -(1 << 62), 0, False, [], [], [], [])))
+
+    def _end(self, block: int) -> int:
+        """Milliseconds at which a block is complete."""
+        return -(-(block + 1) * self.block_us // 1000)
+
+    def _spill(self, rows: list[np.ndarray]) -> None:
+        """Add waiting readings to their blocks in the map."""
+        block = rows[0] // self.block_us
+        for b in np.unique(block).tolist():
+            held = self.blocks.getValue((b,)) if self.blocks.containsKey((b,)) else ([], [], [], [])
+            self.blocks.updateValue((b,), tuple([*old, *new[block == b].tolist()] for old, new in zip(held, rows)))
 
     def handleInputRows(self, key, rows, timerValues):
+        place = self._place()
+        waiting = [np.array(place[c], t) for c, t in zip(_WAITING, _TYPES)]
+        first = place["timer"] or 1 << 62
+        for pdf in rows:
+            new = [pdf[c].to_numpy(t) for c, t in zip(("ts_us", "reading_id", "SBP", "DBP"), _TYPES)]
+            timely = new[0] // self.block_us >= place["done"]
+            new = [c[timely] for c in new]
+            if len(new[0]):
+                first = min(first, self._end(int(new[0].min()) // self.block_us))
+                waiting = [np.concatenate(c) for c in zip(waiting, new)]
+            if len(waiting[0]) > MAX_WAITING:
+                self._spill(waiting)
+                waiting, place["spilled"] = [c[:0] for c in waiting], True
+        if first < (place["timer"] or 1 << 62):
+            if place["timer"]:
+                self.handle.deleteTimer(place["timer"])
+            self.handle.registerTimer(first)
+            place["timer"] = first
+        self._keep(place, waiting)
+        yield from ()
+
+    def _keep(self, place: dict, waiting: list[np.ndarray]) -> None:
+        place |= {c: w.tolist() for c, w in zip(_WAITING, waiting)}
+        self.place.update(tuple(place[c] for c in _NAMES))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        mark, place = timerValues.getCurrentWatermarkInMs(), self._place()
+        waiting = [np.array(place[c], t) for c, t in zip(_WAITING, _TYPES)]
+        if place["spilled"]:
+            self._spill(waiting)
+            waiting = [c[:0] for c in waiting]
+            blocks = sorted(k[0] for k in self.blocks.keys())
+            for b in blocks:
+                if self._end(b) <= mark:
+                    ready = [np.array(c, t) for c, t in zip(self.blocks.getValue((b,)), _TYPES)]
+                    self.blocks.removeKey((b,))
+                    yield from self._answered(key, place, ready)
+            left = [b for b in blocks if self._end(b) > mark]
+            place["spilled"] = bool(left)
+        else:
+            last = (mark * 1000) // self.block_us  # the first block that is not complete
+            done = waiting[0] < last * self.block_us
+            if done.any():
+                yield from self._answered(key, place, [c[done] for c in waiting])
+            waiting = [c[~done] for c in waiting]
+            left = (waiting[0] // self.block_us).tolist()
+        place["timer"] = self._end(min(left)) if left else 0
+        if place["timer"]:
+            self.handle.registerTimer(place["timer"])
+        self._keep(place, waiting)
+
+    def _answered(self, key, place: dict, ready: list[np.ndarray]):
+        """Forecasts of complete readings, which come after all that `place` has seen."""
+        order = np.lexsort((ready[1], ready[0]))
+        ts, ids, *signals = (c[order] for c in ready)
+        now = np.column_stack(signals)
+        low = np.minimum.accumulate(np.vstack([place["low"], now]), axis=0)[1:]
+        high = np.maximum.accumulate(np.vstack([place["high"], now]), axis=0)[1:]
+        both = np.vstack([np.column_stack([place["SBP"], place["DBP"]]).astype(float).reshape(-1, 2), now])
+        full = self._forecast(both, low, high)
+        tail = both[max(0, len(both) - self.model.n_in + 1) :]
+        place |= {"SBP": tail[:, 0].tolist(), "DBP": tail[:, 1].tolist(), "low": low[-1].tolist(), "high": high[-1].tolist(), "done": int(ts[-1]) // self.block_us + 1}
+        if len(full):
+            answer = {"patient_id": int(key[0]), "reading_id": ids[len(ids) - len(full) :], "ts_us": ts[len(ts) - len(full) :]}
+            answer |= {f"{c}_{h}": full[:, s, h - 1] for s, c in enumerate(("SBP", "DBP")) for h in self.horizons}
+            yield pd.DataFrame(answer)
+
+    def _forecast(self, readings: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Forecasts (readings, signals, steps) of the last readings, as many as have a whole window."""
         n = self.model.n_in
-        names = [f.name for f in WINDOW]
-        new = pd.concat([p[names] for p in rows]).assign(new=True)
-        old = pd.DataFrame(dict(zip(names, self.state.get() if self.state.exists() else [[] for _ in names]))).assign(new=False)
-        keep = 2 * n - 1
-        if len(old) == keep:
-            new = new[new["ts_us"] >= old["ts_us"].iloc[0]]
-        if not len(new):
-            return
-        pdf = pd.concat([old.astype(new.dtypes.to_dict()), new]).sort_values(["ts_us", "reading_id"], kind="stable", ignore_index=True)
-        last = pdf.iloc[-keep:]
-        self.state.update(tuple(last[c].tolist() for c in names))
-        if len(pdf) < n:
-            return
-        signals = pdf[["SBP", "DBP"]].to_numpy(dtype=float)
-        windows = np.lib.stride_tricks.sliding_window_view(signals, n, axis=0)  # (ends, signals, lags)
-        wanted = pdf["new"].to_numpy()[n - 1 :]
-        flat = windows[wanted].reshape(int(wanted.sum()), -1)
+        if len(readings) < n:
+            return np.zeros((0, 2, self.model.n_out))
+        windows = np.lib.stride_tricks.sliding_window_view(readings, n, axis=0)  # (ends, signals, lags)
+        low, high = low[len(low) - len(windows) :], high[len(high) - len(windows) :]
+        spread = np.where(high > low, high - low, 1.0)
+        if self.scaled:
+            windows = (windows - low[:, :, None]) / spread[:, :, None]
+        flat = windows.reshape(len(windows), -1)
         ahead = (np.column_stack([np.ones(len(flat)), flat]) @ self.model.weights).reshape(len(flat), 2, self.model.n_out)
-        ends = pdf.iloc[n - 1 :][wanted]
-        answer = {"patient_id": int(key[0]), "reading_id": ends["reading_id"].to_numpy(), "ts_us": ends["ts_us"].to_numpy()}
-        answer |= {f"{c}_{h}": ahead[:, s, h - 1] for s, c in enumerate(("SBP", "DBP")) for h in self.horizons}
-        if len(flat):
-            yield pd.DataFrame(answer)
+        return ahead * spread[:, :, None] + low[:, :, None] if self.scaled else ahead
 
     def close(self) -> None:
         pass
 
 
-def forecast_stream(df: DataFrame, model: DirectModel, horizons=(15, 30)) -> DataFrame:
-    """Readings to forecasts; the first one comes with the n-th valid reading of a patient.
+def forecast_stream(df: DataFrame, model: DirectModel, horizons=(15, 30), delay="2 hours", block_seconds=3600, scaled=False) -> DataFrame:
+    """Readings with both signals to forecasts, each from the `n_in` readings up to it in time order; the first comes with the
+    `n_in`-th reading of a patient.
 
+    A reading is answered once the watermark (`delay` behind the newest reading) has passed its block of `block_seconds`; one that
+    comes later than that is dropped and counted (`flows.Losses`). A patient's block has to fit in memory.
     Needs the RocksDB state store (`use_rocksdb`).
     """
-    from pyspark.sql import functions as F
-
     names = [f"{c}_{h} double" for c in ("SBP", "DBP") for h in horizons]
     schema = "patient_id long, reading_id long, ts_us long, " + ", ".join(names)
-    valid = df.filter("SBP <> 0 and DBP <> 0").select("patient_id", "reading_id", F.unix_micros("DateTime").alias("ts_us"), "SBP", "DBP")
-    return valid.groupBy("patient_id").transformWithStateInPandas(
-        WindowForecast(model, horizons), outputStructType=schema, outputMode="append", timeMode="none"
+    # in one condition with the time, which keeps it behind the watermark: rows without signals move time on as well
+    valid = F.when(F.col("DateTime").isNotNull(), (F.col("SBP") != 0) & (F.col("DBP") != 0) & F.col("patient_id").isNotNull())
+    rows = df.withWatermark("DateTime", delay).filter(valid)
+    rows = rows.select("patient_id", "reading_id", "DateTime", F.unix_micros("DateTime").alias("ts_us"), "SBP", "DBP")
+    return rows.groupBy("patient_id").transformWithStateInPandas(
+        OrderedForecast(model, horizons, block_seconds * 1_000_000, scaled), outputStructType=schema, outputMode="append", timeMode="eventtime"
     )
 
 

@@ -1,6 +1,7 @@
 """A stream gives the result of the batch: many files, copies, late rows, restarts."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from pulseloom.ml.forecast import DirectModel
 from pulseloom.operators.clean import dedup
 from pulseloom.plans.vitals import judged, messages, vitals
 from pulseloom.sources.readers import stream_vitals
-from pulseloom.sources.sinks import debug_stream, versions, write_stream
+from pulseloom.sources.sinks import debug_stream, write_stream
 from pulseloom.streaming import flows, stateful
 from tests.compare import spark_rows
 
@@ -40,12 +41,11 @@ def run(spark, df, root, name="out"):
     return spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
 
-def final(spark, df, root, keys):
-    q = flows.keep_state(df, {"s": (lambda b: b, f"{root}/state"), "copy": (lambda b: b.select(*keys), f"{root}/copy")}, keys, f"{root}/state-checkpoint")
+def final(spark, what, root):
+    q = flows.keep_state(what, root)
     q.awaitTermination()
     assert q.lastProgress["batchId"] >= 4  # several micro-batches took part
-    assert len(versions(spark, f"{root}/state")) <= 2  # older versions are removed
-    return flows.latest(spark, f"{root}/state", df.schema)
+    return flows.latest(spark, what, root)
 
 
 def test_classification_and_restart(spark, files, tmp_path):
@@ -71,17 +71,69 @@ def test_late_rows_do_not_reopen_a_closed_window(spark, tmp_path):
     for i, (minute, v) in enumerate([(1, 10.0), (200, 20.0), (201, 30.0), (2, 99.0), (195, 40.0)]):
         spark.createDataFrame([(i, "SBP", at(minute), v)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     df = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, spark.read.parquet(str(tmp_path / "in")).schema)
-    q = flows.keep_state(flows.window_values(df, "1 hour"), {"s": (lambda b: b, f"{tmp_path}/out")}, ["field", "time"], f"{tmp_path}/cp")
-    q.awaitTermination()
-    got = {r["time"]: r["value"] for r in flows.latest(spark, f"{tmp_path}/out", df.select("field", "time", "value").schema).collect()}
+    what = flows.running_windows(df, "1 hour")
+    flows.keep_state(what, f"{tmp_path}/out").awaitTermination()
+    got = {r["time"]: r["value"] for r in flows.latest(spark, what, f"{tmp_path}/out").collect()}
     assert got == {at(15): 10.0, at(210): 30.0}
+    assert spark.read.parquet(f"{tmp_path}/out/closed").count() == 1  # the other one is still open, and only in the state
 
 
 def test_counters_equal_batch(spark, files, tmp_path):
     stream, batch = source(spark, files), spark.read.parquet(files)
-    for name, f in (("low", flows.lowest), ("conf", flows.confusion_counts), ("acc", flows.accuracy_counts)):
-        out = final(spark, f(stream), f"{tmp_path}/{name}", ["patient_id"])
-        assert spark_rows(out) == spark_rows(f(batch))
+    for name, what, f in (("low", flows.running_lowest(stream), flows.lowest), ("conf", flows.running(flows.confusion_counts(stream)), flows.confusion_counts),
+                          ("acc", flows.running(flows.accuracy_counts(stream)), flows.accuracy_counts)):
+        assert spark_rows(final(spark, what, f"{tmp_path}/{name}")) == spark_rows(f(batch))
+
+
+def test_a_null_key_is_one_row(spark, tmp_path):
+    """Whatever the number of batches, and after a restart."""
+    schema = "patient_id long, SPO2 double, DateTime timestamp, label int, pred int"
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    for i in range(3):
+        spark.createDataFrame([(None, 90.0 - i, at(i), 1, 1), (1, 95.0 + i, at(i), 0, i % 2)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, spark.read.parquet(str(tmp_path / "in")).schema)
+        low, counts = flows.running_lowest(src), flows.running(flows.confusion_counts(src))
+        for name, what in (("low", low), ("counts", counts)):
+            flows.keep_state(what, f"{tmp_path}/{name}").awaitTermination()
+    got = {r["patient_id"]: (r["lowest"], r["lowest_time"]) for r in flows.latest(spark, low, f"{tmp_path}/low").collect()}
+    assert flows.latest(spark, low, f"{tmp_path}/low").count() == 2 and got == {None: (88.0, at(2)), 1: (95.0, at(0))}
+    rows = {r["patient_id"]: (r["TP"], r["FP"], r["TN"], r["TotalDataProcessed"]) for r in flows.latest(spark, counts, f"{tmp_path}/counts").collect()}
+    assert rows == {None: (3, 0, 0, 3), 1: (0, 1, 2, 3)}
+
+
+def test_every_lost_value_has_a_reason(spark):
+    """A value that was in the message and is not in the reading is in its faults, whatever the cast that lost it."""
+    from pulseloom.sources import codecs
+
+    names = ["patient_id", "reading_id", "SBP", "DBP", "HR"]
+    values = ["1", "3.5", "NaN", "abc", "", "-Infinity", "1e400", " 7 ", "9223372036854775808", "null"]
+    sent = [dict(zip(names, [v, "1", w, "80", x])) | {"DateTime": t} for v, w, x in zip(values, values[2:] + values[:2], values[5:] + values[:5]) for t in ("2024-01-01 00:00", "yesterday")]
+    texts = [json.dumps(m) for m in sent] + ["[1]", "{", None, "5", "{}"]
+    read = codecs.checked(spark.createDataFrame([(t,) for t in texts], "value string")).cache()
+    assert read.count() == len(texts)
+    for r in read.collect():
+        if codecs.NOT_JSON in r["_faults"]:
+            assert r["_faults"] == [codecs.NOT_JSON] and all(r[c] is None for c in names)
+        else:
+            m = json.loads(r["_payload"])
+            assert sorted(r["_faults"]) == sorted(c for c in (*names, "DateTime") if m.get(c) is not None and r[c] is None)
+    plain = flows.readings(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert spark_rows(codecs.good_readings(read).select(plain.columns)) == spark_rows(plain)
+    lost = {r["fault"]: r["n"] for r in codecs.fault_counts(read).collect()}
+    assert lost["any message"] == len(texts) and lost["DateTime"] == 10 and lost["patient_id"] >= 6
+
+
+def test_intake_writes_three_tables_in_one_pass(spark, files, tmp_path):
+    msgs = messages(source(spark, files))
+    root = str(tmp_path / "in3")
+    for _ in range(2):  # the second start finds nothing new
+        flows.ingest(msgs, root, f"{root}/checkpoint").awaitTermination()
+    batch = messages(spark.read.parquet(files))
+    from pulseloom.sources import codecs
+
+    good, bad, counts = (spark.read.parquet(f"{root}/{t}").drop("batch_id") for t in ("readings", "dead_letters", "fault_counts"))
+    assert spark_rows(good) == spark_rows(flows.readings(batch).select(good.columns)) and spark_rows(bad) == spark_rows(codecs.dead_letters(batch).select(bad.columns))
+    assert spark_rows(counts.groupBy("fault").agg(F.sum("n").alias("n"))) == spark_rows(codecs.fault_counts(codecs.checked(batch)))
 
 
 def test_fan_out_overwrites_a_repeated_batch(spark, sf, tmp_path):
@@ -101,72 +153,77 @@ def test_scoring_with_a_fitted_model(spark, files, tmp_path):
     assert spark_rows(run(spark, make(source(spark, files)), tmp_path)) == spark_rows(make(spark.read.parquet(files)))
 
 
-def test_forecast_state_goes_on_across_batches_and_restarts(spark, sf, tmp_path):
-    weights = np.zeros((7, 60))
-    weights[1:4, :30] = weights[4:, 30:] = 1 / 3
-    model = DirectModel(("SBP", "DBP"), 3, 30, weights)
+@pytest.fixture
+def rocksdb(spark):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     stateful.use_rocksdb(spark)
-    try:
-        v = vitals(spark, sf)
-        placed = v.withColumn("part", F.ntile(3).over(Window.orderBy("DateTime"))).cache()
-        for i in (1, 2, 3):  # one after the other: files are read in the order they appear
-            placed.filter(F.col("part") == i).drop("part").coalesce(1).write.mode("append").parquet(str(tmp_path / "ordered"))
-        src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "ordered"), "maxFilesPerTrigger": "1"}, v.schema)
-        out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
-        late = v.orderBy("DateTime").limit(40).withColumn("SBP", F.lit(500.0))
-        late.coalesce(1).write.mode("append").parquet(str(tmp_path / "ordered"))
-        out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    w = "over (partition by patient_id order by DateTime, reading_id rows between 2 preceding and current row)"
-    want = v.filter("SBP <> 0 and DBP <> 0").selectExpr("reading_id", f"count(*) {w} k", f"round(avg(SBP) {w}, 6) s", f"round(avg(DBP) {w}, 6) d")
-    got = out.filter("SBP_15 < 300").selectExpr("reading_id", "round(SBP_15, 6) s", "round(DBP_30, 6) d")
-    assert spark_rows(want.filter("k = 3").drop("k")) == spark_rows(got)
-    # readings older than a full kept window are dropped; nobody has so few that all 40 could be taken
-    assert out.filter("SBP_15 >= 300").count() <= 40
+    yield
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 
 
-def test_a_late_reading_takes_its_place(spark, tmp_path):
-    weights = np.zeros((7, 60))
-    weights[1:4, :30] = weights[4:, 30:] = 1 / 3
-    model = DirectModel(("SBP", "DBP"), 3, 30, weights)
-    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
-    schema = "patient_id long, reading_id long, DateTime timestamp, SBP double, DBP double"
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    stateful.use_rocksdb(spark)
-    try:
-        for batch in ([(1, 1, at(1), 90.0, 60.0), (1, 2, at(2), 93.0, 63.0), (1, 4, at(4), 99.0, 69.0)], [(1, 3, at(3), 96.0, 66.0), (1, 0, at(0), 500.0, 500.0)], [(1, 5, at(5), 102.0, 72.0)]):
-            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-            src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, spark.read.parquet(str(tmp_path / "in")).schema)
-            out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    got = {r["reading_id"]: r["SBP_15"] for r in out.collect()}
-    assert got == {4: pytest.approx(94.0), 3: pytest.approx(93.0), 5: pytest.approx(99.0)}
-
-
-def test_late_readings_of_the_last_window_are_forecast(spark, tmp_path):
-    n = 4
+def mean_model(n):
     weights = np.zeros((2 * n + 1, 60))
     weights[1 : n + 1, :30] = weights[n + 1 :, 30:] = 1 / n
-    model = DirectModel(("SBP", "DBP"), n, 30, weights)
-    row = lambda i: (1, i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), 90.0 + i * i, 60.0)
-    schema = "patient_id long, reading_id long, DateTime timestamp, SBP double, DBP double"
-    missing = (17, 18, 20, 5)
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    stateful.use_rocksdb(spark)
-    try:
-        for batch in ([i for i in range(1, 21) if i not in missing], [18], [17, 20, 5], [21]):
-            spark.createDataFrame([row(i) for i in batch], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-            src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, spark.read.parquet(str(tmp_path / "in")).schema)
-            out = run(spark, stateful.forecast_stream(src, model), tmp_path, "fc")
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
-    got = {r["reading_id"]: r["SBP_15"] for r in out.collect()}
+    return DirectModel(("SBP", "DBP"), n, 30, weights)
+
+
+READING = "patient_id long, reading_id long, DateTime timestamp, SBP double, DBP double"
+
+
+def minute(m):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+
+
+@pytest.mark.parametrize("scaled,waiting", [(False, 2000), (True, 2000), (False, 3), (True, 0)])
+def test_forecasts_in_event_time_order(spark, sf, tmp_path, rocksdb, monkeypatch, scaled, waiting):
+    """Shuffled readings, restarts between the batches, waiting readings in one value or in the map: the stream equals the batch."""
+    monkeypatch.setattr(stateful, "MAX_WAITING", waiting)
+    v = vitals(spark, sf).filter("patient_id % 3 = 0").select("patient_id", "reading_id", "DateTime", "SBP", "DBP").cache()
+    rows = sorted(map(tuple, v.collect()), key=lambda r: (r[2] + dt.timedelta(minutes=r[1] * 7919 % 2800), r[1]))  # up to two days late
+    size = -(-len(rows) // 3)
+    for i in range(3):
+        some = rows[i * size : (i + 1) * size] + ([(None, None, dt.datetime(2025, 1, 1), None, None)] if i == 2 else [])
+        spark.createDataFrame(some, READING).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in"), "maxFilesPerTrigger": "1"}, v.schema)
+        out = run(spark, stateful.forecast_stream(src, mean_model(3), delay="3 days", block_seconds=86_400, scaled=scaled), tmp_path, "fc")
+    w = "over (partition by patient_id order by DateTime, reading_id rows between 2 preceding and current row)"
+    want = v.filter("SBP <> 0 and DBP <> 0").selectExpr("reading_id", f"count(*) {w} k", f"round(avg(SBP) {w}, 6) s", f"round(avg(DBP) {w}, 6) d")
+    assert spark_rows(want.filter("k = 3").drop("k")) == spark_rows(out.selectExpr("reading_id", "round(SBP_15, 6) s", "round(DBP_30, 6) d"))
+
+
+def test_scaling_equals_running_minmax(spark, sf, tmp_path, rocksdb):
+    """The model sees what `running_minmax` says of the batch, and `unscale` undoes it."""
+    from pulseloom.operators.timeseries import running_minmax, unscale
+
+    weights = np.zeros((3, 60))
+    weights[0], weights[1, :30], weights[2, 30:] = 0.125, 0.5, 0.25  # one lag of each signal
+    model = DirectModel(("SBP", "DBP"), 1, 30, weights)
+    v = vitals(spark, sf).filter("patient_id % 4 = 1").select("patient_id", "reading_id", "DateTime", "SBP", "DBP")
+    v.unionByName(spark.createDataFrame([(None, None, dt.datetime(2025, 1, 1), None, None)], READING)).coalesce(1).write.parquet(str(tmp_path / "in"))
+    src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in")}, v.schema)
+    out = run(spark, stateful.forecast_stream(src, model, scaled=True), tmp_path, "fc").selectExpr("reading_id", "round(SBP_15, 6) s", "round(DBP_30, 6) d")
+    scaled = running_minmax(v.filter("SBP <> 0 and DBP <> 0")).withColumn("s", 0.125 + 0.5 * F.col("SBP_scaled")).withColumn("d", 0.125 + 0.25 * F.col("DBP_scaled"))
+    want = scaled.select("reading_id", F.round(unscale("s", "SBP_min", "SBP_max"), 6).alias("s"), F.round(unscale("d", "DBP_min", "DBP_max"), 6).alias("d"))
+    assert spark_rows(out) == spark_rows(want)
+
+
+def test_a_late_reading_changes_the_windows_after_it(spark, tmp_path, rocksdb):
+    row = lambda i: (1, i, minute(i), 90.0 + i * i, 60.0)
+    root = str(tmp_path / "in")
+    losses = flows.Losses()
+    spark.streams.addListener(losses)
+    for batch in ([1, 2, 4, 5], [3, 6], [400], [401], [7, 900], [2000]):  # 7 comes when the watermark has passed it
+        spark.createDataFrame([row(i) for i in batch], READING).coalesce(1).write.mode("append").parquet(root)
+    src = stream_vitals(spark, "parquet", {"path": root, "maxFilesPerTrigger": "1"}, spark.read.parquet(root).schema)
+    made = stateful.forecast_stream(flows.arriving(src), mean_model(3), delay="1 hour")
+    q = made.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").queryName("late").trigger(availableNow=True).start()
+    q.awaitTermination()
+    counts = losses.table(spark, q).agg(F.sum("sent"), F.sum("dropped")).first()
+    spark.streams.removeListener(losses)
+    got = {r["reading_id"]: r["SBP_15"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     mean = lambda *ids: pytest.approx(sum(90.0 + i * i for i in ids) / len(ids))
-    assert got[18] == mean(14, 15, 16, 18) and got[17] == mean(14, 15, 16, 17)
-    assert got[20] == mean(17, 18, 19, 20) and got[21] == mean(18, 19, 20, 21) and 5 not in got
+    assert got == {3: mean(1, 2, 3), 4: mean(2, 3, 4), 5: mean(3, 4, 5), 6: mean(4, 5, 6), 400: mean(5, 6, 400), 401: mean(6, 400, 401), 900: mean(400, 401, 900)}
+    assert tuple(counts) == (11, 1)
 
 
 def test_unreadable_values_are_on_record(spark):
