@@ -8,8 +8,10 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseloom.ml import bayes, knn
 from pulseloom.ml.features import assemble, kept
 from pulseloom.operators.clean import hash_bucket
+from pulseloom.session import materialize
 
 
 def grid(estimator, values: dict, limit: int | None = None, seed: int = 42) -> list:
@@ -60,3 +62,51 @@ def search_own(df: DataFrame, predict, values: dict, label="label", key="reading
                 scores.append(predict(train, test, **m).agg(F.avg(right)).first()[0] or 0.0)
             out.append((",".join(f"{k}={v}" for k, v in m.items()), sum(scores) / folds))
     return df.sparkSession.createDataFrame(out, "params string, accuracy double")
+
+
+def search_models(df: DataFrame, spaces: dict, cols, label="label", key="reading_id", folds=3, limit=None, seed=42) -> DataFrame:
+    """(model, params, accuracy): every model of `spaces` with all its parameter sets, or with `limit` of them drawn at random.
+
+    `spaces` has for each name a function `fit(train, cols, **params)` of a model and its values. All are compared on one written
+    table of folds, which depend on the row key alone; a fold's test part is read once for all models and parameter sets. The smoothings of
+    naive Bayes (name `bayes`, no function) cost two passes for all folds, the neighbours (name `knn`, values k and metric) one search per
+    fold and set on reference rows prepared once per fold.
+    """
+    if label not in df.columns:
+        raise ValueError("a search needs labels")
+
+    def sets(values):
+        maps = [dict(zip(values, combo)) for combo in product(*values.values())]
+        maps.sort(key=lambda m: hashlib.md5(f"{seed}|{sorted(m.items())}".encode()).hexdigest()) if limit is not None else None
+        return maps[:limit]
+
+    chosen = {name: sets(values) for name, (_, values) in spaces.items()}
+    text = lambda m: ",".join(f"{k}={v}" for k, v in m.items())
+    rows = materialize(df.select(key, *cols, label, hash_bucket(key, seed, folds).cast("int").alias("_fold")), "folds")
+    found: dict[tuple[str, str], list] = {}
+    if "bayes" in chosen:
+        smoothings = [m["smoothing"] for m in chosen["bayes"]]
+        for s, accuracy in bayes.smoothing_search(rows, cols, smoothings, "_fold", label).items():
+            found["bayes", text({"smoothing": s})] = [accuracy]
+    for f in range(folds):
+        train, test = rows.filter(F.col("_fold") != f), rows.filter(F.col("_fold") == f)
+        judged, names = test, []
+        for name, maps in chosen.items():
+            if name in ("bayes", "knn"):
+                continue
+            for m in maps:
+                names.append((name, text(m)))
+                scored = spaces[name][0](train, cols, label=label, **m).transform(judged)
+                judged = scored.select(*judged.columns, (F.col("prediction") == F.col(label)).cast("int").alias(f"_r{len(names)}"))
+        if names:
+            shares = judged.agg(*[F.avg(F.coalesce(f"_r{i + 1}", F.lit(0))) for i in range(len(names))]).first()
+            for n, share in zip(names, shares):
+                found.setdefault(n, []).append(share or 0.0)
+        if chosen.get("knn"):
+            near = knn.prepare(train, cols[:2], label)
+            for m in chosen["knn"]:
+                right = F.avg(F.coalesce((F.col("prediction") == F.col(label)).cast("int"), F.lit(0)))
+                share = knn.knn_classify(test, near, near.cols, label, **m).agg(right).first()[0]
+                found.setdefault(("knn", text(m)), []).append(share or 0.0)
+    table = [(name, params, float(sum(x) / len(x))) for (name, params), x in found.items()]
+    return df.sparkSession.createDataFrame(table, "model string, params string, accuracy double")

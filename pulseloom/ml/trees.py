@@ -1,12 +1,15 @@
 """Tree classifiers and the linear support-vector classifier with probabilities."""
 
+import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,13 +66,18 @@ def decision_tree(df, cols, label="label", seed=42, **params) -> Classifier:
 
 @dataclass
 class SupportVectorModel:
+    """With `directions` and `phases` the machine stands behind a random Fourier map of the standardised features."""
+
     scaler: object
     svc: object
     platt: object
     cols: tuple
+    directions: list | None = None
+    phases: list | None = None
 
     def transform(self, df: DataFrame) -> DataFrame:
-        margins = _margins(self.svc, self.scaler.transform(assemble(df, self.cols)))
+        scaled = self.scaler.transform(assemble(df, self.cols))
+        margins = _margins(self.svc, fourier_map(scaled, self.directions, self.phases) if self.directions else scaled)
         out = self.platt.transform(assemble(margins, ["_margin"], "_m"))
         keep = [*df.columns, F.col("_svc").cast("int").alias("prediction")]
         return out.select(*keep, vector_to_array("_platt").alias("probability"))
@@ -79,9 +87,24 @@ def _margins(svc, df):
     return svc.transform(df).withColumn("_margin", vector_to_array("_raw")[1])
 
 
-def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_id", seed=42) -> SupportVectorModel:
+def fourier_map(scaled: DataFrame, directions: list, phases: list) -> DataFrame:
+    """`_scaled` replaced by cosines whose inner products are close to an RBF kernel (Rahimi, Recht 2007)."""
+    d, p = np.array(directions), np.array(phases)
+
+    @F.pandas_udf("array<double>")
+    def cosines(x: pd.Series) -> pd.Series:
+        flat = np.stack(x.to_numpy()) if len(x) else np.zeros((0, d.shape[1]))
+        return pd.Series(list(np.cos(flat @ d.T + p) * math.sqrt(2 / len(p))))
+
+    return scaled.withColumn("_scaled", array_to_vector(cosines(vector_to_array("_scaled"))))
+
+
+def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_id", seed=42, kernel="linear", gamma=0.5, width=256) -> SupportVectorModel:
     """Linear SVC on standardised features; a logistic curve over the margin gives probabilities.
 
+    With `kernel="rbf"` the features first go through `width` random cosines for the kernel exp(-gamma * distance**2), so classes
+    need not lie on two sides of a plane.
+
     The curve is fitted to margins of rows the machine behind them has not learned from: of two halves, dealt by a hash of
     `key`, each is judged by a machine fitted to the other. Without such a column it is fitted to the training margins.
     """
@@ -89,7 +112,14 @@ def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_
     with kept(df.select(*cols, F.col(label).cast("double").alias("label"), half.cast("int").alias("half"))) as rows:
         data = assemble(rows, cols)
         scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True).fit(data)
-        scaled = scaler.transform(data)
+        scaled, directions, phases = scaler.transform(data), None, None
+        if kernel == "rbf":
+            rng = np.random.default_rng(seed)
+            directions = (rng.normal(size=(width, len(cols))) * math.sqrt(2 * gamma)).tolist()
+            phases = rng.uniform(0, 2 * math.pi, width).tolist()
+            scaled = fourier_map(scaled, directions, phases)
+        elif kernel != "linear":
+            raise ValueError(kernel)
         machine = LinearSVC(featuresCol="_scaled", rawPredictionCol="_raw", predictionCol="_svc", regParam=reg, maxIter=max_iter)
         svc = machine.fit(scaled)
         margins = _margins(svc, scaled)
@@ -99,4 +129,4 @@ def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_
             margins = judged[0].unionByName(judged[1])
         curve = LogisticRegression(featuresCol="_m", probabilityCol="_platt", rawPredictionCol="_pr", predictionCol="_pp", maxIter=max_iter)
         platt = curve.fit(assemble(margins, ["_margin"], "_m").select("_m", "label"))
-    return SupportVectorModel(scaler, svc, platt, tuple(cols))
+    return SupportVectorModel(scaler, svc, platt, tuple(cols), directions, phases)

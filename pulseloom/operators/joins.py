@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulseloom.operators.slices import MIN_ROWS, fair_share, known_neighbours
 from pulseloom.schema import KEY
-from pulseloom.session import materialize
+from pulseloom.session import shared_dir
 
 #: Documented parameter: rows of the small side that may be broadcast; beyond it the rows are shuffled, with the same result.
 MAX_BROADCAST = 100_000
@@ -68,11 +68,37 @@ def join_labels(df: DataFrame, labels: DataFrame, on=("patient_id", "DateTime"))
     on = list(on)
     rest = [c for c in labels.columns if c not in on]
     one = labels.groupBy(*on).agg(F.min(F.struct(*rest)).alias("_label")).select(*on, "_label.*")
-    if df.isStreaming:  # every micro-batch reads the labels again: they are reduced and written once
-        one = materialize(one, "labels")
+    if df.isStreaming:  # every micro-batch reads the labels again: they are reduced, dealt and sorted once
+        one = bucketed(one, on, "labels")
     return join_skewed(df, one, on, "left")
 
 
+def bucketed(df: DataFrame, on, purpose: str) -> DataFrame:
+    """`df` as a written table in buckets by `on`, as many as a shuffle has partitions: joins by `on` need not deal it out again."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, *on).write.bucketBy(buckets, *on).sortBy(*on).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def join_label_stream(df: DataFrame, labels: DataFrame, delay: str, on=("patient_id",), time="DateTime") -> DataFrame:
+    """Readings of a stream with the truth labels of another stream that have their key and time; columns of `labels` besides these
+    are added.
+
+    A reading waits for its label until the watermark of both streams (`delay` behind the newest row of each, the slower one counts) has passed
+    it; one without a label comes out once, with nulls. Of several labels for one reading the first to arrive counts. Rows of
+    either stream that come later than that are dropped and counted. State holds what came within the delay.
+    """
+    keys = [*on, time]
+    added = [c for c in labels.columns if c not in keys]
+    right = labels.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys).select(*[F.col(c).alias(f"_{c}") for c in keys], *added)
+    left = df.withWatermark(time, delay)
+    same = [F.col(c) == F.col(f"_{c}") for c in keys]
+    return left.join(right, reduce(lambda a, b: a & b, same), "left_outer").select(*df.columns, *added)
+
+
 def join_forecast(forecast, actual, value, tolerance=None, by=KEY, target="target_time", time="DateTime",
                   tie="reading_id", max_rows=None) -> DataFrame:
     """Attach the actual `value` (and `actual_time`) to each forecast.

@@ -10,7 +10,7 @@ from pulseloom.ml import bayes, cluster, iforest, knn, ocsvm, trees, vote
 from pulseloom.ml.forecast import DirectModel
 from pulseloom.operators.clean import dedup, split_hash
 from pulseloom.operators import sketch
-from pulseloom.operators.joins import join_labels
+from pulseloom.operators.joins import join_label_stream, join_labels
 from pulseloom.plans.base import query
 from pulseloom.plans.profiling import _sketch_sql as sketch_sql
 from pulseloom.plans.vitals import (
@@ -293,6 +293,15 @@ def stream_label_join(spark, sf):
     return appended(spark, joined.select("reading_id", "Class"), "labels")
 
 
+@query("stream_truth_join", cte() + f"SELECT reading_id, CASE WHEN reading_id%3=0 THEN NULL ELSE {level_sql()} END AS Class FROM vitals")
+def stream_truth_join(spark, sf):
+    """Readings beside labels that arrive as a stream of their own, some of them late, a third of them never."""
+    s = stream(spark, sf, closing=True).select("patient_id", "DateTime", "reading_id")
+    truth = stream(spark, sf, late=True, closing=True).filter("coalesce(reading_id % 3 <> 0, true)")
+    joined = join_label_stream(s, truth.select("patient_id", "DateTime", rules.bp_level("SBP", "DBP").alias("Class")), DELAY)
+    return appended(spark, joined.select("reading_id", "Class"), "truth").filter("reading_id is not null")
+
+
 @query(
     "stream_fan_out",
     cte() + "SELECT 'levels' AS sink, count(*) AS n, round(sum(SBP),3) AS total FROM vitals "

@@ -217,3 +217,90 @@ def test_small_models_survive_saving(spark, blobs, tmp_path):
         store.save(spark, m, str(tmp_path / name))
         again = store.load(spark, str(tmp_path / name))
         assert spark_rows(again.transform(blobs)) == spark_rows(m.transform(blobs))
+
+
+def test_shortest_mix_is_the_nearest_point_of_the_hull():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5, 20):
+        v = rng.normal(size=(n, 6)) + rng.normal(size=6)
+        w = ocsvm.shortest_mix(v)
+        x = w @ v
+        assert w.min() >= 0 and w.sum() == pytest.approx(1)
+        assert (v @ x >= x @ x - 1e-9).all()  # no vertex lies on the near side of the plane through x
+    copies = np.tile([1.0, 2.0], (4, 1))
+    assert ocsvm.shortest_mix(copies) @ copies == pytest.approx([1.0, 2.0])
+
+
+def test_one_class_fit_needs_few_passes(spark, blobs, monkeypatch):
+    """At most eight steps beside the first sum and two zooms, whatever the number of models."""
+    frame, passes = type(blobs), []
+    run = frame.mapInPandas
+    monkeypatch.setattr(frame, "mapInPandas", lambda self, *a, **b: (passes.append(1), run(self, *a, **b))[1])
+    nus = (0.1, 0.3, 0.5)
+    models = ocsvm.one_class_svms(blobs, nus, gamma=0.01)
+    assert len(passes) <= 11
+    for nu, m in zip(nus, models):
+        assert abs(m.transform(blobs).filter("prediction = -1").count() / 405 - nu) < 0.02
+
+
+@pytest.mark.parametrize("k,metric", [(4, "euclidean"), (4, "manhattan"), (40, "euclidean")])
+def test_knn_from_the_own_cell_outwards(spark, k, metric):
+    """An even table with gaps: most queries end in their ring, some open more cells, a few walk down; all equal brute force."""
+    rng = np.random.default_rng(8)
+    spots = rng.integers(0, 4000, (1500, 2)) / 10
+    spots = spots[(spots[:, 0] < 150) | (spots[:, 0] > 260)]
+    rows = [(i, float(a), float(b), int(rng.integers(0, 2))) for i, (a, b) in enumerate(spots)]
+    reference = spark.createDataFrame(rows, "reading_id long, SBP double, DBP double, label int").cache()
+    asked = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(rng.integers(-300, 4300, (150, 2)) / 10)], "reading_id long, SBP double, DBP double")
+    ready = knn.prepare(reference)
+    assert ready.locations.groupBy("cx", "cy").count().agg(F.avg("count")).first()[0] <= 2 * knn.FEW
+    got = {r["reading_id"]: (r["prediction"], r["share"]) for r in knn.knn_classify(asked, ready, k=k, metric=metric).collect()}
+    want = brute(asked, reference, k, metric)
+    assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
+
+
+def test_kernel_machine_separates_a_ring_from_its_centre(spark, tmp_path):
+    from pulseloom.ml import store
+
+    rng = np.random.default_rng(3)
+    angle, far = rng.uniform(0, 2 * np.pi, 600), np.arange(600) % 2
+    radius = np.where(far, rng.normal(30, 2, 600), rng.normal(0, 5, 600))
+    rows = [(i, float(130 + r * np.cos(a)), float(80 + r * np.sin(a)), int(y)) for i, (r, a, y) in enumerate(zip(radius, angle, far))]
+    df = spark.createDataFrame(rows, "reading_id long, SBP double, DBP double, label int").repartition(3).cache()
+    right = lambda m: m.transform(df).filter("prediction = label").count() / 600
+    assert right(trees.support_vector(df, ("SBP", "DBP"))) < 0.8
+    model = trees.support_vector(df, ("SBP", "DBP"), kernel="rbf", reg=1e-3)
+    assert right(model) > 0.98
+    p = model.transform(df).groupBy("label").agg(F.avg(F.col("probability")[1]).alias("p")).orderBy("label").collect()
+    assert p[0]["p"] < 0.15 and p[1]["p"] > 0.85
+    store.save(spark, model, str(tmp_path / "svc"))
+    assert spark_rows(store.load(spark, str(tmp_path / "svc")).transform(df).select("reading_id", "prediction")) == spark_rows(model.transform(df).select("reading_id", "prediction"))
+    with pytest.raises(ValueError):
+        trees.support_vector(df, ("SBP", "DBP"), kernel="cubic")
+
+
+def test_smoothings_cost_two_passes(spark, blobs, monkeypatch):
+    """The same accuracies as by fitting a model for every fold and smoothing."""
+    cols, smoothings = ("SBP", "DBP"), [1e-9, 0.1, 3.0]
+    parts = blobs.withColumn("f", F.col("reading_id") % 3).cache()
+    want = {}
+    for s in smoothings:
+        shares = []
+        for f in range(3):
+            scored = bayes.gaussian_nb(parts.filter(F.col("f") != f), cols, smoothing=s).transform(parts.filter(F.col("f") == f))
+            shares.append(scored.agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0])
+        want[s] = sum(shares) / 3
+    frame, reads = type(blobs), []
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (reads.append(1), collect(self))[1])
+    assert bayes.smoothing_search(parts, cols, smoothings, "f") == pytest.approx(want)
+    assert len(reads) == 2
+
+
+def test_search_over_several_models(blobs):
+    spaces = {"bayes": (None, {"smoothing": [1e-9, 1e-3]}), "tree": (trees.decision_tree, {"maxDepth": [1, 2, 3]}), "knn": (None, {"k": [1, 3]})}
+    table = {(r["model"], r["params"]): r["accuracy"] for r in search.search_models(blobs, spaces, ["SBP", "DBP"], folds=2, limit=2).collect()}
+    again = {(r["model"], r["params"]): r["accuracy"] for r in search.search_models(blobs.repartition(3), spaces, ["SBP", "DBP"], folds=2, limit=2).collect()}
+    assert table == pytest.approx(again) and len(table) == 6 and min(table.values()) > 0.9
+    with pytest.raises(ValueError):
+        search.search_models(blobs.drop("label"), spaces, ["SBP", "DBP"])

@@ -169,6 +169,33 @@ def test_selectors_and_windows(spark):
     assert sum(share.values()) == pytest.approx(1)
 
 
+def test_sketches_add_up_and_shuffle_few_rows(spark):
+    """The sketch of all rows is the sum of the sketches of their parts; a task gives at most depth x width cells."""
+    df = spark.range(20_000).selectExpr("concat('i', id * id % 7919) c", "id % 4 p").repartition(5).cache()
+    whole = {(r["row"], r["bucket"]): r["total"] for r in sketch.count_sketch(df, "c").collect()}
+    parts = sketch.add(*[sketch.count_sketch(df.filter(F.col("p") == p), "c") for p in range(4)])
+    assert {(r["row"], r["bucket"]): r["total"] for r in parts.collect()} == whole
+    plan = sketch.count_sketch(df, "c")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(row") == 1 and "partial_sum" in plan
+    assert sketch.count_sketch(spark.createDataFrame([(None,)], "c string"), "c").count() == 0
+
+
+def test_last_shares_within_a_monitor(spark):
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    rows = [(1, "TP", 1.0, at(1)), (1, "TP", 3.0, at(2)), (1, "TN", 1.0, at(2)), (2, "TP", 5.0, at(3)), (None, "TN", 0.0, at(1)), (None, "TP", None, at(2))]
+    p = spark.createDataFrame(rows, "monitor long, field string, value double, time timestamp")
+    got = {(r["monitor"], r["field"]): (r["value"], r["share"]) for r in selectors.last_share(p, within=("monitor",)).collect()}
+    assert got == {(1, "TP"): (3.0, 0.75), (1, "TN"): (1.0, 0.25), (2, "TP"): (5.0, 1.0), (None, "TN"): (0.0, None)}
+    assert {r["field"]: r["value"] for r in selectors.last_share(p).collect()} == {"TP": 5.0, "TN": 1.0}
+
+
+def test_bucketed_labels_are_not_shuffled(spark):
+    labels = spark.range(1000).selectExpr("id patient_id", "id % 5 Class").repartition(3)
+    table = joins.bucketed(labels, ["patient_id"], "labels")
+    plan = spark.range(500).selectExpr("id patient_id").repartition(4).hint("merge").join(table, "patient_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and table.count() == 1000
+
+
 def test_count_sketch_is_exact_without_collisions(spark):
     df = spark.createDataFrame([("a",)] * 7 + [("b",)] * 2, "c string")
     got = {r["c"]: r["estimate"] for r in sketch.estimate(sketch.count_sketch(df, "c", width=4096), df, "c", width=4096).collect()}

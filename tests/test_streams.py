@@ -226,6 +226,21 @@ def test_a_late_reading_changes_the_windows_after_it(spark, tmp_path, rocksdb):
     assert tuple(counts) == (11, 1)
 
 
+def test_truth_that_arrives_as_a_stream(spark, tmp_path):
+    """Late truth inside the delay is joined, of several the first; missing truth gives one row; so does a reading without a key."""
+    from pulseloom.operators.joins import join_label_stream
+
+    readings = [[(1, 1, minute(1)), (1, 2, minute(2)), (None, 3, minute(2))], [(1, 4, minute(50)), (2, 5, minute(50))], [(None, None, minute(900))], [(None, None, minute(2000))]]
+    truth = [[(1, minute(1), "a")], [(1, minute(2), "b"), (1, minute(50), "c"), (1, minute(50), "d")], [(None, minute(900), "z")], [(1, minute(3), "late"), (None, minute(2000), "z")]]
+    for name, batches, schema in (("r", readings, "patient_id long, reading_id long, DateTime timestamp"), ("t", truth, "patient_id long, DateTime timestamp, Class string")):
+        for batch in batches:
+            spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/{name}")
+    r, t = (stream_vitals(spark, "parquet", {"path": f"{tmp_path}/{n}", "maxFilesPerTrigger": "1"}, spark.read.parquet(f"{tmp_path}/{n}").schema) for n in "rt")
+    out = run(spark, join_label_stream(r, t, "2 hours"), tmp_path, "truth").filter("reading_id is not null").collect()
+    got = sorted((x["reading_id"], x["Class"]) for x in out)
+    assert [i for i, _ in got] == [1, 2, 3, 4, 5] and dict(got) | {4: "c"} == {1: "a", 2: "b", 3: None, 4: "c", 5: None} and dict(got)[4] in ("c", "d")
+
+
 def test_unreadable_values_are_on_record(spark):
     from pulseloom.sources.codecs import dead_letters
 
