@@ -401,7 +401,7 @@ def score(docs: DataFrame, order: int = ORDER, mu: float = MU, block: int = BLOC
     # a fixed number of partitions: the rows are small, but a block is much work, so tasks must not be put together by size
     asked = blocks.repartition(n_blocks, "block").mapInArrow(first, _QUESTION)
     for k in range(1, order + 1):
-        answers = asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_answer, _ANSWER)
+        answers = asked.repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(_answer, _ANSWER)
         if k == 1:
             answers = materialize(answers, "ngram-words")
             n_words = answers.agg(F.sum("different")).first()[0] or 0
