@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -155,6 +156,20 @@ def text_of(page):
     return html_runs.main_text(html_runs.blocks_of(page), [])
 
 
+def test_pages_without_ends_take_one_pass():
+    """A megabyte of tags that never end, of end tags nobody opened, and what stands after the last end of a tag."""
+    for page in ("x <b " * 200_000, "<b>" * 150_000 + "</i>" * 150_000, "a > b " + "<x " * 300_000, "<div>" * 100_000 + "</div>" * 100_000):
+        start = time.perf_counter()
+        html_runs.blocks_of(page)
+        assert time.perf_counter() - start < 10
+    assert html_runs.blocks_of("<p>a > b <x y") == [(html_runs.OPEN, "a > b <x y")]
+    for tail in ("<!-- c", "<!-- c > d", "<!-- <p>c</p> d"):
+        assert html_runs.blocks_of("<p>text</p>" + tail) == [(html_runs.OPEN, "text")]
+    for tail in ("<![CDATA[c", "<![CDATA[c > <b>d", "<![CDATA[c]]>"):
+        assert html_runs.blocks_of("<p>text " + tail)[0][1] == "text " + tail[9:].removesuffix("]]>")
+    assert [t for _, t in html_runs.blocks_of("<div><b>one</i></b><p>two</div>three")] == ["one", "two", "three"]
+
+
 def test_wrappers_named_like_boilerplate_keep_the_article():
     story = "<p>A whole story of more than six words.</p>"
     want = "A whole story of more than six words."
