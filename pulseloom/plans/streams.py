@@ -27,6 +27,8 @@ DELAY = "2 hours"
 
 
 PARTS = 5
+#: Readings that a file of a stream holds about; a task reads whole files.
+FILE_ROWS = 50_000
 
 
 def stream(spark, sf, copies=False, late=False, closing=False):
@@ -56,20 +58,27 @@ def stream(spark, sf, copies=False, late=False, closing=False):
 
 
 def feed(spark, rows, part, parts):
-    """`rows` as a stream that reads one part after the other, each in a micro-batch of its own. Files are read in the order of their times."""
-    root, files = shared_dir(spark, "feed"), max(1, spark.sparkContext.defaultParallelism // PARTS)
+    """`rows` as a stream that reads one part after the other, each in a micro-batch of its own. Files are read in the order of their times.
+
+    A part has more files the more rows it has, so that what one task sorts and writes does not grow with the input.
+    """
+    most = max((r[0] for r in rows.groupBy(part).agg(F.count(F.lit(1))).select("count(1)").collect()), default=0)  # a row per part
+    root, files = shared_dir(spark, "feed"), max(1, spark.sparkContext.defaultParallelism // PARTS, -(-most // FILE_ROWS))
     place = F.col(part) * files + F.pmod(F.xxhash64(*[c for c in rows.columns if c != part]), F.lit(files))
     placed = rows.repartitionById(parts * files, place.cast("int")).withColumnRenamed(part, "part")
     placed.write.partitionBy("part").parquet(root)
+    schema = rows.drop(part).schema
     began = int(time.time() * 1000) - 10_000 * parts
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
     disk = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    for folder in disk.listStatus(where):
+    folders = sorted((f for f in disk.listStatus(where) if f.getPath().getName().startswith("part=")), key=lambda f: int(f.getPath().getName()[5:]))
+    for folder in folders:
         name = folder.getPath().getName()
-        if name.startswith("part="):
-            for f in disk.listStatus(folder.getPath()):
-                disk.setTimes(f.getPath(), began + 10_000 * int(name[5:]), -1)
-    schema = rows.drop(part).schema
+        if folder is not folders[-1]:  # a part of few rows gets empty files, so that no micro-batch begins the next one
+            for _ in range(files - sum(f.getPath().getName().endswith(".parquet") for f in disk.listStatus(folder.getPath()))):
+                spark.createDataFrame([], schema).coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+        for f in disk.listStatus(folder.getPath()):
+            disk.setTimes(f.getPath(), began + 10_000 * int(name[5:]), -1)
     return stream_vitals(spark, "parquet", {"path": f"{root}/*", "maxFilesPerTrigger": str(files)}, schema)
 
 

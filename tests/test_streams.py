@@ -191,6 +191,23 @@ def test_forecasts_in_event_time_order(spark, sf, tmp_path, rocksdb, monkeypatch
     assert spark_rows(want.filter("k = 3").drop("k")) == spark_rows(out.selectExpr("reading_id", "round(SBP_15, 6) s", "round(DBP_30, 6) d"))
 
 
+def test_files_of_a_stream_hold_few_rows(spark, sf, tmp_path, monkeypatch):
+    """The more rows a part has, the more files it has; a part is a micro-batch all the same."""
+    from pulseloom.plans import streams
+
+    monkeypatch.setattr(streams, "FILE_ROWS", 20)
+    monkeypatch.setattr(streams, "shared_dir", lambda spark, purpose: str(tmp_path / purpose))
+    v = vitals(spark, sf)
+    out = streams.feed(spark, v.withColumn("_part", F.when(F.col("reading_id") < 3, 1).otherwise(F.when(F.col("reading_id") % 2 == 0, 0).otherwise(2))), "_part", 3)
+    written = spark.read.parquet(str(tmp_path / "feed")).groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+    assert written < 3 * 20
+    seen = []
+    q = out.writeStream.foreachBatch(lambda b, i: seen.append(b.count())).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    n = v.count()
+    assert seen == [v.filter("reading_id >= 3 and reading_id % 2 = 0").count(), 3, n - 3 - v.filter("reading_id >= 3 and reading_id % 2 = 0").count()]
+
+
 def test_scaling_equals_running_minmax(spark, sf, tmp_path, rocksdb):
     """The model sees what `running_minmax` says of the batch, and `unscale` undoes it."""
     from pulseloom.operators.timeseries import running_minmax, unscale
