@@ -9,10 +9,11 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseloom.ml import kernel as fourier
 from pulseloom.ml.features import assemble, kept
 from pulseloom.operators.clean import hash_bucket
 
@@ -66,7 +67,7 @@ def decision_tree(df, cols, label="label", seed=42, **params) -> Classifier:
 
 @dataclass
 class SupportVectorModel:
-    """With `directions` and `phases` the machine stands behind a random Fourier map of the standardised features."""
+    """With `directions`, `phases`, `weights` and `intercept` the machine stands behind a random Fourier map of the standardised features."""
 
     scaler: object
     svc: object
@@ -74,29 +75,38 @@ class SupportVectorModel:
     cols: tuple
     directions: list | None = None
     phases: list | None = None
+    weights: list | None = None
+    intercept: float = 0.0
 
     def transform(self, df: DataFrame) -> DataFrame:
-        scaled = self.scaler.transform(assemble(df, self.cols))
-        margins = _margins(self.svc, fourier_map(scaled, self.directions, self.phases) if self.directions else scaled)
+        if self.directions:
+            margins = self._kernel_margins(df)
+        else:
+            margins = _margins(self.svc, self.scaler.transform(assemble(df, self.cols)))
         out = self.platt.transform(assemble(margins, ["_margin"], "_m"))
         keep = [*df.columns, F.col("_svc").cast("int").alias("prediction")]
         return out.select(*keep, vector_to_array("_platt").alias("probability"))
 
+    def _kernel_margins(self, df: DataFrame) -> DataFrame:
+        d, p, w, b = np.array(self.directions), np.array(self.phases), np.array(self.weights), self.intercept
+        mean, factor = _standardising(self.scaler)
 
-def _margins(svc, df):
-    return svc.transform(df).withColumn("_margin", vector_to_array("_raw")[1])
+        @F.pandas_udf("double")
+        def margin(*columns: pd.Series) -> pd.Series:
+            x = (np.column_stack([c.to_numpy(dtype=float) for c in columns]) - mean) * factor
+            return pd.Series(fourier.cosines(x, d, p) @ w + b)
+
+        return df.dropna(subset=list(self.cols)).withColumn("_margin", margin(*self.cols)).withColumn("_svc", (F.col("_margin") > 0).cast("int"))
 
 
-def fourier_map(scaled: DataFrame, directions: list, phases: list) -> DataFrame:
-    """`_scaled` replaced by cosines whose inner products are close to an RBF kernel (Rahimi, Recht 2007)."""
-    d, p = np.array(directions), np.array(phases)
+def _margins(svc, df):
+    return svc.transform(df).withColumn("_margin", vector_to_array("_raw")[1])
 
-    @F.pandas_udf("array<double>")
-    def cosines(x: pd.Series) -> pd.Series:
-        flat = np.stack(x.to_numpy()) if len(x) else np.zeros((0, d.shape[1]))
-        return pd.Series(list(np.cos(flat @ d.T + p) * math.sqrt(2 / len(p))))
 
-    return scaled.withColumn("_scaled", array_to_vector(cosines(vector_to_array("_scaled"))))
+def _standardising(scaler):
+    """Means and factors of a fitted scaler; a constant column has the factor 0."""
+    std = scaler.std.toArray()
+    return scaler.mean.toArray(), np.where(std > 0, 1 / np.where(std > 0, std, 1), 0.0)
 
 
 def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_id", seed=42, kernel="linear", gamma=0.5, width=256) -> SupportVectorModel:
@@ -108,18 +118,15 @@ def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_
     The curve is fitted to margins of rows the machine behind them has not learned from: of two halves, dealt by a hash of
     `key`, each is judged by a machine fitted to the other. Without such a column it is fitted to the training margins.
     """
+    if kernel not in ("linear", "rbf"):
+        raise ValueError(kernel)
     half = hash_bucket(key, seed, 2) if key in df.columns else F.lit(0)
     with kept(df.select(*cols, F.col(label).cast("double").alias("label"), half.cast("int").alias("half"))) as rows:
         data = assemble(rows, cols)
         scaler = StandardScaler(inputCol="features", outputCol="_scaled", withMean=True).fit(data)
-        scaled, directions, phases = scaler.transform(data), None, None
         if kernel == "rbf":
-            rng = np.random.default_rng(seed)
-            directions = (rng.normal(size=(width, len(cols))) * math.sqrt(2 * gamma)).tolist()
-            phases = rng.uniform(0, 2 * math.pi, width).tolist()
-            scaled = fourier_map(scaled, directions, phases)
-        elif kernel != "linear":
-            raise ValueError(kernel)
+            return _kernel_machine(rows, scaler, cols, reg, max_iter, seed, gamma, width)
+        scaled = scaler.transform(data)
         machine = LinearSVC(featuresCol="_scaled", rawPredictionCol="_raw", predictionCol="_svc", regParam=reg, maxIter=max_iter)
         svc = machine.fit(scaled)
         margins = _margins(svc, scaled)
@@ -127,6 +134,24 @@ def support_vector(df, cols, label="label", reg=0.01, max_iter=20, key="reading_
         if rows.groupBy("half").agg(F.countDistinct("label").alias("n")).filter("n = 2").count() == 2:
             judged = [_margins(machine.fit(scaled.filter(F.col("half") != h)), scaled.filter(F.col("half") == h)).select("_margin", "label") for h in (0, 1)]
             margins = judged[0].unionByName(judged[1])
-        curve = LogisticRegression(featuresCol="_m", probabilityCol="_platt", rawPredictionCol="_pr", predictionCol="_pp", maxIter=max_iter)
-        platt = curve.fit(assemble(margins, ["_margin"], "_m").select("_m", "label"))
-    return SupportVectorModel(scaler, svc, platt, tuple(cols), directions, phases)
+        return SupportVectorModel(scaler, svc, _curve(margins, max_iter), tuple(cols))
+
+
+def _curve(margins: DataFrame, max_iter: int):
+    curve = LogisticRegression(featuresCol="_m", probabilityCol="_platt", rawPredictionCol="_pr", predictionCol="_pp", maxIter=max_iter)
+    return curve.fit(assemble(margins, ["_margin"], "_m").select("_m", "label"))
+
+
+def _kernel_machine(rows, scaler, cols, reg, max_iter, seed, gamma, width) -> SupportVectorModel:
+    rng = np.random.default_rng(seed)
+    directions = rng.normal(size=(width, len(cols))) * math.sqrt(2 * gamma)
+    phases = rng.uniform(0, 2 * math.pi, width)
+    mean, factor = _standardising(scaler)
+    # every pass reads all rows, whose files may be few
+    spread = rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism)
+    with kept(fourier.blocks(spread, cols, mean, factor)) as data:
+        fitted = fourier.machines(data, directions, phases, reg, max_iter)
+        with kept(fourier.margins(data, directions, phases, fitted)) as margins:
+            platt = _curve(margins, max_iter)
+    weights, intercept = fitted[0]
+    return SupportVectorModel(scaler, None, platt, tuple(cols), directions.tolist(), phases.tolist(), weights.tolist(), intercept)
