@@ -191,6 +191,19 @@ def test_forecasts_in_event_time_order(spark, sf, tmp_path, rocksdb, monkeypatch
     assert spark_rows(want.filter("k = 3").drop("k")) == spark_rows(out.selectExpr("reading_id", "round(SBP_15, 6) s", "round(DBP_30, 6) d"))
 
 
+@pytest.mark.parametrize("scaled", [False, True])
+def test_patients_of_a_bucket_are_forecast_apart(spark, sf, tmp_path, rocksdb, monkeypatch, scaled):
+    """Any number of patients share the calls of the state store: one bucket or many give the same rows."""
+    v = vitals(spark, sf).select("patient_id", "reading_id", "DateTime", "SBP", "DBP")
+    v.unionByName(spark.createDataFrame([(None, None, dt.datetime(2025, 1, 1), None, None)], READING)).repartition(3).write.parquet(str(tmp_path / "in"))
+    got = []
+    for buckets in (1, 7):
+        src = stream_vitals(spark, "parquet", {"path": str(tmp_path / "in")}, v.schema)
+        made = stateful.forecast_stream(src, mean_model(2), scaled=scaled, buckets=buckets)
+        got.append(run(spark, made, tmp_path, f"fc{buckets}").selectExpr("patient_id", "reading_id", "ts_us", "round(SBP_15, 6)", "round(DBP_30, 6)"))
+    assert got[0].count() > 0 and spark_rows(got[0]) == spark_rows(got[1])
+
+
 def test_files_of_a_stream_hold_few_rows(spark, sf, tmp_path, monkeypatch):
     """The more rows a part has, the more files it has; a part is a micro-batch all the same."""
     from pulseloom.plans import streams
