@@ -1,7 +1,7 @@
 """Exact k-nearest-neighbour classification without forming all pairs.
 
 Reference rows are merged into weighted locations in square cells of a few locations each. A query location opens its own cell
-and the ring of eight around it. If its k-th nearest row there is no farther than the opened square's edge, that is the answer;
+and the ring of eight around it, which are kept together as one list, so that it meets one row and nothing is sorted but that list. If its k-th nearest row there is no farther than the opened square's edge, that is the answer;
 otherwise it opens just the cells that reach within that distance. Locations with fewer than k rows around them, at gaps and far
 outside, walk down a pyramid of cell counts instead and keep only the cells that can hold one of their k nearest: cells farther away than a
 distance within which k rows are already known to lie are dropped. Dense areas are refined further, so a crowded cell is never
@@ -36,7 +36,8 @@ def _norm(dx, dy, metric):
 @dataclass
 class Reference:
     """Reference rows made ready: merged locations with the indices of their finest cell, its level, the cells' geometry, and the
-    counts of the cells of some levels, of which the coarsest has at most 64."""
+    counts of the cells of some levels, of which the coarsest has at most 64. `rings` has the locations of every cell and the eight around
+    it as one list."""
 
     locations: DataFrame
     level: int
@@ -46,6 +47,7 @@ class Reference:
     pyramid: DataFrame
     levels: list
     start: list
+    rings: DataFrame | None = None
 
 
 def prepare(reference: DataFrame, cols=("SBP", "DBP"), label="label") -> Reference:
@@ -79,7 +81,14 @@ def prepare(reference: DataFrame, cols=("SBP", "DBP"), label="label") -> Referen
     counts = locations.select("n", F.inline(F.array(*up))).groupBy("level", "cx", "cy").agg(F.sum("n").alias("n"))
     pyramid = materialize(counts, "knn-pyramid")
     start = [tuple(r) for r in pyramid.filter(F.col("level") == START_LEVEL).select("cx", "cy", "n").collect()]
-    return Reference(locations, level, (x0, y0, size), tuple(cols), label, pyramid, levels, start)
+    return Reference(locations, level, (x0, y0, size), tuple(cols), label, pyramid, levels, start, materialize(ringed(locations), "knn-rings"))
+
+
+def ringed(locations: DataFrame) -> DataFrame:
+    """(cx, cy, spots): the locations in a cell and the eight around it, nine finest cells at most."""
+    cells = locations.groupBy("cx", "cy").agg(F.collect_list(F.struct("x", "y", "label", "n")).alias("own"))
+    steps = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    return cells.select("own", F.inline(steps)).groupBy("cx", "cy").agg(F.flatten(F.collect_list("own")).alias("spots"))
 
 
 def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean") -> DataFrame:
@@ -89,49 +98,62 @@ def nearest(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k
     smaller label comes first.
     """
     ready = reference if isinstance(reference, Reference) else prepare(reference, cols, label)
+    return _rooted(search(queries, ready, cols, k, metric), metric)
+
+
+def _rooted(near: DataFrame, metric: str) -> DataFrame:
+    return near.withColumn("d", F.sqrt("d") if metric == "euclidean" else F.col("d"))
+
+
+def search(queries: DataFrame, ready: Reference, cols=("SBP", "DBP"), k=5, metric="euclidean") -> DataFrame:
+    """As `nearest`, with squared distances if Euclidean."""
     asked = queries.select(F.col(cols[0]).alias("qx"), F.col(cols[1]).alias("qy")).dropna().distinct()
-    first = materialize(own_ring(asked, ready, k, metric), "knn-ring")
     w = ready.geometry[2] / (1 << ready.level)
     far = 16 * w * w if metric == "euclidean" else 4 * w  # farther away only for queries outside the table's square
-    state = first.groupBy("qx", "qy", "cx", "cy").agg(F.max("d").alias("kth"), F.sum("n").alias("have"))
+    kth, have = F.element_at("found", -1)["d"], F.aggregate("found", F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    first = own_ring(asked, ready, k, metric).select("*", F.when(F.size("found") > 0, kth).alias("kth"), have.alias("have"))
     enough = (F.col("have") >= k) & (F.col("kth") <= far * (1 + 1e-9))
     step = F.when(~F.coalesce(enough, F.lit(False)), F.lit("down")).when(F.col("kth") > edge(ready, metric), F.lit("wide")).otherwise(F.lit("done"))
-    state = materialize(asked.join(state, ["qx", "qy"], "left").select("qx", "qy", "kth", step.alias("step")), "knn-state")
+    state = materialize(first.withColumn("step", step).drop("have"), "knn-ring")
     steps = {r.step for r in state.select("step").distinct().collect()}
-    near = first.join(state.filter("step = 'done'").select("qx", "qy"), ["qx", "qy"], "left_semi").select(*_FOUND) if steps != {"done"} else first.select(*_FOUND)
+    near = state.filter("step = 'done'").select("qx", "qy", F.inline("found"))
     if "wide" in steps:
-        near = near.unionByName(wider(state.filter("step = 'wide'"), ready, k, metric))
+        near = near.unionByName(wider(state.filter("step = 'wide'").drop("found"), ready, k, metric))
     if "down" in steps:
         near = near.unionByName(descend(state.filter("step = 'down'").select("qx", "qy"), ready, k, metric))
-    return near.withColumn("d", F.sqrt("d") if metric == "euclidean" else F.col("d"))
-
+    return near
 
-_FOUND = ("qx", "qy", "d", "label", "n")
 
-
-def _taken(found: DataFrame, k: int, also=()) -> DataFrame:
+def _taken(found: DataFrame, k: int) -> DataFrame:
     """The k nearest rows of every query among `found`; a location counts with as many rows as are still wanted."""
     here = Window.partitionBy("qx", "qy").orderBy("d", "label")
     before = F.coalesce(F.sum("n").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return found.withColumn("take", F.least(F.col("n"), k - before)).filter("take > 0").select("qx", "qy", *also, "d", "label", F.col("take").alias("n"))
+    return found.withColumn("take", F.least(F.col("n"), k - before)).filter("take > 0").select("qx", "qy", "d", "label", F.col("take").alias("n"))
 
 
-def _distance(metric):
-    return _norm(F.abs(F.col("qx") - F.col("x")), F.abs(F.col("qy") - F.col("y")), metric)
+def _distance(metric, spot=None):
+    x, y = (F.col("x"), F.col("y")) if spot is None else (spot["x"], spot["y"])
+    return _norm(F.abs(F.col("qx") - x), F.abs(F.col("qy") - y), metric)
 
 
 def own_ring(asked: DataFrame, ready: Reference, k: int, metric: str) -> DataFrame:
-    """The k nearest rows of every query location among its own cell and the eight around it, with the cell."""
+    """Every query location with its cell and `found`, the k nearest rows in it and the eight around it; null if they are all empty."""
     x0, y0, size = ready.geometry
     last, w = (1 << ready.level) - 1, size / (1 << ready.level)
 
     def at(c, lo):
         return F.greatest(F.lit(0), F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(w)), F.lit(last)))
 
-    placed = asked.withColumn("hx", at("qx", x0)).withColumn("hy", at("qy", y0))
-    steps = F.array(*[F.struct((F.col("hx") + i).alias("cx"), (F.col("hy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    found = placed.select("qx", "qy", "hx", "hy", F.inline(steps)).join(ready.locations, ["cx", "cy"]).withColumn("d", _distance(metric))
-    return _taken(found, k, ("hx", "hy")).withColumnsRenamed({"hx": "cx", "hy": "cy"})
+    placed = asked.withColumn("cx", at("qx", x0)).withColumn("cy", at("qy", y0))
+    rings = ready.rings if ready.rings is not None else ringed(ready.locations)
+    spots = F.transform("spots", lambda s: F.struct(_distance(metric, s).alias("d"), s["label"].alias("label"), s["n"].alias("n")))
+    found = placed.join(rings, ["cx", "cy"], "left").select("qx", "qy", "cx", "cy", F.slice(F.sort_array(spots), 1, k).alias("found"))
+
+    def cut(s, i):
+        before = F.aggregate(F.slice("found", F.lit(1), i), F.lit(0).cast("long"), lambda a, t: a + t["n"])
+        return F.struct(s["d"].alias("d"), s["label"].alias("label"), F.least(s["n"], k - before).alias("n"))
+
+    return found.withColumn("found", F.filter(F.transform("found", cut), lambda s: s["n"] > 0))
 
 
 def edge(ready: Reference, metric: str):
@@ -202,9 +224,12 @@ def descend(asked: DataFrame, ready: Reference, k: int, metric: str) -> DataFram
 
 
 def knn_classify(queries: DataFrame, reference, cols=("SBP", "DBP"), label="label", k=5, metric="euclidean",
-                 weights="uniform") -> DataFrame:
-    """`queries` plus `prediction` and `share`, its part of the votes (smaller label on a tie)."""
-    near = nearest(queries, reference, cols, label, k, metric)
+                 weights="uniform", found=None) -> DataFrame:
+    """`queries` plus `prediction` and `share`, its part of the votes (smaller label on a tie).
+
+    `found` is what `search` returned for these queries and this metric with as many neighbours or more; fewer are read from it.
+    """
+    near = nearest(queries, reference, cols, label, k, metric) if found is None else _rooted(_taken(found, k), metric)
     if weights == "distance":
         # neighbours at the very spot outvote all others
         touching = F.min("d").over(Window.partitionBy("qx", "qy")) == 0

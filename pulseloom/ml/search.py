@@ -69,8 +69,8 @@ def search_models(df: DataFrame, spaces: dict, cols, label="label", key="reading
 
     `spaces` has for each name a function `fit(train, cols, **params)` of a model and its values. All are compared on one written
     table of folds, which depend on the row key alone; a fold's test part is read once for all models and parameter sets. The smoothings of
-    naive Bayes (name `bayes`, no function) cost two passes for all folds, the neighbours (name `knn`, values k and metric) one search per
-    fold and set on reference rows prepared once per fold.
+    naive Bayes (name `bayes`, no function) cost two passes for all folds, the neighbours (name `knn`, values k, metric and weights) one
+    search per fold and metric, for the largest k, from which the sets read theirs; equal test rows are judged once.
     """
     if label not in df.columns:
         raise ValueError("a search needs labels")
@@ -82,7 +82,9 @@ def search_models(df: DataFrame, spaces: dict, cols, label="label", key="reading
 
     chosen = {name: sets(values) for name, (_, values) in spaces.items()}
     text = lambda m: ",".join(f"{k}={v}" for k, v in m.items())
-    rows = materialize(df.select(key, *cols, label, hash_bucket(key, seed, folds).cast("int").alias("_fold")), "folds")
+    # the files of small columns may be few, and every fit reads them with as many tasks
+    spread = df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, key)
+    rows = materialize(spread.select(key, *cols, label, hash_bucket(key, seed, folds).cast("int").alias("_fold")), "folds")
     found: dict[tuple[str, str], list] = {}
     if "bayes" in chosen:
         smoothings = [m["smoothing"] for m in chosen["bayes"]]
@@ -104,9 +106,15 @@ def search_models(df: DataFrame, spaces: dict, cols, label="label", key="reading
                 found.setdefault(n, []).append(share or 0.0)
         if chosen.get("knn"):
             near = knn.prepare(train, cols[:2], label)
+            spots = materialize(test.groupBy(*near.cols, label).agg(F.count(F.lit(1)).alias("_n")), "spots")
+            most = {}
             for m in chosen["knn"]:
-                right = F.avg(F.coalesce((F.col("prediction") == F.col(label)).cast("int"), F.lit(0)))
-                share = knn.knn_classify(test, near, near.cols, label, **m).agg(right).first()[0]
+                most[m.get("metric", "euclidean")] = max(m.get("k", 5), most.get(m.get("metric", "euclidean"), 0))
+            searched = {metric: materialize(knn.search(spots, near, near.cols, k, metric), "neighbours") for metric, k in most.items()}
+            for m in chosen["knn"]:
+                answers = knn.knn_classify(spots, near, near.cols, label, found=searched[m.get("metric", "euclidean")], **m)
+                right = F.coalesce((F.col("prediction") == F.col(label)).cast("int"), F.lit(0)) * F.col("_n")
+                share = answers.agg(F.sum(right) / F.nullif(F.sum("_n"), F.lit(0))).first()[0]
                 found.setdefault(("knn", text(m)), []).append(share or 0.0)
     table = [(name, params, float(sum(x) / len(x))) for (name, params), x in found.items()]
     return df.sparkSession.createDataFrame(table, "model string, params string, accuracy double")

@@ -9,7 +9,7 @@ from pyspark.ml import classification, feature
 from pulseloom.ml.bayes import GaussianNB
 from pulseloom.ml.features import MinMaxModel
 from pulseloom.ml.forecast import DirectModel
-from pulseloom.ml.knn import Reference
+from pulseloom.ml.knn import Reference, ringed
 from pulseloom.ml.ocsvm import OneClassModel
 from pulseloom.ml.trees import Classifier, SupportVectorModel
 from pulseloom.ml.vote import Ensemble
@@ -39,8 +39,11 @@ def save(spark, model, path: str) -> None:
         _write(spark, kind, {"models": list(model.models), "reference": model.reference is not None, "neighbours": model.neighbours}, f"{path}/about")
     elif isinstance(model, Reference):
         fields = {f.name: getattr(model, f.name) for f in dataclasses.fields(model)}
-        for name in ("locations", "pyramid"):
+        if fields["rings"] is None:
+            fields["rings"] = ringed(model.locations)
+        for name in ("locations", "pyramid", "rings"):
             fields.pop(name).write.mode("overwrite").parquet(f"{path}/{name}")
+        fields["tables"] = ["locations", "pyramid", "rings"]
         _write(spark, kind, fields, f"{path}/about")
     else:
         fields = {f.name: getattr(model, f.name) for f in dataclasses.fields(model)}
@@ -58,7 +61,8 @@ def load(spark, path: str):
         members = {n: load(spark, f"{path}/member_{n}") for n in body["models"]}
         return Ensemble(members, load(spark, f"{path}/reference") if body["reference"] else None, body["neighbours"])
     if kind == "Reference":
-        body |= {name: spark.read.parquet(f"{path}/{name}") for name in ("locations", "pyramid")} | {"geometry": tuple(body["geometry"])}
+        tables = body.pop("tables", ["locations", "pyramid"])  # models saved earlier have no rings
+        body |= {name: spark.read.parquet(f"{path}/{name}") for name in tables} | {"geometry": tuple(body["geometry"])}
     for name, v in body.items():
         if isinstance(v, dict) and set(v) == {"fitted"}:
             body[name] = _fitted(v["fitted"], f"{path}/{name}")

@@ -333,3 +333,39 @@ def test_search_over_several_models(blobs):
     assert table == pytest.approx(again) and len(table) == 6 and min(table.values()) > 0.9
     with pytest.raises(ValueError):
         search.search_models(blobs.drop("label"), spaces, ["SBP", "DBP"])
+
+
+def test_sets_of_neighbours_share_one_search(blobs, crowded, monkeypatch):
+    """A search per fold and metric, whatever the number of sets, with the votes of a search of their own."""
+    rings, ring = [], knn.own_ring
+    monkeypatch.setattr(knn, "own_ring", lambda *a: (rings.append(a[3]), ring(*a))[1])
+    spaces = {"knn": (None, {"k": [1, 3, 6], "metric": ["euclidean", "manhattan"]})}
+    got = {r["params"]: r["accuracy"] for r in search.search_models(blobs, spaces, ["SBP", "DBP"], folds=2).collect()}
+    assert sorted(rings) == ["euclidean"] * 2 + ["manhattan"] * 2
+    near = lambda a, b, k, metric: knn.knn_classify(b, a, k=k, metric=metric)
+    want = search.search_own(blobs, near, spaces["knn"][1], folds=2)
+    assert got == pytest.approx({r["params"]: r["accuracy"] for r in want.collect()})
+
+    ready = knn.prepare(crowded)
+    asked = crowded.sample(0.2, seed=3).select("reading_id", (F.col("SBP") + 0.5).alias("SBP"), "DBP")
+    found = knn.search(asked, ready, k=9)
+    for k in (2, 9):
+        got = {r["reading_id"]: (r["prediction"], r["share"]) for r in knn.knn_classify(asked, ready, k=k, found=found).collect()}
+        want = brute(asked, crowded, k, "euclidean")
+        assert got.keys() == want.keys()
+        assert all(got[i][0] == want[i][0] and got[i][1] == pytest.approx(want[i][1]) for i in want)
+
+
+def test_reference_saved_without_rings(spark, blobs, tmp_path):
+    from pulseloom.ml import store
+
+    ready = knn.prepare(blobs)
+    store.save(spark, ready, str(tmp_path / "new"))
+    assert store.load(spark, str(tmp_path / "new")).rings.count() == ready.rings.count()
+    fields = {n: getattr(ready, n) for n in ("level", "geometry", "cols", "label", "levels", "start")}
+    for name in ("locations", "pyramid"):
+        getattr(ready, name).write.parquet(str(tmp_path / "old" / name))
+    store._write(spark, "Reference", fields, str(tmp_path / "old" / "about"))
+    old = store.load(spark, str(tmp_path / "old"))
+    want, got = ({r["reading_id"]: r["share"] for r in knn.knn_classify(blobs, x).collect()} for x in (ready, old))
+    assert got == want
